@@ -1 +1,217 @@
-"""Queries (filled below)."""
+"""Keyword queries: parse, merge, caps, coverage, ranking, gap, related,
+organic competitors, top organic keywords."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions.numbers import INTENT_CODES, INTENT_LABELS
+from ..operators import keywords as K
+from ..operators.ranking import global_row_number
+from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, with_views
+from ..sources.tables import Tables
+from .oracle_sql import dround_sql, parse_number_sql, q
+from .registry import register
+
+# Source tool page sizes: (max groups, max rows per group) per source.
+SOURCE_CAPS = {2: (5, 20), 3: (3, 30), 4: (3, 20), 5: (None, 50)}
+
+
+def _intent_sql(col: str) -> str:
+    codes = " ".join(f"when {col} = {q(k)} then {q(v)}" for k, v in INTENT_CODES.items())
+    labels = ", ".join(q(x) for x in INTENT_LABELS)
+    return f"case when {col} in ({labels}) then {col} {codes} else 'Unknown' end"
+
+
+_TYPED = f"""typed as (
+  select seq, source_rank, domain, lower(keyword) as keyword,
+         case when {parse_number_sql('volume_raw')} > 0 then {parse_number_sql('volume_raw')} else 0.0 end as volume,
+         case when {parse_number_sql('kd_raw')} > 0 and {parse_number_sql('kd_raw')} <= 100
+              then {parse_number_sql('kd_raw')} else 0.0 end as kd,
+         {parse_number_sql('cpc_raw')} as cpc,
+         {_intent_sql('intent_raw')} as intent
+  from SRC)"""
+
+
+def _merged_sql(src: str) -> str:
+    return _TYPED.replace("SRC", src) + """,
+ranked as (select *, row_number() over (partition by keyword
+             order by source_rank, case when source_rank = 1 then -seq else seq end) as rn from typed),
+f1 as (select keyword, min(source_rank) as first_rank from typed group by keyword),
+f2 as (select t.keyword, f1.first_rank, min(t.seq) as first_seq from typed t
+       join f1 on t.keyword = f1.keyword and t.source_rank = f1.first_rank group by t.keyword, f1.first_rank),
+merged as (select r.keyword, r.volume, r.kd, r.cpc, r.intent, r.source_rank, r.seq, f2.first_rank, f2.first_seq
+           from ranked r join f2 on r.keyword = f2.keyword where r.rn = 1)"""
+
+
+def _typed(t):
+    return K.parse_metrics(keyword_obs_df(t))
+
+
+def _merged(t):
+    return K.merge_keywords(_typed(t))
+
+
+def _views_then(body: str, *views: str) -> str:
+    """``with <views>, <body ctes> select ...``"""
+    head = with_views("select 1", *views).replace("\nselect 1", "")
+    return head + ",\n" + body
+
+
+PARSE_METRICS_SQL = _views_then(_TYPED.replace("SRC", "keyword_obs_v") + "\nselect * from typed",
+                                "keyword_obs_v")
+
+
+@register("parse_metrics", "X-01,X-04,X-06,X-07", PARSE_METRICS_SQL)
+def parse_metrics(spark, sf_dir):
+    return _typed(Tables(spark, sf_dir))
+
+
+KEYWORD_MERGE_SQL = _views_then(_merged_sql("keyword_obs_v") + "\nselect * from merged", "keyword_obs_v")
+
+
+@register("keyword_merge", "K-03,J-06", KEYWORD_MERGE_SQL)
+def keyword_merge(spark, sf_dir):
+    return _merged(Tables(spark, sf_dir))
+
+
+def _capped_src_sql() -> str:
+    conds = []
+    for src, (g, r) in SOURCE_CAPS.items():
+        c = f"source_rank = {src}"
+        if g is not None:
+            c += f" and g_rank <= {g}"
+        if r is not None:
+            c += f" and r_rank <= {r}"
+        conds.append(f"({c})")
+    caps = ", ".join(str(s) for s in SOURCE_CAPS)
+    return f"""gf as (select source_rank, domain, min(seq) as g_first from keyword_obs_v group by 1, 2),
+gr as (select source_rank, domain, row_number() over (partition by source_rank order by g_first, domain) as g_rank from gf),
+capped as (select o.* from (select o.*, gr.g_rank,
+             row_number() over (partition by o.source_rank, o.domain order by o.seq) as r_rank
+           from keyword_obs_v o join gr on o.source_rank = gr.source_rank and o.domain = gr.domain) o
+           where {' or '.join(conds)} or source_rank not in ({caps}))"""
+
+
+KEYWORD_CAPPED_MERGE_SQL = _views_then(
+    _capped_src_sql() + ",\n" + _merged_sql("capped") + "\nselect * from merged", "keyword_obs_v")
+
+
+@register("keyword_capped_merge", "K-04,K-03", KEYWORD_CAPPED_MERGE_SQL)
+def keyword_capped_merge(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return K.merge_keywords(K.parse_metrics(K.cap_sources(keyword_obs_df(t), SOURCE_CAPS)))
+
+
+KEYWORD_COVERAGE_SQL = _views_then(_merged_sql("keyword_obs_v") + """
+select count(*) as total_keywords, count_if(volume > 0) as with_volume, count_if(kd > 0) as with_kd,
+       count_if(cpc > 0) as with_cpc, count_if(intent <> 'Unknown') as with_intent from merged""",
+                                   "keyword_obs_v")
+
+
+@register("keyword_coverage", "A-07", KEYWORD_COVERAGE_SQL)
+def keyword_coverage(spark, sf_dir):
+    return K.keyword_coverage(_merged(Tables(spark, sf_dir)))
+
+
+KEYWORD_RANKING_SQL = _views_then(_merged_sql("keyword_obs_v") + """
+select keyword, volume, kd, cpc, intent,
+       row_number() over (order by volume desc, first_rank, first_seq) as rank from merged""",
+                                  "keyword_obs_v")
+
+
+@register("keyword_ranking", "K-05", KEYWORD_RANKING_SQL)
+def keyword_ranking(spark, sf_dir):
+    m = _merged(Tables(spark, sf_dir))
+    ranked = global_row_number(m, [F.desc("volume"), F.asc("first_rank"), F.asc("first_seq")])
+    return ranked.select("keyword", "volume", "kd", "cpc", "intent", "rank")
+
+
+def _roles(t):
+    c = clients_df(t)
+    # F-01: the target plus its primary competitors, in settings order
+    return c.filter((F.col("seq") == 0) | (F.col("priority") == "primary"))
+
+
+KEYWORD_GAP_SQL = _views_then("""roles as (select client_id, seq, domain from clients_v
+               where (seq = 0 or priority = 'primary') and seq <= 4),
+j as (select r.client_id, r.seq, p.domain, p.keyword, p.position from paid_kw_v p join roles r on p.domain = r.domain),
+a as (select client_id, keyword, bool_or(seq = 0) as in_t,
+             count(distinct case when seq > 0 then domain end) as n_competitors,
+             min(case when seq > 0 then position end) as best_position,
+             min(case when seq = 0 then position end) as target_position
+      from j group by client_id, keyword)
+select client_id, keyword,
+       case when in_t and n_competitors > 0 then 'shared' when in_t then 'unique' else 'missing' end as status,
+       n_competitors, best_position, target_position from a""", "clients_v", "paid_kw_v")
+
+
+@register("keyword_gap", "J-08,F-01", KEYWORD_GAP_SQL)
+def keyword_gap(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return K.domain_keyword_gap(paid_kw_df(t), _roles(t), max_competitors=4)
+
+
+RELATED_KEYWORDS_SQL = _views_then(_merged_sql("keyword_obs_v") + """,
+seeds as (select row_number() over (order by seq) as seed_seq,
+                 lower(regexp_replace(keyword, ' [^ ]+$', '')) as seed
+          from keyword_obs_v where source_rank = 1 order by seq limit 5),
+j as (select s.seed_seq, s.seed, m.keyword, m.volume from merged m join seeds s
+      on contains(m.keyword, s.seed) and m.keyword <> s.seed)
+select cast(seed_seq as integer) as seed_seq, seed, cast(rk as integer) as rank, keyword, volume from
+  (select *, row_number() over (partition by seed_seq order by volume desc, keyword) as rk from j)
+where rk <= 20""", "keyword_obs_v")
+
+
+@register("related_keywords", "J-10", RELATED_KEYWORDS_SQL)
+def related_keywords(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    obs = keyword_obs_df(t)
+    # the tool's seed list: the first five market keywords, head phrase
+    seeds = (obs.filter(F.col("source_rank") == 1).orderBy("seq").limit(5)
+             .select(F.row_number().over(W.orderBy("seq")).alias("seed_seq"),
+                     F.regexp_replace("keyword", " [^ ]+$", "").alias("seed")))
+    return K.related_keywords(seeds, K.merge_keywords(K.parse_metrics(obs)).select("keyword", "volume"))
+
+
+ORGANIC_COMPETITORS_SQL = _views_then(f"""dk as (select distinct domain, keyword from paid_kw_v),
+sizes as (select domain, count(*) as n_kw from dk group by domain),
+t as (select client_id, domain as target from clients_v where seq = 0),
+pairs as (select t.client_id, t.target, d2.domain, count(*) as shared
+          from t join dk d1 on d1.domain = t.target join dk d2 on d1.keyword = d2.keyword
+          where d2.domain <> t.target group by 1, 2, 3)
+select p.client_id, p.target, p.domain, p.shared,
+       {dround_sql('cast(p.shared as double) / cast(a.n_kw + b.n_kw - p.shared as double)', 6)} as score,
+       cast(row_number() over (partition by p.client_id order by p.shared desc, p.domain) as integer) as rank
+from pairs p join sizes a on a.domain = p.target join sizes b on b.domain = p.domain""",
+                                      "clients_v", "paid_kw_v")
+
+
+@register("organic_competitors", "J-11", ORGANIC_COMPETITORS_SQL)
+def organic_competitors(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return K.organic_competitors(paid_kw_df(t), clients_df(t).filter(F.col("seq") == 0))
+
+
+def organic_facts(t):
+    li = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity")
+    p = t.part.select("p_partkey", "p_name")
+    s = t.supplier.select("s_suppkey", "s_name")
+    return (li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
+            .select(F.col("s_name").alias("domain"), F.col("p_name").alias("keyword"),
+                    F.col("l_quantity").alias("qty")))
+
+
+TOP_ORGANIC_SQL = """
+with a as (select s.s_name as domain, p.p_name as keyword, sum(l.l_quantity) as traffic
+           from lineitem l join part p on l.l_partkey = p.p_partkey join supplier s on l.l_suppkey = s.s_suppkey
+           group by 1, 2)
+select domain, keyword, traffic, cast(rk as integer) as rank from
+  (select *, row_number() over (partition by domain order by traffic desc, keyword) as rk from a)
+where rk <= 10"""
+
+
+@register("top_organic", "K-13", TOP_ORGANIC_SQL)
+def top_organic(spark, sf_dir):
+    return K.top_keywords_by_traffic(organic_facts(Tables(spark, sf_dir)), k=10)
