@@ -92,7 +92,7 @@ def paid_kw_df(t: Tables) -> DataFrame:
         F.col("s_name").alias("domain"),
         F.col("p_name").alias("keyword"),
         F.row_number().over(w).alias("position"),
-        F.concat(F.lit("$"), (F.col("p_retailprice") / 100).cast("decimal(12,2)").cast("string"))
+        F.concat(F.lit("$"), (F.floor("p_retailprice") / 100).cast("decimal(12,2)").cast("string"))
          .alias("cpc_raw"),
         F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("K")).alias("volume_raw"),
         F.concat((F.col("l_discount") * 100).cast("decimal(10,1)").cast("string"), F.lit("%"))
@@ -105,7 +105,7 @@ PAID_KW_SQL = """
 select s.s_name as domain, p.p_name as keyword,
        cast(row_number() over (partition by s.s_name
          order by l.l_extendedprice desc, l.l_orderkey, l.l_linenumber, l.l_partkey) as integer) as position,
-       '$' || cast(cast(p.p_retailprice/100 as decimal(12,2)) as varchar) as cpc_raw,
+       '$' || cast(cast(floor(p.p_retailprice)/100 as decimal(12,2)) as varchar) as cpc_raw,
        cast(cast(l.l_quantity as integer) as varchar) || 'K' as volume_raw,
        cast(cast(l.l_discount*100 as decimal(10,1)) as varchar) || '%' as traffic_pct_raw,
        l.l_quantity as clicks
@@ -245,8 +245,8 @@ def raw_cards_df(t: Tables) -> DataFrame:
     bal = F.abs(F.col("s_acctbal"))
     vals = F.array(
         (F.col("s_suppkey") % 101).cast("string"),
-        F.concat((bal / 1000).cast("decimal(10,1)").cast("string"), F.lit("K")),
-        F.concat(F.lit("$"), (bal / 100).cast("decimal(10,2)").cast("string")),
+        F.concat((F.floor(bal / 100) / 10).cast("decimal(10,1)").cast("string"), F.lit("K")),
+        F.concat(F.lit("$"), (F.floor(bal) / 100).cast("decimal(10,2)").cast("string")),
         F.col("s_nationkey").cast("string"),
         F.concat(F.col("s_suppkey").cast("string"), F.lit(",000")),
     )
@@ -260,8 +260,8 @@ RAW_CARDS_SQL = """
 select domain, case when n=0 then []::varchar[] when n<5 then vals[1:n] else vals end as "values"
 from (select s_name as domain, cast(s_suppkey%6 as integer) as n, list_value(
         cast(s_suppkey%101 as varchar),
-        cast(cast(abs(s_acctbal)/1000 as decimal(10,1)) as varchar) || 'K',
-        '$' || cast(cast(abs(s_acctbal)/100 as decimal(10,2)) as varchar),
+        cast(cast(floor(abs(s_acctbal)/100)/10 as decimal(10,1)) as varchar) || 'K',
+        '$' || cast(cast(floor(abs(s_acctbal))/100 as decimal(10,2)) as varchar),
         cast(s_nationkey as varchar),
         cast(s_suppkey as varchar) || ',000') as vals
       from supplier)"""
