@@ -1 +1,146 @@
-"""Queries (filled below)."""
+"""Link queries: extracted page links, backlink profiles and gap."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import links as L
+from ..sources.fixtures import links_df, with_views
+from ..sources.tables import Tables
+from .registry import register
+
+_HOST = "lower(regexp_extract({}, '^https?://([^/?#:]+)', 1))"
+_REG = "regexp_extract({}, '([^.]+\\.[^.]+)$', 1)"
+
+
+def _views_then(body: str, *views: str) -> str:
+    head = with_views("select 1", *views).replace("\nselect 1", "")
+    return head + ",\n" + body
+
+
+PAGE_LINKS_CTE = f"""el as (select page_id, {_HOST.format('url')} as src_host, url,
+              unnest(regexp_extract_all(html, '(?is)<a\\s[^>]*>.*?</a>', 0)) as el,
+              generate_subscripts(regexp_extract_all(html, '(?is)<a\\s[^>]*>.*?</a>', 0), 1) - 1 as link_pos
+       from pages),
+f as (select *, regexp_extract(el, '(?i)href\\s*=\\s*"([^"]*)"', 1) as href,
+             lower(regexp_extract(el, '(?i)rel\\s*=\\s*"([^"]*)"', 1)) as rel,
+             regexp_extract(el, '(?is)^<a\\s[^>]*>(.*)</a>$', 1) as inner_html from el),
+page_links as (select page_id, cast(link_pos as integer) as link_pos, src_host, url as src_url, href,
+       case when regexp_matches(href, '(?i)^https?://') then {_HOST.format('href')} else src_host end as target_host,
+       case when regexp_matches(href, '(?i)^https?://') then regexp_extract(href, '^https?://[^/?#]+(.*)$', 1)
+            else href end as target_path,
+       regexp_replace(regexp_replace(inner_html, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g') as anchor,
+       contains(rel, 'nofollow') as nofollow, contains(lower(inner_html), '<img') as has_img
+from f)"""
+
+PAGE_LINKS_SQL = "with " + PAGE_LINKS_CTE + "\nselect * from page_links"
+
+
+def _page_links(spark, sf_dir):
+    return L.extract_links(Tables(spark, sf_dir).pages)
+
+
+@register("page_links", "L-01", PAGE_LINKS_SQL)
+def page_links(spark, sf_dir):
+    return _page_links(spark, sf_dir)
+
+
+def _overview_sql(src: str, internal: bool) -> str:
+    where = "" if internal else "where src_host <> target_host"
+    return f"""select target_host, count(*) as total_backlinks,
+       count(distinct {_REG.format('src_host')}) as referring_domains,
+       count(distinct src_host) as referring_hosts,
+       count_if(not nofollow) as follow_links, count_if(nofollow) as nofollow_links,
+       count_if(not has_img) as text_links, count_if(has_img) as image_links
+from {src} {where} group by target_host"""
+
+
+PAGE_LINK_OVERVIEW_SQL = "with " + PAGE_LINKS_CTE + "\n" + _overview_sql("page_links", True)
+
+
+@register("page_link_overview", "L-01,A-11", PAGE_LINK_OVERVIEW_SQL)
+def page_link_overview(spark, sf_dir):
+    # the stored pages only link inside their own sites
+    return L.backlink_overview(_page_links(spark, sf_dir), include_internal=True)
+
+
+_FACTS = """facts as (select src_host, target_host, target_path, anchor,
+       coalesce(contains(lower(rel), 'nofollow'), false) as nofollow, has_img from links_v)"""
+
+
+def _facts(spark, sf_dir):
+    return L.normalise_link_facts(links_df(Tables(spark, sf_dir)))
+
+
+BACKLINK_OVERVIEW_SQL = _views_then(_FACTS + "\n" + _overview_sql("facts", False), "links_v")
+
+
+@register("backlink_overview", "A-11,C-08", BACKLINK_OVERVIEW_SQL)
+def backlink_overview(spark, sf_dir):
+    return L.backlink_overview(_facts(spark, sf_dir))
+
+
+REF_DOMAINS_SQL = _views_then(_FACTS + f""",
+a as (select target_host, {_REG.format('src_host')} as ref_domain, count(*) as backlinks
+      from facts where src_host <> target_host group by 1, 2)
+select * from (select *, cast(row_number() over (partition by target_host order by backlinks desc, ref_domain)
+               as integer) as rank from a) where rank <= 50""", "links_v")
+
+
+@register("ref_domains", "A-12", REF_DOMAINS_SQL)
+def ref_domains(spark, sf_dir):
+    return L.referring_domains(_facts(spark, sf_dir), k=50)
+
+
+ANCHORS_SQL = _views_then(_FACTS + f""",
+a as (select target_host, anchor, count(distinct {_REG.format('src_host')}) as referring_domains,
+             count(*) as backlinks from facts where src_host <> target_host group by 1, 2)
+select * from (select *, cast(row_number() over (partition by target_host
+               order by referring_domains desc, backlinks desc, anchor) as integer) as rank from a) where rank <= 30""",
+                          "links_v")
+
+
+@register("anchors", "A-13", ANCHORS_SQL)
+def anchors(spark, sf_dir):
+    return L.anchors(_facts(spark, sf_dir), k=30)
+
+
+TOP_PAGES_SQL = _views_then(_FACTS + f""",
+a as (select target_host, target_path, count(distinct {_REG.format('src_host')}) as referring_domains,
+             count(*) as backlinks from facts where src_host <> target_host group by 1, 2)
+select * from (select *, cast(row_number() over (partition by target_host
+               order by backlinks desc, referring_domains desc, target_path) as integer) as rank from a)
+where rank <= 30""", "links_v")
+
+
+@register("top_pages", "A-14", TOP_PAGES_SQL)
+def top_pages(spark, sf_dir):
+    return L.top_pages(_facts(spark, sf_dir), k=30)
+
+
+def backlink_roles(facts):
+    """Settings derived from the link table: one client whose target is the
+    first target host by name and whose competitors are the next four."""
+    hosts = facts.select("target_host").distinct().orderBy("target_host").limit(5)
+    from pyspark.sql import Window as W
+    return hosts.select(F.lit("links").alias("client_id"),
+                        (F.row_number().over(W.orderBy("target_host")) - 1).alias("seq"),
+                        F.col("target_host").alias("domain"))
+
+
+BACKLINK_GAP_SQL = _views_then(_FACTS + """,
+roles as (select 'links' as client_id, row_number() over (order by target_host) - 1 as seq, target_host as domain
+          from (select distinct target_host from facts order by target_host limit 5)),
+j as (select r.client_id, r.seq, f.src_host, f.target_host from facts f join roles r on f.target_host = r.domain
+      where f.src_host <> f.target_host and r.seq <= 4),
+a as (select client_id, src_host, bool_or(seq = 0) as to_target,
+             count(distinct case when seq > 0 then target_host end) as n_competitors,
+             count_if(seq > 0) as competitor_links from j group by 1, 2)
+select client_id, src_host as ref_host, n_competitors, competitor_links from a
+where not to_target and n_competitors > 0""", "links_v")
+
+
+@register("backlink_gap", "J-09", BACKLINK_GAP_SQL)
+def backlink_gap(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return L.backlink_gap(f, backlink_roles(f))
