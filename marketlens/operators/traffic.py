@@ -50,7 +50,7 @@ def sessionize(events: DataFrame, gap_s: int = 1800, user: str = "user_id", ts:
     has_next_in = F.col("__next_ts").isNotNull()
     next_ts = F.when(has_next_in, F.col("__next_ts")).otherwise(F.col("__after.t"))
     next_kind = F.when(has_next_in, F.col("__next_kind")).otherwise(F.col("__after.k"))
-    secs = lambda a, b: (F.unix_micros(a) - F.unix_micros(b)).cast("double") / 1e6
+    secs = lambda a, b: (F.unix_micros(a.cast("timestamp")) - F.unix_micros(b.cast("timestamp"))).cast("double") / 1e6
     is_start = prev_ts.isNull() | (secs(F.col(ts), prev_ts) > gap_s)
     is_end = next_ts.isNull() | (secs(next_ts, F.col(ts)) > gap_s)
     return j.select(user, ts, tie, kind, is_start.alias("is_start"), is_end.alias("is_end"),
