@@ -1 +1,147 @@
-"""Queries (filled below)."""
+"""Row and card typing queries over the scraped-row / card views."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.numbers import INTENT_CODES, INTENT_LABELS
+from ..operators import typing as TY
+from ..sources.fixtures import raw_cards_df, raw_rows_df, with_views
+from ..sources.tables import Tables
+from .oracle_sql import parse_number_sql as P
+from .oracle_sql import q
+from .registry import register
+
+
+def S(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def FL(x: str) -> str:
+    return S(f"string_split({S(x)}, chr(10))[1]")
+
+
+def _views_then(body: str, *views: str) -> str:
+    head = with_views("select 1", *views).replace("\nselect 1", "")
+    return head + ",\n" + body
+
+
+def _cap_sql(k: int, gate: int) -> str:
+    return (f"(select * from (select *, row_number() over (partition by domain order by row_seq) as rn "
+            f"from raw_rows_v) where rn <= {k} and len(cells) >= {gate})")
+
+
+def _gate100(x: str) -> str:
+    return f"(case when {x} > 0 and {x} <= 100 then {x} else 0.0 end)"
+
+
+def _pos(x: str) -> str:
+    return f"(case when {x} > 0 then {x} else 0.0 end)"
+
+
+_labels = ", ".join(q(x) for x in INTENT_LABELS)
+_codes = ", ".join(q(x) for x in INTENT_CODES)
+_map = " ".join(f"when li = {q(k)} then {q(v)}" for k, v in INTENT_CODES.items())
+
+KEYWORD_ROWS_SQL = _views_then(f"""
+r as {_cap_sql(50, 3)},
+t as (select domain, row_seq, cells,
+        flatten(list_transform(cells, lambda c: list_transform(string_split({S('c')}, chr(10)), lambda l: {S('l')}))) as lines
+      from r),
+u as (select *, list_filter(cells[1:3], lambda c: length({S('c')}) > 2 and not regexp_full_match({S('c')}, '[0-9]+'))[1] as kwc,
+             list_filter(lines, lambda l: contains(l, '$') and {P('l')} <> 0)[1] as cpc_line,
+             list_filter(lines, lambda l: l in ({_labels}, {_codes}))[-1] as li
+      from t)
+select domain, row_seq, {FL('kwc')} as keyword,
+       {_pos(P('cells[4]'))} as volume, {_gate100(P('cells[1]'))} as kd,
+       coalesce({P('cpc_line')}, 0.0) as cpc,
+       case when li in ({_labels}) then li {_map} else 'Unknown' end as intent
+from u where {FL('kwc')} is not null and {FL('kwc')} <> ''""", "raw_rows_v")
+
+
+@register("typed_keyword_rows", "C-01,X-08,X-09,F-04", KEYWORD_ROWS_SQL)
+def typed_keyword_rows(spark, sf_dir):
+    raw = raw_rows_df(Tables(spark, sf_dir))
+    return TY.keyword_rows(raw, volume_text=F.get(F.col("cells"), 3), kd_text=F.get(F.col("cells"), 0))
+
+
+PAID_ROWS_SQL = _views_then(f"""
+r as (select * from (select *, row_number() over (partition by domain order by row_seq) as rn from raw_rows_v)
+      where rn <= 10 and len(cells) >= 5)
+select domain, row_seq, cells[1] as keyword, cells[2] as position, cells[3] as volume, cells[4] as cpc,
+       cells[5] as traffic_pct from r where cells[1] <> ''""", "raw_rows_v")
+
+
+@register("typed_paid_rows", "C-04", PAID_ROWS_SQL)
+def typed_paid_rows(spark, sf_dir):
+    return TY.paid_rows(raw_rows_df(Tables(spark, sf_dir)), max_rows=10)
+
+
+def _posnums(lst: str) -> str:
+    return f"list_filter(list_transform({lst}, lambda c: {P(f'string_split({S(chr(99))}, chr(10))[1]')}), lambda v: v > 0)"
+
+
+LINK_ROWS_SQL = _views_then(f"""
+r as {_cap_sql(50, 2)},
+t as (select domain, row_seq, cells,
+             list_filter(cells[1:3], lambda c: contains({FL('c')}, '.') and length({FL('c')}) > 3)[1] as dc,
+             list_filter(list_transform(cells[1:2], lambda c: {FL('c')}), lambda x: length(x) > 0)[1] as anchor,
+             {_posnums('cells[2:]')} as nr, {_posnums('cells')} as na,
+             list_filter(cells[1:2], lambda c: contains(string_split({S('c')}, chr(10))[1], '/')
+                                             or contains(string_split({S('c')}, chr(10))[1], 'http'))[1] as uc
+      from r)
+select domain, row_seq, {FL('dc')} as ref_domain, anchor,
+       coalesce(nr[1], 0.0) as anchor_ref_domains, coalesce(nr[2], 0.0) as anchor_backlinks,
+       string_split({S('uc')}, chr(10))[1] as page_url,
+       coalesce(na[1], 0.0) as page_ref_domains, coalesce(na[2], 0.0) as page_backlinks
+from t""", "raw_rows_v")
+
+
+@register("typed_link_rows", "C-09,X-10,X-11,X-12", LINK_ROWS_SQL)
+def typed_link_rows(spark, sf_dir):
+    return TY.link_rows(raw_rows_df(Tables(spark, sf_dir)))
+
+
+AI_ROWS_SQL = _views_then(f"""
+rv as (select domain, row_seq, list_reverse(cells) as cells from raw_rows_v),
+c as (select * from (select *, row_number() over (partition by domain order by row_seq) as rn from rv)
+      where rn <= 20 and len(cells) >= 2),
+p as (select * from (select *, row_number() over (partition by domain order by row_seq) as rn from rv)
+      where rn <= 30 and len(cells) >= 2),
+cc as (select domain, row_seq, 'competitor' as row_kind,
+              string_split({S("list_filter(cells[1:2], lambda c: contains(string_split(" + S('c') + ", chr(10))[1], '.') and length(string_split(" + S('c') + ", chr(10))[1]) > 3)[1]")}, chr(10))[1] as value,
+              array_to_string(list_transform(cells[1:5], lambda x: {S('x')}), ' | ') as raw_data from c),
+pp as (select domain, row_seq, 'prompt' as row_kind, {S('cells[1]')} as value,
+              array_to_string(list_transform(cells[1:4], lambda x: {S('x')}), ' | ') as raw_data from p)
+select * from cc where value is not null
+union all
+select * from pp where length(value) > 5""", "raw_rows_v")
+
+
+@register("typed_ai_rows", "C-11,F-04,F-05", AI_ROWS_SQL)
+def typed_ai_rows(spark, sf_dir):
+    # AI research tables lead with the domain / prompt: the scraped rows
+    # reversed (URL first) stand in for them
+    raw = raw_rows_df(Tables(spark, sf_dir))
+    return TY.ai_rows(raw.select("domain", "row_seq", F.reverse("cells").alias("cells")))
+
+
+def _num(i: int) -> str:
+    return f"(case when len(v) > {i} then {P(f'v[{i + 1}]')} else 0.0 end)"
+
+
+CARDS_SQL = _views_then(f"""
+c as (select domain, list_filter(list_transform("values", lambda x: {S('x')}), lambda x: length(x) > 0) as v
+      from raw_cards_v)
+select domain, {_num(0)} as kw_volume,
+       case when len(v) >= 3 then {P('v[3]')} else 0.0 end as kw_cpc,
+       v[1] as lookup_volume_raw, v[2] as lookup_cpc_raw, v[3] as lookup_competition_raw,
+       {_num(0)} as authority_score, {_num(1)} as total_backlinks, {_num(2)} as referring_domains,
+       {_num(3)} as referring_ips, {_num(0)} as ai_visibility_score, {_num(1)} as ai_mentions,
+       {_num(2)} as prompts_tracked, array_to_string(v[1:10], ' | ') as raw_metrics
+from c""", "raw_cards_v")
+
+
+@register("typed_cards", "C-02,C-05,C-07,C-10,C-12", CARDS_SQL)
+def typed_cards(spark, sf_dir):
+    return TY.typed_cards(raw_cards_df(Tables(spark, sf_dir)))
