@@ -41,7 +41,8 @@ def extract_links(pages: DataFrame) -> DataFrame:
     (regex extraction + posexplode), no UDF; pages are independent, so the
     scan parallelises by file split."""
     el = pages.select("page_id", host_of("url").alias("src_host"), "url",
-                      F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR_RE), 0)).alias("link_pos", "el"))
+                      F.posexplode_outer(F.regexp_extract_all("html", F.lit(ANCHOR_RE), 0)).alias("link_pos", "el")
+                      ).filter(F.col("el").isNotNull())
     href = F.regexp_extract("el", r'(?i)href\s*=\s*"([^"]*)"', 1)
     rel = F.lower(F.regexp_extract("el", r'(?i)rel\s*=\s*"([^"]*)"', 1))
     inner = F.regexp_extract("el", r"(?is)^<a\s[^>]*>(.*)</a>$", 1)

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import dround
-from ..functions.text import TRIGGER_LIKELIHOOD, trigger_category
+from ..functions.text import TRIGGER_LIKELIHOOD, trigger_category, with_lowered
 from .joins import contains_join
 
 # --------------------------------------------------------------------------
@@ -67,7 +67,8 @@ MAX_REC_KEYWORDS = 5
 def classify_triggers(keywords: DataFrame, col: str = "keyword") -> DataFrame:
     """I-02: first matching bucket (informational, comparison, cost,
     recommendation), else transactional.  Substring tests, narrow."""
-    return keywords.withColumn("trigger_category", trigger_category(col))
+    low = with_lowered(keywords, col, "__lk")
+    return low.withColumn("trigger_category", trigger_category("__lk", lowered=True)).drop("__lk")
 
 
 def trigger_dim(spark: SparkSession) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import links as L
 from ..sources.fixtures import links_df, with_views
-from ..sources.tables import Tables
+from ..sources.tables import Tables, ensure_parallelism
 from .registry import register
 
 _HOST = "lower(regexp_extract({}, '^https?://([^/?#:]+)', 1))"
@@ -37,7 +37,7 @@ PAGE_LINKS_SQL = "with " + PAGE_LINKS_CTE + "\nselect * from page_links"
 
 
 def _page_links(spark, sf_dir):
-    return L.extract_links(Tables(spark, sf_dir).pages)
+    return L.extract_links(ensure_parallelism(Tables(spark, sf_dir).pages))
 
 
 @register("page_links", "L-01", PAGE_LINKS_SQL)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import TRIGGER_LIKELIHOOD
 from ..operators import visibility as V
 from ..sources.fixtures import clients_df, paid_kw_df, with_views
-from ..sources.tables import Tables
+from ..sources.tables import Tables, ensure_parallelism
 from .oracle_sql import dround_sql, q, trigger_sql
 from .registry import register
 
@@ -19,7 +19,7 @@ def _views_then(body: str, *views: str) -> str:
 
 
 def _classified(t):
-    return V.classify_triggers(t.documents.select("doc_id", "text"), "text")
+    return V.classify_triggers(ensure_parallelism(t.documents.select("doc_id", "text")), "text")
 
 
 TRIGGER_CLASSES_SQL = f"select doc_id, {trigger_sql('text')} as trigger_category from documents"
@@ -141,4 +141,4 @@ def brand_mentions(spark, sf_dir):
     t = Tables(spark, sf_dir)
     brands = (clients_df(t).filter(F.col("priority") == "primary")
               .select("client_id", F.coalesce("name", "domain").alias("brand")))
-    return V.brand_mentions(t.conversations, brands)
+    return V.brand_mentions(ensure_parallelism(t.conversations), brands)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .tables import Tables
+from .tables import Tables, ensure_parallelism
 
 
 # --------------------------------------------------------------------------
@@ -29,7 +29,7 @@ def reviews_df(t: Tables, prepare=None) -> DataFrame:
     docs = t.documents.select(F.col("doc_id").alias("review_seq"), F.col("source").alias("brand"),
                               F.col("lang").alias("location"), "text")
     if prepare is not None:
-        docs = prepare(docs)
+        docs = prepare(ensure_parallelism(docs))
     labels = t.labels.select(
         F.col("doc_id").alias("review_seq"),
         F.when(F.col("quality") == 0, F.lit(2)).when(F.col("quality") == 1, F.lit(5))
