@@ -18,7 +18,11 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
     """Attach a 1-based global row number in ``order`` (must be a total
     order for a deterministic result) without funnelling rows into one task."""
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
+    # Materialise the range partitioning once (reliable checkpoint to the
+    # shared spark.checkpoint.dir): the numbering and the partition sizes
+    # below must see the same partition of every row, and two independent
+    # range shuffles may sample different bounds.
+    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id()).checkpoint()
     local = ranged.withColumn("__local", F.row_number().over(W.partitionBy("__pid").orderBy(*order)))
     sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per range partition: bounded by the partition count
@@ -26,3 +30,29 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
     return (local.join(F.broadcast(offsets), "__pid")
             .withColumn(name, (F.col("__off") + F.col("__local")).cast("long"))
             .drop("__pid", "__local", "__off"))
+
+
+def grouped_row_number(df: DataFrame, keys: list[str], order: list[Column], name: str = "position",
+                       num_partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by keys order by order)`` for *all*
+    rows of every group, safe when one group holds a large share of the
+    data.
+
+    A plain window sends each group whole to one task.  Here the rows are
+    range-partitioned on (keys, order), so a hot group is cut across many
+    range partitions; rows are numbered inside each (range, group) piece,
+    and each piece adds the row count of the same group's earlier pieces
+    (one row per piece: a small table).  ``order`` must be a total order
+    inside a group for a deterministic result.
+    """
+    n = num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    n = int(n)
+    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn(
+        "__pid", F.spark_partition_id()).checkpoint()  # one consistent partitioning, see above
+    local = ranged.withColumn("__local", F.row_number().over(W.partitionBy("__pid", *keys).orderBy(*order)))
+    pieces = ranged.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = pieces.select("__pid", *keys, (F.sum("__n").over(W.partitionBy(*keys).orderBy("__pid"))
+                                             - F.col("__n")).alias("__off"))
+    return (local.join(offsets, ["__pid", *keys])
+            .withColumn(name, (F.col("__off") + F.col("__local")).cast("int"))
+            .drop("__pid", "__local", "__off"))

@@ -157,3 +157,37 @@ def typed_cards(cards: DataFrame) -> DataFrame:
         num(2).alias("referring_domains"), num(3).alias("referring_ips"),
         num(0).alias("ai_visibility_score"), num(1).alias("ai_mentions"), num(2).alias("prompts_tracked"),
         F.array_join(F.slice(v, 1, 10), " | ").alias("raw_metrics"))
+
+
+def link_type_split(elements: DataFrame, by=("domain",)) -> DataFrame:
+    """C-08: link-type figures from labelled elements (label = element plus
+    parent text, lower-cased; value = element text), checked per element as
+    an if/elif chain in page order:
+
+    1. label contains 'nofollow' and value > 0 -> nofollow (last wins);
+    2. label contains 'follow' and value > 0 and follow not yet set ->
+       follow (so the *first* such element wins; 'nofollow' never gets
+       here, the substring trap);
+    3. label contains 'text' and value > 0 -> text (last wins);
+    4. label contains 'image' and value > 0 -> image (last wins).
+
+    Elements per page are few, so one window per domain marks the first
+    follow candidate; the figures are ``max_by`` / ``min_by`` aggregates.
+    """
+    lab = F.lower(F.col("label"))
+    val = parse_number(F.col("value_text"))
+    e = elements.select(*by, "el_seq", lab.alias("__l"), val.alias("__v"))
+    b1 = F.col("__l").contains("nofollow") & (F.col("__v") > 0)
+    cand = ~b1 & F.col("__l").contains("follow") & (F.col("__v") > 0)
+    first_follow = F.min(F.when(cand, F.col("el_seq"))).over(W.partitionBy(*by))
+    e = e.withColumn("__b1", b1).withColumn("__b2", cand & (F.col("el_seq") == first_follow))
+    b3 = ~F.col("__b1") & ~F.col("__b2") & F.col("__l").contains("text") & (F.col("__v") > 0)
+    b4 = ~F.col("__b1") & ~F.col("__b2") & ~b3 & F.col("__l").contains("image") & (F.col("__v") > 0)
+    e = e.withColumn("__b3", b3).withColumn("__b4", b4)
+    pick_last = lambda flag: F.max_by(F.when(F.col(flag), F.col("__v")),
+                                      F.when(F.col(flag), F.col("el_seq")))
+    return e.groupBy(*by).agg(
+        F.coalesce(pick_last("__b1"), F.lit(0.0)).alias("nofollow_links"),
+        F.coalesce(pick_last("__b2"), F.lit(0.0)).alias("follow_links"),
+        F.coalesce(pick_last("__b3"), F.lit(0.0)).alias("text_links"),
+        F.coalesce(pick_last("__b4"), F.lit(0.0)).alias("image_links"))

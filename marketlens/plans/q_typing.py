@@ -145,3 +145,41 @@ from c""", "raw_cards_v")
 @register("typed_cards", "C-02,C-05,C-07,C-10,C-12", CARDS_SQL)
 def typed_cards(spark, sf_dir):
     return TY.typed_cards(raw_cards_df(Tables(spark, sf_dir)))
+
+
+# Link-type elements of the backlink overview: every card value of a
+# supplier becomes one labelled element, labels cycling through the widget
+# captions (a 'nofollow' caption contains 'follow': the substring trap).
+LINK_LABELS = ["follow links", "nofollow links", "text links", "image links", "follow"]
+
+
+def link_elements_df(t):
+    cards = raw_cards_df(t)
+    labels = F.array(*[F.lit(x) for x in LINK_LABELS])
+    return cards.select("domain", F.posexplode_outer("values").alias("el_seq", "value_text")).filter(
+        F.col("value_text").isNotNull()).select(
+        "domain", "el_seq", F.get(labels, F.col("el_seq") % len(LINK_LABELS)).alias("label"), "value_text")
+
+
+def _link_types_sql() -> str:
+    labels = "[" + ", ".join(q(x) for x in LINK_LABELS) + "]"
+    return _views_then(f"""
+e0 as (select domain, cast(i - 1 as integer) as el_seq, "values"[i] as value_text
+       from (select domain, "values", unnest(generate_series(1, len("values"))) as i from raw_cards_v)),
+e as (select domain, el_seq, lower({labels}[el_seq % {len(LINK_LABELS)} + 1]) as l, {P('value_text')} as v from e0),
+f as (select *, contains(l, 'nofollow') and v > 0 as b1,
+             (not (contains(l, 'nofollow') and v > 0)) and contains(l, 'follow') and v > 0 as cand from e),
+g as (select *, b1 is false and cand and el_seq = min(case when cand then el_seq end) over (partition by domain) as b2 from f),
+h as (select *, not b1 and not b2 and contains(l, 'text') and v > 0 as b3 from g),
+k as (select *, not b1 and not b2 and not b3 and contains(l, 'image') and v > 0 as b4 from h)
+select domain,
+       coalesce(arg_max(v, el_seq) filter (where b1), 0.0) as nofollow_links,
+       coalesce(arg_max(v, el_seq) filter (where b2), 0.0) as follow_links,
+       coalesce(arg_max(v, el_seq) filter (where b3), 0.0) as text_links,
+       coalesce(arg_max(v, el_seq) filter (where b4), 0.0) as image_links
+from k group by domain""", "raw_cards_v")
+
+
+@register("typed_link_types", "C-08", _link_types_sql())
+def typed_link_types(spark, sf_dir):
+    return TY.link_type_split(link_elements_df(Tables(spark, sf_dir)))

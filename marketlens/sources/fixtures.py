@@ -86,6 +86,11 @@ def paid_kw_df(t: Tables) -> DataFrame:
     p = t.part.select("p_partkey", "p_name", "p_retailprice")
     s = t.supplier.select("s_suppkey", "s_name")
     j = li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
+    # page position = rank of the line by price inside its supplier.  In real
+    # data the position is an input column (page order); consumers that keep
+    # only the first k positions get Spark's window group limit (partial
+    # top-k before the shuffle).  ranking.grouped_row_number is the
+    # skew-safe form when every position of a hot group is needed.
     w = W.partitionBy("s_name").orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_linenumber",
                                         "l_partkey")
     return j.select(

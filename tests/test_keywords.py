@@ -56,3 +56,17 @@ def test_global_rank_matches_window(spark):
     got = {r.id: r.rank for r in global_row_number(df, [F.desc("k"), F.asc("id")], num_partitions=5).collect()}
     want = {r.id: r.rank for r in df.withColumn("rank", F.row_number().over(W.orderBy(F.desc("k"), "id"))).collect()}
     assert got == want
+
+
+def test_grouped_rank_matches_window_with_hot_group(spark):
+    from pyspark.sql import Window as W
+    from marketlens.operators.ranking import grouped_row_number
+    # group 0 holds half of all rows
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 7).alias("g"),
+        (F.col("id") * 7919 % 6000).alias("v"), F.col("id"))
+    got = {r.id: r.position for r in grouped_row_number(df, ["g"], [F.desc("v"), F.asc("id")],
+                                                        num_partitions=6).collect()}
+    want = {r.id: r.p for r in df.withColumn(
+        "p", F.row_number().over(W.partitionBy("g").orderBy(F.desc("v"), "id"))).collect()}
+    assert got == want
