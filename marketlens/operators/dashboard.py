@@ -69,3 +69,17 @@ def target_slices(roles: DataFrame, pages: DataFrame, anchors: DataFrame, ref_do
         "target_host", F.lit("referring_domains").alias("section"), "rank", F.col("ref_domain").alias("item"),
         F.lit(None).cast("long").alias("referring_domains"), "backlinks")
     return t.join(p.unionByName(a).unionByName(r), "target_host").withColumnRenamed("target_host", "domain")
+
+
+DASHBOARD_KEYWORD_COLUMNS = ("keyword", "volume", "kd", "cpc", "intent")
+
+
+def transform_keyword_data(data: DataFrame) -> DataFrame:
+    """D-01 dispatch: input already in dashboard shape (one row per keyword
+    with metric columns, no list order) passes through unchanged;
+    otherwise it is a related-keyword list (with ``seq``) and is rebuilt
+    by :func:`keyword_map`.  Decided from the schema at plan time."""
+    cols = set(data.columns)
+    if "seq" not in cols and set(DASHBOARD_KEYWORD_COLUMNS) <= cols:
+        return data.select(*DASHBOARD_KEYWORD_COLUMNS)
+    return keyword_map(data)

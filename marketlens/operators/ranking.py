@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
                       num_partitions: int | None = None) -> DataFrame:
@@ -22,7 +24,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
     # shared spark.checkpoint.dir): the numbering and the partition sizes
     # below must see the same partition of every row, and two independent
     # range shuffles may sample different bounds.
-    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id()).checkpoint()
+    ranged = checkpointed(df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id()))
     local = ranged.withColumn("__local", F.row_number().over(W.partitionBy("__pid").orderBy(*order)))
     sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per range partition: bounded by the partition count
@@ -47,8 +49,9 @@ def grouped_row_number(df: DataFrame, keys: list[str], order: list[Column], name
     """
     n = num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     n = int(n)
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn(
-        "__pid", F.spark_partition_id()).checkpoint()  # one consistent partitioning, see above
+    # one consistent partitioning for both uses below (see global_row_number)
+    ranged = checkpointed(df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn(
+        "__pid", F.spark_partition_id()))
     local = ranged.withColumn("__local", F.row_number().over(W.partitionBy("__pid", *keys).orderBy(*order)))
     pieces = ranged.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n"))
     offsets = pieces.select("__pid", *keys, (F.sum("__n").over(W.partitionBy(*keys).orderBy("__pid"))

@@ -77,7 +77,7 @@ def save_keywords(ranked: DataFrame, out_dir: str) -> list[str]:
                                         F.col("kd").alias("KD"), F.col("cpc").alias("CPC"),
                                         F.col("intent").alias("Intent"))
     return [write_json(ranked.select("keyword", "volume", "kd", "cpc", "intent"), f"{out_dir}/keywords_json"),
-            write_csv(csv, f"{out_dir}/keyword_intelligence_csv")]
+            write_csv(csv, f"{out_dir}/keywords_ranked_csv")]
 
 
 OVERVIEW_COUNTERS = ["authority_score", "total_backlinks", "referring_domains", "referring_ips",

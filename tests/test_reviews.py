@@ -71,3 +71,14 @@ def test_key_phrases_small_corpus(spark):
     # min_df 2: only grams present in two documents survive
     assert set(kp) == {"red", "candle", "red candle"}
     assert abs(kp["red"] - kp["candle"]) < 1e-9
+
+
+def test_dashboard_keyword_dispatch(spark):
+    from marketlens.operators.dashboard import transform_keyword_data
+    rel = spark.createDataFrame([(1, "Car", 1.0, None, 2.0, None), (2, "car", 5.0, 3.0, None, "T"),
+                                 (3, "", 9.0, 9.0, 9.0, "C")],
+                                "seq long, keyword string, volume double, kd double, cpc double, intent string")
+    got = {r.keyword: tuple(r)[1:] for r in transform_keyword_data(rel).collect()}
+    assert got == {"car": (5.0, 3.0, 0.0, "T")}          # last wins, defaults, empty skipped
+    ready = transform_keyword_data(rel.drop("seq"))
+    assert ready.count() == 3                            # already keyed: passed through
