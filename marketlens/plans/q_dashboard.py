@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import dashboard as D
 from ..operators import keywords as K
 from ..operators import links as L
 from ..operators import reviews as R
-from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, with_views
+from ..sources.fixtures import clients_df, keyword_obs_df, links_df, paid_kw_df, with_views
 from ..sources.tables import Tables
 from .q_keywords import _TYPED, KEYWORD_GAP_SQL, _roles
 from .q_links import _FACTS, _REG, backlink_roles
@@ -66,9 +67,7 @@ from j""", "links_v")
 
 @register("dashboard_backlinks", "D-02,K-06,X-20", DASHBOARD_BACKLINKS_SQL)
 def dashboard_backlinks(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    from ..sources.fixtures import links_df
-    facts = L.normalise_link_facts(links_df(t))
+    facts = L.normalise_link_facts(links_df(Tables(spark, sf_dir)))
     ov = L.backlink_overview(facts)
     # no vendor authority score in the tables: referring domains stand in
     ov = ov.withColumn("authority_score", F.col("referring_domains"))
@@ -98,7 +97,6 @@ where (k.section = 'top_pages' and k.rank <= 20) or (k.section = 'top_anchors' a
 
 @register("dashboard_target", "D-02,K-07,J-07", DASHBOARD_TARGET_SQL)
 def dashboard_target(spark, sf_dir):
-    from ..sources.fixtures import links_df
     facts = L.normalise_link_facts(links_df(Tables(spark, sf_dir)))
     return D.target_slices(backlink_roles(facts), L.top_pages(facts, 30), L.anchors(facts, 30),
                            L.referring_domains(facts, 50))
@@ -116,7 +114,6 @@ def _grid_inputs(t):
     # locations of a client: the nations of its region, in key order
     locs = (n.alias("a").join(n.alias("b"), F.col("a.n_regionkey") == F.col("b.n_regionkey"))
             .select(F.col("a.n_name").alias("client_id"), F.col("b.n_name").alias("location")))
-    from pyspark.sql import Window as W
     locs = locs.withColumn("seq", F.row_number().over(W.partitionBy("client_id").orderBy("location")))
     types = c.select("client_id").distinct().select(
         "client_id", F.posexplode(F.array(*[F.lit(s) for s in STORE_TYPES])).alias("seq", "store_type"))
