@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import dround, intent_label, parse_number, score_gate
+from ..session import checkpointed
 
 METRICS = ("volume", "kd", "cpc", "intent")
 
@@ -148,7 +149,9 @@ def organic_competitors(domain_kw: DataFrame, targets: DataFrame, by=("client_id
     the join multiplies target keywords by the domains holding them, never
     domain pairs in general.
     """
-    dk = domain_kw.select("domain", "keyword").distinct()
+    # the distinct (domain, keyword) set feeds three consumers: materialise
+    # it once (reliable checkpoint) instead of recomputing its input thrice
+    dk = checkpointed(domain_kw.select("domain", "keyword").distinct())
     sizes = dk.groupBy("domain").agg(F.count(F.lit(1)).alias("n_kw"))
     t = targets.select(*by, F.col("domain").alias("target"))
     tk = dk.join(t, dk.domain == t.target).select(*by, "target", "keyword")
