@@ -69,15 +69,23 @@ def read_reviews(spark: SparkSession, json_path: str | None = None, csv_path: st
 
 
 # ---- domain sinks ----------------------------------------------------------
-def save_keywords(ranked: DataFrame, out_dir: str) -> list[str]:
-    """S-06: keyword records as JSON lines and the ranked CSV
-    (Keyword, Volume, KD, CPC, Intent; volume descending, stable)."""
+def save_keywords(ranked: DataFrame, out_dir: str, competitors: DataFrame | None = None) -> list[str]:
+    """S-06: keyword records as JSON lines, the ranked CSV (Keyword, Volume,
+    KD, CPC, Intent; volume descending, stable) and, when given, the
+    competitor records (name defaults to the domain, priority to
+    'secondary', X-20)."""
     order = [F.desc("volume")] + [c for c in ("first_rank", "first_seq") if c in ranked.columns]
     csv = ranked.orderBy(*order).select(F.col("keyword").alias("Keyword"), F.col("volume").alias("Volume"),
                                         F.col("kd").alias("KD"), F.col("cpc").alias("CPC"),
                                         F.col("intent").alias("Intent"))
-    return [write_json(ranked.select("keyword", "volume", "kd", "cpc", "intent"), f"{out_dir}/keywords_json"),
-            write_csv(csv, f"{out_dir}/keywords_ranked_csv")]
+    paths = [write_json(ranked.select("keyword", "volume", "kd", "cpc", "intent"), f"{out_dir}/keywords_json"),
+             write_csv(csv, f"{out_dir}/keywords_ranked_csv")]
+    if competitors is not None:
+        comp = competitors.select(*[c for c in ("client_id",) if c in competitors.columns], "domain",
+                                  F.coalesce("name", "domain").alias("name"),
+                                  F.coalesce("priority", F.lit("secondary")).alias("priority"))
+        paths.append(write_json(comp, f"{out_dir}/competitors_json"))
+    return paths
 
 
 OVERVIEW_COUNTERS = ["authority_score", "total_backlinks", "referring_domains", "referring_ips",

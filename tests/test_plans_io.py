@@ -96,3 +96,17 @@ def test_streaming_windowed_complaints(spark, tmp_path):
     finally:
         q.stop()
     assert got == {"customer_service": 1}
+
+
+def test_keyword_sink_with_competitors(spark, tmp_path):
+    from marketlens.sources import sinks as K
+    ranked = spark.createDataFrame([("b", 5.0, 1.0, 0.5, "T", 1, 2), ("a", 9.0, 0.0, 0.0, "Unknown", 1, 1)],
+                                   "keyword string, volume double, kd double, cpc double, intent string, "
+                                   "first_rank int, first_seq long")
+    comps = spark.createDataFrame([("x.com", None, None), ("y.com", "Y", "primary")],
+                                  "domain string, name string, priority string")
+    paths = K.save_keywords(ranked, str(tmp_path), comps)
+    csv = spark.read.option("header", True).csv(paths[1]).collect()
+    assert [r.Keyword for r in csv] == ["a", "b"]
+    c = {r.domain: (r.name, r.priority) for r in spark.read.json(paths[2]).collect()}
+    assert c == {"x.com": ("x.com", "secondary"), "y.com": ("Y", "primary")}
