@@ -123,13 +123,20 @@ def save_sentiment(facets: dict[str, DataFrame], negatives: DataFrame, out_dir:
     return paths + [write_csv(negatives, f"{out_dir}/negative_reviews_csv")]
 
 
-def save_projections(monthly: DataFrame, summary: DataFrame, out_dir: str) -> list[str]:
-    """S-12: monthly JSON and summary JSON partitioned by scenario, and the
-    16-column monthly CSV."""
+def save_projections(monthly: DataFrame, summary: DataFrame, out_dir: str,
+                     inputs: DataFrame | None = None, as_of: str | None = None) -> list[str]:
+    """S-12: resolved inputs, monthly rows and summary rows as JSON
+    partitioned by scenario, and the 16-column monthly CSV.  ``as_of``
+    stamps ``generated_at`` (a parameter, so reruns are reproducible)."""
     from ..operators.projections import MONTHLY_COLUMNS
-    return [write_json(monthly, f"{out_dir}/monthly_json", ("scenario_id",)),
-            write_json(summary, f"{out_dir}/summary_json", ("scenario_id",)),
-            write_csv(monthly.select("scenario_id", *MONTHLY_COLUMNS), f"{out_dir}/monthly_csv")]
+    stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    paths = []
+    if inputs is not None:
+        paths.append(write_json(inputs.withColumn("generated_at", stamp), f"{out_dir}/inputs_json",
+                                ("scenario_id",)))
+    return paths + [write_json(monthly, f"{out_dir}/monthly_json", ("scenario_id",)),
+                    write_json(summary, f"{out_dir}/summary_json", ("scenario_id",)),
+                    write_csv(monthly.select("scenario_id", *MONTHLY_COLUMNS), f"{out_dir}/monthly_csv")]
 
 
 def save_visibility(frames: dict[str, DataFrame], out_dir: str) -> list[str]:
@@ -138,7 +145,8 @@ def save_visibility(frames: dict[str, DataFrame], out_dir: str) -> list[str]:
 
 
 def export_dashboard(datasets: dict[str, DataFrame], requested: list[str], out_dir: str,
-                     transforms: dict | None = None) -> tuple[list[str], DataFrame | None]:
+                     transforms: dict | None = None, source: str = "marketlens",
+                     as_of: str | None = None) -> tuple[list[str], DataFrame | None]:
     """S-14 / S-15: export the requested datasets for every client.
 
     Unknown or absent dataset names are skipped; a registered transform
@@ -165,7 +173,10 @@ def export_dashboard(datasets: dict[str, DataFrame], requested: list[str], out_d
     allc = counts[0]
     for c in counts[1:]:
         allc = allc.unionByName(c)
+    stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    # one row per client; the file list is bounded by the number of datasets
     manifest = allc.groupBy("client_id").agg(
-        F.array_sort(F.collect_list(F.struct("dataset", "rows"))).alias("files"))
+        F.array_sort(F.collect_list(F.struct("dataset", "rows"))).alias("files")).select(
+        F.col("client_id"), stamp.alias("generated_at"), F.lit(source).alias("source"), "files")
     write_json(manifest, f"{out_dir}/_manifest")
     return written, manifest

@@ -110,3 +110,21 @@ def test_keyword_sink_with_competitors(spark, tmp_path):
     assert [r.Keyword for r in csv] == ["a", "b"]
     c = {r.domain: (r.name, r.priority) for r in spark.read.json(paths[2]).collect()}
     assert c == {"x.com": ("x.com", "secondary"), "y.com": ("Y", "primary")}
+
+
+def test_projection_sink_and_manifest_stamp(spark, tmp_path):
+    from marketlens.operators import projections as G
+    from marketlens.sources import sinks as K
+    sc = spark.createDataFrame([(7, "luxury_ecommerce", 5000.0, 100.0, None, None, 2)],
+                               "scenario_id long, industry string, monthly_ad_spend double, aov double, "
+                               "cpc double, conversion_rate double, months int")
+    m = G.monthly_projection(sc, G.default_curves(spark))
+    paths = K.save_projections(m, G.projection_summary(m), str(tmp_path), inputs=G.resolve_inputs(sc),
+                               as_of="2025-01-01 00:00:00")
+    inp = spark.read.json(paths[0]).collect()[0]
+    assert inp.base_cpc == 2.5 and inp.base_cr == 1.5 and inp.generated_at.startswith("2025-01-01")
+    csv = spark.read.option("header", True).csv(paths[-1])
+    assert len(csv.columns) == 17 and csv.count() == 2
+    df = spark.createDataFrame([("c1", 1)], "client_id string, v int")
+    _, man = K.export_dashboard({"d": df}, ["d"], str(tmp_path / "dash"), as_of="2025-01-01 00:00:00")
+    assert str(man.collect()[0].generated_at).startswith("2025-01-01")
