@@ -12,22 +12,21 @@ from ..functions.text import TRIGGER_LIKELIHOOD, trigger_category, with_lowered
 from .joins import contains_join
 
 # --------------------------------------------------------------------------
-# Prompt templates of the source tool.  Each template is a
-# list of parts; T = target name, X = the keyword or competitor name.
-# Category order = the tool's dictionary order; ``limit`` = how many
-# keywords / competitors feed the template.
+# Prompt templates of the source tool, per category in its
+# dictionary order.  ``{target}`` is the target name, ``{keyword}`` a market
+# keyword, ``{name}`` a competitor name; ``limit`` = how many keywords /
+# competitors feed the category.
 # --------------------------------------------------------------------------
-T, X = object(), object()
 PROMPT_TEMPLATES = [
-    # (category, cat_order, feeds, limit, [templates...])
-    ("brand_direct", 1, "target", None, [["What is ", T, "?"], ["Tell me about ", T],
-                                         ["Is ", T, " reliable?"], [T, " reviews"]]),
-    ("category_discovery", 2, "keyword", 5, [["What are the best ", X, " companies?"], ["Who offers ", X, "?"]]),
-    ("comparison", 3, "competitor", 3, [[T, " vs ", X], ["Is ", X, " or ", T, " better?"]]),
-    ("recommendation", 4, "keyword", 3, [["Recommend a good ", X, " service"],
-                                         ["Which ", X, " company should I use?"]]),
-    ("how_to", 5, "keyword", 5, [["How does ", X, " work?"]]),
-    ("cost", 6, "keyword", 5, [["How much does ", X, " cost?"]]),
+    # (category, cat_order, feeds, limit, templates)
+    ("brand_direct", 1, "target", None, ["What is {target}?", "Tell me about {target}",
+                                         "Is {target} reliable?", "{target} reviews"]),
+    ("category_discovery", 2, "keyword", 5, ["What are the best {keyword} companies?", "Who offers {keyword}?"]),
+    ("comparison", 3, "competitor", 3, ["{target} vs {name}", "Is {name} or {target} better?"]),
+    ("recommendation", 4, "keyword", 3, ["Recommend a good {keyword} service",
+                                         "Which {keyword} company should I use?"]),
+    ("how_to", 5, "keyword", 5, ["How does {keyword} work?"]),
+    ("cost", 6, "keyword", 5, ["How much does {keyword} cost?"]),
 ]
 
 # The tool's six recommendations.  ``{n}`` is the number of
@@ -123,8 +122,24 @@ def recommendations(classified: DataFrame, seq_col: str, label_col: str) -> Data
                     tools.alias("tools"))
 
 
-def _render(parts, target: str, item: str | None):
-    cols = [F.col(target) if p is T else F.col(item) if p is X else F.lit(p) for p in parts]
+def template_parts(template: str) -> list[tuple[str, str]]:
+    """'Is {name} or {target} better?' -> [('lit', 'Is '), ('var', 'name'),
+    ('lit', ' or '), ('var', 'target'), ('lit', ' better?')]."""
+    import re
+    out = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
+        if piece:
+            out.append(("var" if i % 2 else "lit", piece))
+    return out
+
+
+def _render(template: str, target: str, item: str | None):
+    cols = []
+    for kind, piece in template_parts(template):
+        if kind == "lit":
+            cols.append(F.lit(piece))
+        else:
+            cols.append(F.col(target) if piece == "target" else F.col(item))
     return F.concat(*cols)
 
 
@@ -136,11 +151,11 @@ def _template_rows(feeds: str, target: str, item: str | None):
     for cat, order, feed, limit, tpls in PROMPT_TEMPLATES:
         if feed != feeds:
             continue
-        for j, parts in enumerate(tpls):
+        for j, tpl in enumerate(tpls):
             out.append(F.struct(F.lit(cat).alias("category"), F.lit(order).alias("cat_order"),
                                 F.lit(j + 1).alias("tpl_order"),
                                 F.lit(limit if limit is not None else 1 << 30).alias("lim"),
-                                _render(parts, target, item).alias("prompt")))
+                                _render(tpl, target, item).alias("prompt")))
     return F.array(*out)
 
 

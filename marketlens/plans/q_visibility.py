@@ -92,7 +92,8 @@ def _prompts_sql() -> str:
     parts = []
     for cat, order, feed, limit, tpls in V.PROMPT_TEMPLATES:
         for j, tpl in enumerate(tpls):
-            expr = " || ".join("t" if p is V.T else "x" if p is V.X else q(p) for p in tpl)
+            expr = " || ".join(q(v) if k == "lit" else ("t" if v == "target" else "x")
+                               for k, v in V.template_parts(tpl))
             src = {"target": "(select client_id, 0 as item_seq, t, null as x from tg)",
                    "keyword": "(select k.client_id, k.seq as item_seq, tg.t, k.keyword as x from kw k join tg on k.client_id = tg.client_id)",
                    "competitor": "(select c.client_id, c.seq as item_seq, tg.t, c.name as x from cp c join tg on c.client_id = tg.client_id)"}[feed]

@@ -91,3 +91,20 @@ def test_contains_join_chunked_equals_single_pass(spark):
     one = sorted(map(tuple, contains_join(texts, pats, "t", "p").collect()))
     many = sorted(map(tuple, contains_join(texts, pats, "t", "p", max_broadcast=1).collect()))
     assert one == many == [("abc", "a"), ("abc", "bc"), ("xbcx", "bc"), ("zzz", "z")]
+
+
+def test_prompt_texts_literal(spark):
+    t = spark.createDataFrame([("c", "Acme")], "client_id string, target_name string")
+    kw = spark.createDataFrame([("c", i, f"kw{i}") for i in range(1, 7)], "client_id string, seq int, keyword string")
+    cp = spark.createDataFrame([("c", i, f"C{i}") for i in range(1, 5)], "client_id string, seq int, name string")
+    p = V.build_prompts(t, kw, cp)
+    rows = sorted((r.cat_order, r.item_seq, r.tpl_order, r.prompt) for r in p.collect())
+    prompts = [r[3] for r in rows]
+    assert prompts[:4] == ["What is Acme?", "Tell me about Acme", "Is Acme reliable?", "Acme reviews"]
+    assert prompts[4:6] == ["What are the best kw1 companies?", "Who offers kw1?"]
+    assert "Is C3 or Acme better?" in prompts and "Acme vs C4" not in prompts
+    assert "How much does kw5 cost?" in prompts and "How does kw6 work?" not in prompts
+    counts = {}
+    for r in rows:
+        counts[r[0]] = counts.get(r[0], 0) + 1
+    assert counts == {1: 4, 2: 10, 3: 6, 4: 6, 5: 5, 6: 5}
