@@ -19,7 +19,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
                       num_partitions: int | None = None) -> DataFrame:
     """Attach a 1-based global row number in ``order`` (must be a total
     order for a deterministic result) without funnelling rows into one task."""
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Materialise the range partitioning once (reliable checkpoint to the
     # shared spark.checkpoint.dir): the numbering and the partition sizes
     # below must see the same partition of every row, and two independent

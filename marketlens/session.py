@@ -67,5 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpointed(df):
     """Reliable, eager checkpoint into the session's checkpoint directory:
     cuts the lineage and survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
+    try:
+        ensure_checkpoint_dir(df.sparkSession)
+    except AttributeError:  # Spark Connect: the server owns the checkpoint dir
+        pass
     return df.checkpoint(eager=True)

@@ -37,5 +37,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     round-robin repartitioned; a large input already has thousands of
     splits and passes through untouched, so no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session: no RDD view)
+        return df
+    return df.repartition(target) if current < target else df
