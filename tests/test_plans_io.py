@@ -128,3 +128,27 @@ def test_projection_sink_and_manifest_stamp(spark, tmp_path):
     df = spark.createDataFrame([("c1", 1)], "client_id string, v int")
     _, man = K.export_dashboard({"d": df}, ["d"], str(tmp_path / "dash"), as_of="2025-01-01 00:00:00")
     assert str(man.collect()[0].generated_at).startswith("2025-01-01")
+
+
+def test_remaining_sinks_round_trip(spark, tmp_path):
+    from marketlens.sources import sinks as K
+    out = str(tmp_path)
+    ov = spark.createDataFrame([("a.com", 3, 2, None)], "target_host string, total_backlinks long, "
+                               "referring_domains long, follow_links long")
+    p = K.save_backlinks(ov, out)
+    summ = spark.read.option("header", True).csv(p[1]).collect()[0]
+    assert summ.domain == "a.com" and summ.follow_links == "0" and summ.image_links == "0"
+    avg = spark.createDataFrame([(1.5,)], "avg_cpc double")
+    top = spark.createDataFrame([("d", "kw", 1)], "domain string, keyword string, position int")
+    assert len(K.save_paid(avg, top, top, out)) == 3
+    neg = spark.createDataFrame([(1, "txt", ["price_value", "other"])],
+                                "review_seq long, text string, categories array<string>")
+    p = K.save_sentiment({"top_complaints": avg}, neg, out)
+    assert spark.read.option("header", True).csv(p[-1]).collect()[0].categories == '["price_value","other"]'
+    p = K.save_visibility({"prompts": top}, out)
+    assert spark.read.json(p[0]).count() == 1
+    rev = spark.createDataFrame([(1, "b", "long enough text")], "review_seq long, brand string, text string")
+    p = K.save_reviews(rev, out)
+    assert len(p) == 2
+    back = K.read_reviews(spark, json_path=p[1])
+    assert back.collect()[0].text == "long enough text"
