@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import dround, intent_label, parse_number, score_gate
 from ..session import checkpointed
+from .joins import contains_join
 
 METRICS = ("volume", "kd", "cpc", "intent")
 
@@ -131,11 +132,13 @@ def related_keywords(seeds: DataFrame, universe: DataFrame, per_seed: int = 20)
     """Related-keyword discovery (J-10): for every seed, keywords that
     contain the lower-cased seed and differ from it, top ``per_seed`` by
     volume descending then keyword.  ``seeds`` is the tool's short seed
-    list (first five market keywords), so it is broadcast; the containment
-    test runs as a broadcast nested-loop filter over the keyword universe.
+    list (first five market keywords): it is counted, then broadcast (in
+    bounded chunks if it were large); the containment test runs as a
+    broadcast nested-loop filter over the keyword universe.
     """
-    s = F.broadcast(seeds.select("seed_seq", F.lower("seed").alias("seed")))
-    j = universe.join(s, F.col("keyword").contains(F.col("seed")) & (F.col("keyword") != F.col("seed")))
+    s = seeds.select("seed_seq", F.lower("seed").alias("seed"))
+    # size-checked broadcast of the seed list (see joins.contains_join)
+    j = contains_join(universe, s, "keyword", "seed").filter(F.col("keyword") != F.col("seed"))
     w = W.partitionBy("seed_seq").orderBy(F.desc("volume"), "keyword")
     return (j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= per_seed)
             .select("seed_seq", "seed", "rank", "keyword", "volume"))
