@@ -97,26 +97,39 @@ def paid_rows(raw: DataFrame, max_rows: int = 10) -> DataFrame:
                     F.get(c, 4).alias("traffic_pct")).filter(F.col("keyword") != "")
 
 
-def link_rows(raw: DataFrame, max_rows: int = 50) -> DataFrame:
-    """C-09: one typed row per scraped backlink-table row (>= 2 cells):
-    referring domain (X-10), anchor (first non-empty first line of the
-    first two cells) with its first two positive numbers of the remaining
-    cells (X-12), page URL (X-11) with the first two positive numbers of
-    all cells."""
+def link_rows(raw: DataFrame, max_rows: int = 50, table: str | None = None) -> DataFrame:
+    """C-09: typed backlink-table rows (first ``max_rows`` of a page, >= 2
+    cells), one output row per (table kind, raw row) in a long format:
+
+    * ``referring_domains``: key = first of the first three cells whose
+      first line holds a dot and is longer than 3 characters (X-10);
+    * ``anchors``: key = first non-empty first line of the first two cells
+      (X-08), metrics = first two positive numbers of the other cells (X-12);
+    * ``top_pages``: key = first of the first two cells whose first line
+      holds '/' or 'http' (X-11), metrics = first two positive numbers of
+      all cells.
+
+    Rows without a key are dropped, per table.  ``table`` restricts the
+    output to one kind.
+    """
     r = _cap(raw, max_rows).filter(F.size("cells") >= 2)
     c = F.col("cells")
     anchor = _first(F.filter(F.transform(F.slice(c, 1, 2), lambda x: first_line(x)), lambda x: F.length(x) > 0))
     nums_rest = positive_numbers(F.slice(c, 2, 1 << 20))
     nums_all = positive_numbers(c)
-    return r.select(
-        "domain", "row_seq",
-        first_domain_cell(c).alias("ref_domain"),
-        anchor.alias("anchor"),
-        F.coalesce(F.get(nums_rest, 0), F.lit(0.0)).alias("anchor_ref_domains"),
-        F.coalesce(F.get(nums_rest, 1), F.lit(0.0)).alias("anchor_backlinks"),
-        first_url_cell(c).alias("page_url"),
-        F.coalesce(F.get(nums_all, 0), F.lit(0.0)).alias("page_ref_domains"),
-        F.coalesce(F.get(nums_all, 1), F.lit(0.0)).alias("page_backlinks"))
+    zero = F.lit(0.0)
+    kinds = {
+        "referring_domains": (first_domain_cell(c), zero, zero),
+        "anchors": (anchor, F.coalesce(F.get(nums_rest, 0), zero), F.coalesce(F.get(nums_rest, 1), zero)),
+        "top_pages": (first_url_cell(c), F.coalesce(F.get(nums_all, 0), zero), F.coalesce(F.get(nums_all, 1), zero)),
+    }
+    if table is not None:
+        kinds = {table: kinds[table]}
+    # one generator over the (<= 3) table kinds: a single pass over the rows
+    structs = F.array(*[F.struct(F.lit(k).alias("table"), key.alias("item"), n1.alias("referring_domains"),
+                                 n2.alias("backlinks")) for k, (key, n1, n2) in kinds.items()])
+    out = r.select("domain", "row_seq", F.explode(structs).alias("t")).select("domain", "row_seq", "t.*")
+    return out.filter(F.col("item").isNotNull() & (F.col("item") != ""))
 
 
 def ai_rows(raw: DataFrame, max_competitors: int = 20, max_prompts: int = 30) -> DataFrame:

@@ -82,24 +82,35 @@ def _posnums(lst: str) -> str:
 
 
 LINK_ROWS_SQL = _views_then(f"""
-r as {_cap_sql(50, 2)},
+lv as (select domain, row_seq, cells from raw_rows_v
+       union all
+       select domain || '/url-first', row_seq, list_reverse(cells) from raw_rows_v),
+r as (select * from (select *, row_number() over (partition by domain order by row_seq) as rn from lv)
+      where rn <= 50 and len(cells) >= 2),
 t as (select domain, row_seq, cells,
              list_filter(cells[1:3], lambda c: contains({FL('c')}, '.') and length({FL('c')}) > 3)[1] as dc,
              list_filter(list_transform(cells[1:2], lambda c: {FL('c')}), lambda x: length(x) > 0)[1] as anchor,
              {_posnums('cells[2:]')} as nr, {_posnums('cells')} as na,
              list_filter(cells[1:2], lambda c: contains(string_split({S('c')}, chr(10))[1], '/')
                                              or contains(string_split({S('c')}, chr(10))[1], 'http'))[1] as uc
-      from r)
-select domain, row_seq, {FL('dc')} as ref_domain, anchor,
-       coalesce(nr[1], 0.0) as anchor_ref_domains, coalesce(nr[2], 0.0) as anchor_backlinks,
-       string_split({S('uc')}, chr(10))[1] as page_url,
-       coalesce(na[1], 0.0) as page_ref_domains, coalesce(na[2], 0.0) as page_backlinks
-from t""", "raw_rows_v")
+      from r),
+u as (select domain, row_seq, 'referring_domains' as "table", {FL('dc')} as item,
+             0.0 as referring_domains, 0.0 as backlinks from t
+      union all
+      select domain, row_seq, 'anchors', anchor, coalesce(nr[1], 0.0), coalesce(nr[2], 0.0) from t
+      union all
+      select domain, row_seq, 'top_pages', string_split({S('uc')}, chr(10))[1],
+             coalesce(na[1], 0.0), coalesce(na[2], 0.0) from t)
+select * from u where item is not null and item <> ''""", "raw_rows_v")
 
 
 @register("typed_link_rows", "C-09,X-10,X-11,X-12", LINK_ROWS_SQL)
 def typed_link_rows(spark, sf_dir):
-    return TY.link_rows(raw_rows_df(Tables(spark, sf_dir)))
+    # two table layouts: the scraped rows as they are, and URL-first pages
+    raw = raw_rows_df(Tables(spark, sf_dir))
+    url_first = raw.select(F.concat(F.col("domain"), F.lit("/url-first")).alias("domain"), "row_seq",
+                           F.reverse("cells").alias("cells"))
+    return TY.link_rows(raw.unionByName(url_first))
 
 
 AI_ROWS_SQL = _views_then(f"""
