@@ -82,3 +82,10 @@ def test_dashboard_keyword_dispatch(spark):
     assert got == {"car": (5.0, 3.0, 0.0, "T")}          # last wins, defaults, empty skipped
     ready = transform_keyword_data(rel.drop("seq"))
     assert ready.count() == 3                            # already keyed: passed through
+
+
+def test_pluggable_scorer(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, "b", "x", "whatever text", None)], SCHEMA)
+    out = R.score_reviews(df, scorer=lambda c: F.lit(-0.5)).collect()[0]
+    assert out.sentiment == -0.5 and out.categories == ["other"]
