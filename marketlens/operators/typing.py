@@ -71,9 +71,11 @@ def keyword_rows(raw: DataFrame, volume_text: Column | None = None, kd_text: Col
     keyword (X-09); CPC = the first '$' line that parses to non-zero;
     intent = the last line that is an intent code or label; volume when
     > 0 and KD in (0, 100] from their own elements (0 when absent)."""
-    r = _cap(raw, max_rows).filter(F.size("cells") >= 3)
-    lines = _lines(F.col("cells"))
-    cpc_line = _first(F.filter(lines, lambda l: l.contains("$") & (parse_number(l) != 0)))
+    r = _cap(raw, max_rows).filter(F.size("cells") >= 3).withColumn("__lines", _lines(F.col("cells")))
+    lines = F.col("__lines")
+    # every '$' line parsed once; the first non-zero value is the CPC
+    dollars = F.filter(F.transform(lines, lambda l: F.when(l.contains("$"), parse_number(l))),
+                       lambda x: x.isNotNull() & (x != 0))
     intents = F.filter(lines, lambda l: l.isin(*INTENT_CODES, *INTENT_LABELS))
     last_int = F.get(intents, F.size(intents) - 1)
     intent = F.coalesce(
@@ -83,7 +85,7 @@ def keyword_rows(raw: DataFrame, volume_text: Column | None = None, kd_text: Col
     kd = score_gate(parse_number(kd_text), 100.0) if kd_text is not None else F.lit(0.0)
     out = r.select("domain", "row_seq", first_keyword_cell(F.col("cells")).alias("keyword"),
                    vol.alias("volume"), kd.alias("kd"),
-                   F.coalesce(parse_number(cpc_line), F.lit(0.0)).alias("cpc"), intent.alias("intent"))
+                   F.coalesce(_first(dollars), F.lit(0.0)).alias("cpc"), intent.alias("intent"))
     return out.filter(F.col("keyword").isNotNull() & (F.col("keyword") != ""))
 
 
@@ -113,10 +115,12 @@ def link_rows(raw: DataFrame, max_rows: int = 50, table: str | None = None) -> D
     output to one kind.
     """
     r = _cap(raw, max_rows).filter(F.size("cells") >= 2)
+    # every cell's first line parsed once, reused by both number lists
+    r = r.withColumn("__p", F.transform(F.col("cells"), lambda x: parse_number(F.get(F.split(py_strip(x), "\n"), 0))))
     c = F.col("cells")
     anchor = _first(F.filter(F.transform(F.slice(c, 1, 2), lambda x: first_line(x)), lambda x: F.length(x) > 0))
-    nums_rest = positive_numbers(F.slice(c, 2, 1 << 20))
-    nums_all = positive_numbers(c)
+    nums_rest = F.filter(F.slice(F.col("__p"), 2, 1 << 20), lambda v: v > 0)
+    nums_all = F.filter(F.col("__p"), lambda v: v > 0)
     zero = F.lit(0.0)
     kinds = {
         "referring_domains": (first_domain_cell(c), zero, zero),
@@ -156,20 +160,23 @@ def typed_cards(cards: DataFrame) -> DataFrame:
     keyword CPC lookup: raw volume / cpc / competition = v0..v2;
     backlinks: authority, total, referring domains, referring IPs = v0..v3;
     AI overview: score, mentions, prompts tracked = v0..v2;
-    brand performance: the first ten raw values."""
+    brand performance: the first ten raw values.
+    Each position is parsed once (a projection of its own) and reused."""
     v = F.filter(F.transform(F.col("values"), lambda x: py_strip(x)), lambda x: F.length(x) > 0)
-    n = F.size(v)
-    num = lambda i: F.when(n > i, parse_number(F.get(v, i))).otherwise(F.lit(0.0))
-    return cards.select(
+    staged = cards.select("domain", v.alias("v")).select(
+        "domain", "v", F.size("v").alias("n"),
+        *[parse_number(F.get(F.col("v"), i)).alias(f"p{i}") for i in range(4)])
+    num = lambda i: F.when(F.col("n") > i, F.col(f"p{i}")).otherwise(F.lit(0.0))
+    return staged.select(
         "domain",
         num(0).alias("kw_volume"),
-        F.when(n >= 3, parse_number(F.get(v, 2))).otherwise(F.lit(0.0)).alias("kw_cpc"),
-        F.get(v, 0).alias("lookup_volume_raw"), F.get(v, 1).alias("lookup_cpc_raw"),
-        F.get(v, 2).alias("lookup_competition_raw"),
+        F.when(F.col("n") >= 3, F.col("p2")).otherwise(F.lit(0.0)).alias("kw_cpc"),
+        F.get(F.col("v"), 0).alias("lookup_volume_raw"), F.get(F.col("v"), 1).alias("lookup_cpc_raw"),
+        F.get(F.col("v"), 2).alias("lookup_competition_raw"),
         num(0).alias("authority_score"), num(1).alias("total_backlinks"),
         num(2).alias("referring_domains"), num(3).alias("referring_ips"),
         num(0).alias("ai_visibility_score"), num(1).alias("ai_mentions"), num(2).alias("prompts_tracked"),
-        F.array_join(F.slice(v, 1, 10), " | ").alias("raw_metrics"))
+        F.array_join(F.slice(F.col("v"), 1, 10), " | ").alias("raw_metrics"))
 
 
 def link_type_split(elements: DataFrame, by=("domain",)) -> DataFrame:
