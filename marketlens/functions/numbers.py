@@ -32,25 +32,22 @@ def _trunc(x: Column) -> Column:
     return x - (x % F.lit(1.0))
 
 
-def parse_number(c, legacy: bool = False) -> Column:
-    """Human number string -> double (X-01).
+def clean_number_text(c) -> Column:
+    """First half of X-01: strip; delete ``, $ %`` and en/em dashes; strip."""
+    return py_strip(F.regexp_replace(py_strip(F.coalesce(_col(c), F.lit(""))), "[,$%–—]", ""))
 
-    strip; delete ``, $ %`` and en/em dashes; strip; empty, ``-`` or ``n/a``
-    -> 0; K/M/B suffix (any case) -> ``trunc(float(head) * 10^n)``; with a
-    ``.`` -> float; otherwise int; anything unparseable -> 0.
-    ``legacy=True`` returns :func:`parse_volume_legacy` instead.
-    """
-    if legacy:
-        return parse_volume_legacy(c)
-    s = py_strip(F.regexp_replace(py_strip(F.coalesce(_col(c), F.lit(""))),
-                                  "[,$%–—]", ""))
+
+def parse_clean(s) -> Column:
+    """Second half of X-01, on an already cleaned string: empty, ``-`` or
+    ``n/a`` -> 0; K/M/B suffix (any case) -> ``trunc(float(head) * 10^n)``;
+    with a ``.`` -> float; otherwise int; anything unparseable -> 0."""
+    s = _col(s)
     last = F.upper(F.substring(s, -1, 1))
     head = py_strip(F.substring(s, F.lit(1), F.length(s) - F.lit(1)))
     scale = (F.when(last == "B", F.lit(1e9))
              .when(last == "M", F.lit(1e6))
              .when(last == "K", F.lit(1e3)))
-    head_ok = head.rlike(_FLOAT_RE)
-    suffixed = F.when(head_ok, _trunc(head.try_cast("double") * scale))
+    suffixed = F.when(head.rlike(_FLOAT_RE), _trunc(head.try_cast("double") * scale))
     plain = (F.when(s.contains("."), F.when(s.rlike(_FLOAT_RE), s.try_cast("double")))
              .otherwise(F.when(s.rlike(_INT_RE), s.try_cast("double"))))
     value = F.when(scale.isNotNull(), suffixed).otherwise(plain)
@@ -58,6 +55,31 @@ def parse_number(c, legacy: bool = False) -> Column:
     return F.when(empty, F.lit(0.0)).otherwise(F.coalesce(value, F.lit(0.0)))
 
 
+def parse_number(c, legacy: bool = False) -> Column:
+    """Human number string -> double (X-01).
+
+    strip; delete ``, $ %`` and en/em dashes; strip; empty, ``-`` or ``n/a``
+    -> 0; K/M/B suffix (any case) -> ``trunc(float(head) * 10^n)``; with a
+    ``.`` -> float; otherwise int; anything unparseable -> 0.
+    ``legacy=True`` returns :func:`parse_volume_legacy` instead.
+
+    On a DataFrame, prefer :func:`with_parsed_numbers`, which materialises
+    the cleaned string once so the CASE branches do not repeat the
+    cleaning regexes.
+    """
+    if legacy:
+        return parse_volume_legacy(c)
+    return parse_clean(clean_number_text(c))
+
+
+def with_parsed_numbers(df, mapping: dict):
+    """Add parsed columns ``{out: raw}`` in two projections: the cleaned
+    strings first (one regex pass per value), then the parse on them."""
+    tmp = {f"__clean_{o}": clean_number_text(r) for o, r in mapping.items()}
+    staged = df.withColumns(tmp)
+    return staged.withColumns({o: parse_clean(f"__clean_{o}") for o in mapping}).drop(*tmp)
+
+
 def parse_cpc(c) -> Column:
     """CPC string -> double, NULL when empty or unparseable (X-02).
 

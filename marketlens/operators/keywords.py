@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.numbers import dround, intent_label, parse_number, score_gate
+from ..functions.numbers import dround, intent_label, score_gate, with_parsed_numbers
 from ..session import checkpointed
 from .joins import contains_join
 
@@ -24,12 +24,13 @@ def parse_metrics(obs: DataFrame) -> DataFrame:
     """
     extra = [c for c in obs.columns if c not in
              ("keyword", "volume_raw", "kd_raw", "cpc_raw", "intent_raw")]
-    return obs.select(
+    parsed = with_parsed_numbers(obs, {"__vol": "volume_raw", "__kd": "kd_raw", "__cpc": "cpc_raw"})
+    return parsed.select(
         *extra,
         F.lower("keyword").alias("keyword"),
-        score_gate(parse_number("volume_raw"), None).alias("volume"),
-        score_gate(parse_number("kd_raw"), 100.0).alias("kd"),
-        parse_number("cpc_raw").alias("cpc"),
+        score_gate("__vol", None).alias("volume"),
+        score_gate("__kd", 100.0).alias("kd"),
+        F.col("__cpc").alias("cpc"),
         intent_label("intent_raw").alias("intent"),
     )
 
