@@ -9,19 +9,14 @@ from ..operators import dashboard as D
 from ..operators import keywords as K
 from ..operators import links as L
 from ..operators import reviews as R
-from ..sources.fixtures import clients_df, keyword_obs_df, links_df, paid_kw_df, with_views
+from ..sources.fixtures import clients_df, keyword_obs_df, links_df, paid_kw_df, views_then, with_views
 from ..sources.tables import Tables
 from .q_keywords import _TYPED, KEYWORD_GAP_SQL, _roles
 from .q_links import _FACTS, _REG, backlink_roles
 from .registry import register
 
 
-def _views_then(body: str, *views: str) -> str:
-    head = with_views("select 1", *views).replace("\nselect 1", "")
-    return head + ",\n" + body
-
-
-DASHBOARD_KEYWORDS_SQL = _views_then(f"""
+DASHBOARD_KEYWORDS_SQL = views_then(f"""
 {_TYPED.replace('SRC', 'keyword_obs_v')}
 select lower(keyword) as keyword,
        arg_max(coalesce(volume, 0.0), seq) as volume, arg_max(coalesce(kd, 0.0), seq) as kd,
@@ -51,7 +46,7 @@ _ROLES = """roles as (select 'links' as client_id, row_number() over (order by t
                  target_host as domain
           from (select distinct target_host from facts order by target_host limit 5))"""
 
-DASHBOARD_BACKLINKS_SQL = _views_then(_FACTS + ",\n" + _ROLES + f""",
+DASHBOARD_BACKLINKS_SQL = views_then(_FACTS + ",\n" + _ROLES + f""",
 ov as (select target_host, count(*) as total_backlinks, count(distinct {_REG.format('src_host')}) as referring_domains,
               count_if(not nofollow) as follow_links, count_if(nofollow) as nofollow_links
        from facts where src_host <> target_host group by 1),
@@ -74,7 +69,7 @@ def dashboard_backlinks(spark, sf_dir):
     return D.backlink_comparison(ov, backlink_roles(facts))
 
 
-DASHBOARD_TARGET_SQL = _views_then(_FACTS + ",\n" + _ROLES + f""",
+DASHBOARD_TARGET_SQL = views_then(_FACTS + ",\n" + _ROLES + f""",
 x as (select * from facts where src_host <> target_host),
 pg as (select target_host, 'top_pages' as section, target_path as item,
               count(distinct {_REG.format('src_host')}) as referring_domains, count(*) as backlinks from x group by 1, 3),

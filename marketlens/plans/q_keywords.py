@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import INTENT_CODES, INTENT_LABELS
 from ..operators import keywords as K
 from ..operators.ranking import global_row_number
-from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, with_views
+from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, views_then, with_views
 from ..sources.tables import Tables
 from .oracle_sql import dround_sql, parse_number_sql, q
 from .registry import register
@@ -53,13 +53,7 @@ def _merged(t):
     return K.merge_keywords(_typed(t))
 
 
-def _views_then(body: str, *views: str) -> str:
-    """``with <views>, <body ctes> select ...``"""
-    head = with_views("select 1", *views).replace("\nselect 1", "")
-    return head + ",\n" + body
-
-
-PARSE_METRICS_SQL = _views_then(_TYPED.replace("SRC", "keyword_obs_v") + "\nselect * from typed",
+PARSE_METRICS_SQL = views_then(_TYPED.replace("SRC", "keyword_obs_v") + "\nselect * from typed",
                                 "keyword_obs_v")
 
 
@@ -68,7 +62,7 @@ def parse_metrics(spark, sf_dir):
     return _typed(Tables(spark, sf_dir))
 
 
-KEYWORD_MERGE_SQL = _views_then(_merged_sql("keyword_obs_v") + "\nselect * from merged", "keyword_obs_v")
+KEYWORD_MERGE_SQL = views_then(_merged_sql("keyword_obs_v") + "\nselect * from merged", "keyword_obs_v")
 
 
 @register("keyword_merge", "K-03,J-06", KEYWORD_MERGE_SQL)
@@ -94,7 +88,7 @@ capped as (select o.* from (select o.*, gr.g_rank,
            where {' or '.join(conds)} or source_rank not in ({caps}))"""
 
 
-KEYWORD_CAPPED_MERGE_SQL = _views_then(
+KEYWORD_CAPPED_MERGE_SQL = views_then(
     _capped_src_sql() + ",\n" + _merged_sql("capped") + "\nselect * from merged", "keyword_obs_v")
 
 
@@ -104,7 +98,7 @@ def keyword_capped_merge(spark, sf_dir):
     return K.merge_keywords(K.parse_metrics(K.cap_sources(keyword_obs_df(t), SOURCE_CAPS)))
 
 
-KEYWORD_COVERAGE_SQL = _views_then(_merged_sql("keyword_obs_v") + """
+KEYWORD_COVERAGE_SQL = views_then(_merged_sql("keyword_obs_v") + """
 select count(*) as total_keywords, count_if(volume > 0) as with_volume, count_if(kd > 0) as with_kd,
        count_if(cpc > 0) as with_cpc, count_if(intent <> 'Unknown') as with_intent from merged""",
                                    "keyword_obs_v")
@@ -115,7 +109,7 @@ def keyword_coverage(spark, sf_dir):
     return K.keyword_coverage(_merged(Tables(spark, sf_dir)))
 
 
-KEYWORD_RANKING_SQL = _views_then(_merged_sql("keyword_obs_v") + """
+KEYWORD_RANKING_SQL = views_then(_merged_sql("keyword_obs_v") + """
 select keyword, volume, kd, cpc, intent,
        row_number() over (order by volume desc, first_rank, first_seq) as rank from merged""",
                                   "keyword_obs_v")
@@ -134,7 +128,7 @@ def _roles(t):
     return c.filter((F.col("seq") == 0) | (F.col("priority") == "primary"))
 
 
-KEYWORD_GAP_SQL = _views_then("""roles as (select client_id, seq, domain from clients_v
+KEYWORD_GAP_SQL = views_then("""roles as (select client_id, seq, domain from clients_v
                where (seq = 0 or priority = 'primary') and seq <= 4),
 j as (select r.client_id, r.seq, p.domain, p.keyword, p.position from paid_kw_v p join roles r on p.domain = r.domain),
 a as (select client_id, keyword, bool_or(seq = 0) as in_t,
@@ -153,7 +147,7 @@ def keyword_gap(spark, sf_dir):
     return K.domain_keyword_gap(paid_kw_df(t), _roles(t), max_competitors=4)
 
 
-RELATED_KEYWORDS_SQL = _views_then(_merged_sql("keyword_obs_v") + """,
+RELATED_KEYWORDS_SQL = views_then(_merged_sql("keyword_obs_v") + """,
 seeds as (select row_number() over (order by seq) as seed_seq,
                  lower(regexp_replace(keyword, ' [^ ]+$', '')) as seed
           from keyword_obs_v where source_rank = 1 order by seq limit 5),
@@ -175,7 +169,7 @@ def related_keywords(spark, sf_dir):
     return K.related_keywords(seeds, K.merge_keywords(K.parse_metrics(obs)).select("keyword", "volume"))
 
 
-ORGANIC_COMPETITORS_SQL = _views_then(f"""dk as (select distinct domain, keyword from paid_kw_v),
+ORGANIC_COMPETITORS_SQL = views_then(f"""dk as (select distinct domain, keyword from paid_kw_v),
 sizes as (select domain, count(*) as n_kw from dk group by domain),
 t as (select client_id, domain as target from clients_v where seq = 0),
 pairs as (select t.client_id, t.target, d2.domain, count(*) as shared

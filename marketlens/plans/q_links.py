@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import links as L
-from ..sources.fixtures import links_df, with_views
+from ..sources.fixtures import links_df, views_then, with_views
 from ..sources.tables import Tables, ensure_parallelism
 from .registry import register
 
@@ -14,11 +14,6 @@ _HOST = "lower(regexp_extract({}, '^https?://([^/?#:]+)', 1))"
 _REG = "regexp_extract({}, '([^.]+\\.[^.]+)$', 1)"
 
 
-def _views_then(body: str, *views: str) -> str:
-    head = with_views("select 1", *views).replace("\nselect 1", "")
-    return head + ",\n" + body
-
-
 PAGE_LINKS_CTE = f"""el as (select page_id, {_HOST.format('url')} as src_host, url,
               unnest(regexp_extract_all(html, '(?is)<a\\s[^>]*>.*?</a>', 0)) as el,
               generate_subscripts(regexp_extract_all(html, '(?is)<a\\s[^>]*>.*?</a>', 0), 1) - 1 as link_pos
@@ -73,7 +68,7 @@ def _facts(spark, sf_dir):
     return L.normalise_link_facts(links_df(Tables(spark, sf_dir)))
 
 
-BACKLINK_OVERVIEW_SQL = _views_then(_FACTS + "\n" + _overview_sql("facts", False), "links_v")
+BACKLINK_OVERVIEW_SQL = views_then(_FACTS + "\n" + _overview_sql("facts", False), "links_v")
 
 
 @register("backlink_overview", "A-11,C-08", BACKLINK_OVERVIEW_SQL)
@@ -81,7 +76,7 @@ def backlink_overview(spark, sf_dir):
     return L.backlink_overview(_facts(spark, sf_dir))
 
 
-REF_DOMAINS_SQL = _views_then(_FACTS + f""",
+REF_DOMAINS_SQL = views_then(_FACTS + f""",
 a as (select target_host, {_REG.format('src_host')} as ref_domain, count(*) as backlinks
       from facts where src_host <> target_host group by 1, 2)
 select * from (select *, cast(row_number() over (partition by target_host order by backlinks desc, ref_domain)
@@ -93,7 +88,7 @@ def ref_domains(spark, sf_dir):
     return L.referring_domains(_facts(spark, sf_dir), k=50)
 
 
-ANCHORS_SQL = _views_then(_FACTS + f""",
+ANCHORS_SQL = views_then(_FACTS + f""",
 a as (select target_host, anchor, count(distinct {_REG.format('src_host')}) as referring_domains,
              count(*) as backlinks from facts where src_host <> target_host group by 1, 2)
 select * from (select *, cast(row_number() over (partition by target_host
@@ -106,7 +101,7 @@ def anchors(spark, sf_dir):
     return L.anchors(_facts(spark, sf_dir), k=30)
 
 
-TOP_PAGES_SQL = _views_then(_FACTS + f""",
+TOP_PAGES_SQL = views_then(_FACTS + f""",
 a as (select target_host, target_path, count(distinct {_REG.format('src_host')}) as referring_domains,
              count(*) as backlinks from facts where src_host <> target_host group by 1, 2)
 select * from (select *, cast(row_number() over (partition by target_host
@@ -128,7 +123,7 @@ def backlink_roles(facts):
                         F.col("target_host").alias("domain"))
 
 
-BACKLINK_GAP_SQL = _views_then(_FACTS + """,
+BACKLINK_GAP_SQL = views_then(_FACTS + """,
 roles as (select 'links' as client_id, row_number() over (order by target_host) - 1 as seq, target_host as domain
           from (select distinct target_host from facts order by target_host limit 5)),
 j as (select r.client_id, r.seq, f.src_host, f.target_host from facts f join roles r on f.target_host = r.domain

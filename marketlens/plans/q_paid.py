@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import paid as P
-from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, raw_cards_df, with_views
+from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, raw_cards_df, views_then, with_views
 from ..sources.tables import Tables
 from .oracle_sql import dround_sql
 from .registry import register
 
 
-def _views_then(body: str, *views: str) -> str:
-    head = with_views("select 1", *views).replace("\nselect 1", "")
-    return head + ",\n" + body
-
-
 def market_lookups_df(t: Tables):
     """Keyword-overview lookups of the market keywords (source 1), with the
     missing / empty / unparseable CPC strings a scrape produces."""
@@ -56,7 +51,7 @@ def paid_top10(spark, sf_dir):
     return P.top_paid_keywords(paid_kw_df(Tables(spark, sf_dir)), n=10)
 
 
-INDUSTRY_AVERAGES_SQL = _views_then(MARKET_SQL + f""",
+INDUSTRY_AVERAGES_SQL = views_then(MARKET_SQL + f""",
 comps as (select distinct domain from clients_v where seq > 0 and domain is not null and domain <> ''),
 top as (select * from (select p.*, row_number() over (partition by p.domain order by p.position) as rk
                        from paid_kw_v p join comps c on p.domain = c.domain) where rk <= 10),
@@ -94,7 +89,7 @@ def industry_averages(spark, sf_dir):
     return industry_averages_df(spark, sf_dir)
 
 
-PAID_SUMMARY_SQL = _views_then(f"""
+PAID_SUMMARY_SQL = views_then(f"""
 cards as (select domain,
                  case when len("values") >= 3 then "values"[1] end as paid_keywords_raw,
                  case when len("values") >= 3 then "values"[2] end as paid_traffic_raw,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import INTENT_CODES, INTENT_LABELS
 from ..operators import typing as TY
-from ..sources.fixtures import raw_cards_df, raw_rows_df, with_views
+from ..sources.fixtures import raw_cards_df, raw_rows_df, views_then, with_views
 from ..sources.tables import Tables
 from .oracle_sql import parse_number_sql as P
 from .oracle_sql import q
@@ -21,11 +21,6 @@ def FL(x: str) -> str:
     return S(f"string_split({S(x)}, chr(10))[1]")
 
 
-def _views_then(body: str, *views: str) -> str:
-    head = with_views("select 1", *views).replace("\nselect 1", "")
-    return head + ",\n" + body
-
-
 def _cap_sql(k: int, gate: int) -> str:
     return (f"(select * from (select *, row_number() over (partition by domain order by row_seq) as rn "
             f"from raw_rows_v) where rn <= {k} and len(cells) >= {gate})")
@@ -43,7 +38,7 @@ _labels = ", ".join(q(x) for x in INTENT_LABELS)
 _codes = ", ".join(q(x) for x in INTENT_CODES)
 _map = " ".join(f"when li = {q(k)} then {q(v)}" for k, v in INTENT_CODES.items())
 
-KEYWORD_ROWS_SQL = _views_then(f"""
+KEYWORD_ROWS_SQL = views_then(f"""
 r as {_cap_sql(50, 3)},
 t as (select domain, row_seq, cells,
         flatten(list_transform(cells, lambda c: list_transform(string_split({S('c')}, chr(10)), lambda l: {S('l')}))) as lines
@@ -65,7 +60,7 @@ def typed_keyword_rows(spark, sf_dir):
     return TY.keyword_rows(raw, volume_text=F.get(F.col("cells"), 3), kd_text=F.get(F.col("cells"), 0))
 
 
-PAID_ROWS_SQL = _views_then(f"""
+PAID_ROWS_SQL = views_then(f"""
 r as (select * from (select *, row_number() over (partition by domain order by row_seq) as rn from raw_rows_v)
       where rn <= 10 and len(cells) >= 5)
 select domain, row_seq, cells[1] as keyword, cells[2] as position, cells[3] as volume, cells[4] as cpc,
@@ -81,7 +76,7 @@ def _posnums(lst: str) -> str:
     return f"list_filter(list_transform({lst}, lambda c: {P(f'string_split({S(chr(99))}, chr(10))[1]')}), lambda v: v > 0)"
 
 
-LINK_ROWS_SQL = _views_then(f"""
+LINK_ROWS_SQL = views_then(f"""
 lv as (select domain, row_seq, cells from raw_rows_v
        union all
        select domain || '/url-first', row_seq, list_reverse(cells) from raw_rows_v),
@@ -113,7 +108,7 @@ def typed_link_rows(spark, sf_dir):
     return TY.link_rows(raw.unionByName(url_first))
 
 
-AI_ROWS_SQL = _views_then(f"""
+AI_ROWS_SQL = views_then(f"""
 rv as (select domain, row_seq, list_reverse(cells) as cells from raw_rows_v),
 c as (select * from (select *, row_number() over (partition by domain order by row_seq) as rn from rv)
       where rn <= 20 and len(cells) >= 2),
@@ -141,7 +136,7 @@ def _num(i: int) -> str:
     return f"(case when len(v) > {i} then {P(f'v[{i + 1}]')} else 0.0 end)"
 
 
-CARDS_SQL = _views_then(f"""
+CARDS_SQL = views_then(f"""
 c as (select domain, list_filter(list_transform("values", lambda x: {S('x')}), lambda x: length(x) > 0) as v
       from raw_cards_v)
 select domain, {_num(0)} as kw_volume,
@@ -174,7 +169,7 @@ def link_elements_df(t):
 
 def _link_types_sql() -> str:
     labels = "[" + ", ".join(q(x) for x in LINK_LABELS) + "]"
-    return _views_then(f"""
+    return views_then(f"""
 e0 as (select domain, cast(i - 1 as integer) as el_seq, "values"[i] as value_text
        from (select domain, "values", unnest(generate_series(1, len("values"))) as i from raw_cards_v)),
 e as (select domain, el_seq, lower({labels}[el_seq % {len(LINK_LABELS)} + 1]) as l, {P('value_text')} as v from e0),

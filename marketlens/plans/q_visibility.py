@@ -7,17 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import TRIGGER_LIKELIHOOD
 from ..operators import visibility as V
-from ..sources.fixtures import clients_df, paid_kw_df, with_views
+from ..sources.fixtures import clients_df, paid_kw_df, views_then, with_views
 from ..sources.tables import Tables, ensure_parallelism
 from .oracle_sql import dround_sql, q, trigger_sql
 from .registry import register
 
 
-def _views_then(body: str, *views: str) -> str:
-    head = with_views("select 1", *views).replace("\nselect 1", "")
-    return head + ",\n" + body
-
-
 def _classified(t):
     return V.classify_triggers(ensure_parallelism(t.documents.select("doc_id", "text")), "text")
 
@@ -100,7 +95,7 @@ def _prompts_sql() -> str:
             lim = f" where item_seq <= {limit}" if limit else ""
             parts.append(f"select client_id, {q(cat)} as category, {order} as cat_order, cast(item_seq as integer) as item_seq, "
                          f"{j + 1} as tpl_order, {expr} as prompt from {src}{lim}")
-    return _views_then("""tg as (select client_id, coalesce(name, '') as t, domain as target from clients_v where seq = 0),
+    return views_then("""tg as (select client_id, coalesce(name, '') as t, domain as target from clients_v where seq = 0),
 kw as (select tg.client_id, p.position as seq, p.keyword from paid_kw_v p join tg on p.domain = tg.target where p.position <= 5),
 cp as (select client_id, seq, coalesce(name, domain) as name from clients_v where seq > 0),
 prompts as (""" + "\nunion all\n".join(parts) + ")", "clients_v", "paid_kw_v")
@@ -123,7 +118,7 @@ def prompt_counts(spark, sf_dir):
     return V.prompt_counts(V.build_prompts(*_prompt_inputs(Tables(spark, sf_dir))))
 
 
-BRAND_MENTIONS_SQL = _views_then(f"""b as (select client_id, coalesce(name, domain) as brand from clients_v
+BRAND_MENTIONS_SQL = views_then(f"""b as (select client_id, coalesce(name, domain) as brand from clients_v
            where priority = 'primary' and length(coalesce(name, domain)) > 0),
 a as (select lower(text) as lt from conversations where role = 'assistant'),
 h as (select b.client_id, b.brand, count(*) as answers_mentioning,

@@ -288,3 +288,10 @@ def with_views(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the named views as CTEs (DuckDB oracle text)."""
     ctes = ",\n".join(f"{n} as ({VIEW_SQL[n]})" for n in names)
     return f"with {ctes}\n{sql}" if names else sql
+
+
+def views_then(body: str, *names: str) -> str:
+    """``with <views>, <body>``: ``body`` continues the CTE list (its own
+    ``name as (...)`` entries) and ends with the final SELECT."""
+    ctes = ",\n".join(f"{n} as ({VIEW_SQL[n]})" for n in names)
+    return f"with {ctes},\n{body}"
