@@ -185,7 +185,7 @@ from pairs p join sizes a on a.domain = p.target join sizes b on b.domain = p.do
 @register("organic_competitors", "J-11", ORGANIC_COMPETITORS_SQL)
 def organic_competitors(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return K.organic_competitors(paid_kw_df(t), clients_df(t).filter(F.col("seq") == 0))
+    return K.organic_competitors(paid_kw_df(t, positions=False), clients_df(t).filter(F.col("seq") == 0))
 
 
 def organic_facts(t):

@@ -80,30 +80,37 @@ from part"""
 # --------------------------------------------------------------------------
 # paid_kw_v: competitor paid keywords (domain = supplier, keyword = part)
 # --------------------------------------------------------------------------
-def paid_kw_df(t: Tables) -> DataFrame:
+def paid_kw_df(t: Tables, positions: bool = True) -> DataFrame:
+    """Competitor paid keywords (domain = supplier, keyword = part, one row
+    per line item).  ``positions=False`` skips the page-position numbering
+    for consumers that never read it."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                            "l_extendedprice", "l_quantity", "l_discount")
     p = t.part.select("p_partkey", "p_name", "p_retailprice")
     s = t.supplier.select("s_suppkey", "s_name")
     j = li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
-    # page position = rank of the line by price inside its supplier.  In real
-    # data the position is an input column (page order); consumers that keep
-    # only the first k positions get Spark's window group limit (partial
-    # top-k before the shuffle).  ranking.grouped_row_number is the
-    # skew-safe form when every position of a hot group is needed.
-    w = W.partitionBy("s_name").orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_linenumber",
-                                        "l_partkey")
-    return j.select(
+    # page position = rank of the line by price inside its supplier.  A
+    # supplier may hold a large share of all lines: row_number_by_group
+    # measures the largest supplier first and switches to the skew-safe
+    # numbering (range-partitioned pieces plus per-piece offsets) when one
+    # window task would have to sort too many rows.
+    from ..operators.ranking import row_number_by_group
+    base = j.select(
         F.col("s_name").alias("domain"),
         F.col("p_name").alias("keyword"),
-        F.row_number().over(w).alias("position"),
         F.concat(F.lit("$"), (F.floor("p_retailprice") / 100).cast("decimal(12,2)").cast("string"))
          .alias("cpc_raw"),
         F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("K")).alias("volume_raw"),
         F.concat((F.col("l_discount") * 100).cast("decimal(10,1)").cast("string"), F.lit("%"))
          .alias("traffic_pct_raw"),
         F.col("l_quantity").alias("clicks"),
-    )
+        "l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey")
+    cols = ["domain", "keyword", "cpc_raw", "volume_raw", "traffic_pct_raw", "clicks"]
+    if not positions:
+        return base.select(*cols)
+    ranked = row_number_by_group(base, ["domain"], [F.desc("l_extendedprice"), F.asc("l_orderkey"),
+                                                    F.asc("l_linenumber"), F.asc("l_partkey")])
+    return ranked.select("domain", "keyword", "position", *cols[2:])
 
 
 PAID_KW_SQL = """
