@@ -48,7 +48,7 @@ select * from (select *, cast(row_number() over (partition by domain order by po
 
 @register("paid_top10", "K-08", PAID_TOP10_SQL)
 def paid_top10(spark, sf_dir):
-    return P.top_paid_keywords(paid_kw_df(Tables(spark, sf_dir)), n=10)
+    return P.top_paid_keywords(paid_kw_df(Tables(spark, sf_dir), max_position=10), n=10)
 
 
 INDUSTRY_AVERAGES_SQL = views_then(MARKET_SQL + f""",
@@ -76,7 +76,8 @@ def industry_averages_df(spark, sf_dir):
     t = Tables(spark, sf_dir)
     comps = (clients_df(t).filter((F.col("seq") > 0) & F.col("domain").isNotNull() & (F.col("domain") != ""))
              .select("domain").distinct())
-    paid = paid_kw_df(t).join(comps, "domain", "left_semi")
+    # only the first ten positions of each competitor are pooled (K-08)
+    paid = paid_kw_df(t, max_position=10).join(comps, "domain", "left_semi")
     top = P.top_paid_keywords(paid, n=10)
     lookups = P.keyword_lookups(market_lookups_df(t), max_keywords=20)
     pool = P.cpc_pool(top, lookups)

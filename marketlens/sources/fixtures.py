@@ -80,10 +80,13 @@ from part"""
 # --------------------------------------------------------------------------
 # paid_kw_v: competitor paid keywords (domain = supplier, keyword = part)
 # --------------------------------------------------------------------------
-def paid_kw_df(t: Tables, positions: bool = True) -> DataFrame:
+def paid_kw_df(t: Tables, positions: bool = True, max_position: int | None = None) -> DataFrame:
     """Competitor paid keywords (domain = supplier, keyword = part, one row
     per line item).  ``positions=False`` skips the page-position numbering
-    for consumers that never read it."""
+    for consumers that never read it; ``max_position=k`` keeps only the
+    first k positions of every supplier, planned as a window group limit
+    (partial top-k before the shuffle, so a hot supplier is never sorted
+    whole in one task)."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                            "l_extendedprice", "l_quantity", "l_discount")
     p = t.part.select("p_partkey", "p_name", "p_retailprice")
@@ -108,6 +111,11 @@ def paid_kw_df(t: Tables, positions: bool = True) -> DataFrame:
     cols = ["domain", "keyword", "cpc_raw", "volume_raw", "traffic_pct_raw", "clicks"]
     if not positions:
         return base.select(*cols)
+    order = [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey")]
+    if max_position is not None:
+        top = base.withColumn("position", F.row_number().over(W.partitionBy("domain").orderBy(*order)))
+        return top.filter(F.col("position") <= max_position).select(
+            "domain", "keyword", "position", *cols[2:])
     ranked = row_number_by_group(base, ["domain"], [F.desc("l_extendedprice"), F.asc("l_orderkey"),
                                                     F.asc("l_linenumber"), F.asc("l_partkey")])
     return ranked.select("domain", "keyword", "position", *cols[2:])
