@@ -66,14 +66,18 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
         lo = min(hi, n)
 
 
-def map_slices(df: DataFrame, fn, schema: str, limit: int = SLICE_BYTES) -> DataFrame:
-    """mapInArrow over slices; ``fn(slice) -> dict of columns`` (or None)."""
+def map_slices(df: DataFrame, fn, schema: str, limit: int = SLICE_BYTES, slots=None, hit: bool = True) -> DataFrame:
+    """mapInArrow over slices; ``fn(slice) -> dict of columns`` (or None).
+    With a slot filter, only rows whose text_key is (or is not) in it, in the
+    same Python worker."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     target = to_arrow_schema(_struct(schema))
 
     def run(batches):
         for batch in batches:
+            if slots is not None:
+                batch = batch.filter(pa.array(in_slots(slots.value, batch.column("text_key").to_numpy()) == hit))
             for part in slices(batch, limit):
                 out = fn(part)
                 if out is not None:

@@ -160,7 +160,7 @@ def without_repeats(df: DataFrame, id_col: str, text_col: str, breaks: np.ndarra
 
     out = f"row {row}, n_units long, n_removed long, removed array<struct<start:long,end:long>>, kept binary"
 
-    kept = map_slices(passing(full, slots, False), lambda p: texts(p, None), out)
+    kept = map_slices(full, lambda p: texts(p, None), out, slots=slots, hit=False)
     hits = passing(full, slots, True).join(lists, ["id", "text_key"], "left")
     cut = map_slices(hits.select("row", "body", "starts"), lambda p: texts(p, p.column("starts").to_pylist()), out)
     both = kept.unionByName(cut)
