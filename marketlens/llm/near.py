@@ -14,12 +14,14 @@ components of all links.
 2. ``classes``: documents with equal sets are one class; copies cost one row a
    scan task from here on.
 3. Bands with at least two classes are buckets.  Each bucket's classes are
-   compared with one pivot, not with each other.
+   compared with one pivot, not with each other; ``PIVOTS`` orders are used.
 4. A pair is dropped if its sizes or its sketches (at 6 standard deviations)
    rule out the similarity; the rest is confirmed on the full sets.
-5. Buckets whose classes are not all connected by now are settled exactly:
-   all their pairs across components, by the same tests.  So buckets have no
-   cap, and no link between components is lost.
+5. Buckets whose classes are not all connected by now are settled exactly.
+   Each class outside a bucket's largest component is compared on the full
+   sets with all members of that component and with all other classes that
+   ask for it, block against block, so that no pairs are made.  So buckets
+   have no cap, and no link between components is lost.
 
 Null, empty or blank text: an empty set, linked with nothing.  Equal non-empty
 sets are linked.  Null id: after every other id (its group's id is null only if
@@ -43,6 +45,9 @@ from .components import components
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
+#: Orders by which buckets choose their pivots, so that a class which misses
+#: one pivot of its group meets others.
+PIVOTS = 8
 #: Standard deviations by which a sketch must miss the similarity.
 SIGMAS = 6
 U = np.uint64
@@ -96,11 +101,14 @@ def band_keys(low: np.ndarray) -> np.ndarray:
 
 def sketch_limit(similarity: float) -> int:
     """Bits in which the sketches of a pair of at least this similarity differ
-    at most, ``SIGMAS`` deviations of the sampled values aside."""
-    k = BANDS * ROWS
-    differ = k * (1 - similarity) + SIGMAS * math.sqrt(k * similarity * (1 - similarity))
-    mean = SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** (2 * differ)) / 2
-    return math.ceil(mean + SIGMAS * math.sqrt(mean) / 2)
+    at most, but for ``SIGMAS`` deviations: those of the sampled values and of
+    where they fall."""
+    k, n = BANDS * ROWS, SKETCH_BITS
+    m = 2 * k * (1 - similarity)  # toggles that differ
+    mean = n * (1 - (1 - 2 / n) ** m) / 2
+    slope = 2 * (1 - 2 / n) ** m  # bits for each value that differs
+    fall = n / 4 * (1 - (1 - 4 / n) ** m) + n * n / 4 * ((1 - 4 / n) ** m - (1 - 2 / n) ** (2 * m))
+    return math.ceil(mean + SIGMAS * math.sqrt(slope**2 * k * similarity * (1 - similarity) + fall))
 
 
 def estimate(differ: int) -> float:
@@ -138,7 +146,7 @@ def full_sets(docs: DataFrame, slots, words: int) -> DataFrame:
         return {"id": part.column("id"), "text_key": part.column("text_key"),
                 "shingles": [h[a:b].view(np.int64) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]}
 
-    return map_slices(passing(docs, slots, True), rows, "id long, text_key long, shingles array<long>")
+    return map_slices(docs, rows, "id long, text_key long, shingles array<long>", slots=slots)
 
 
 def _possible(similarity: float):
@@ -157,6 +165,62 @@ def confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(f"100 * both >= {round(100 * similarity)} * (sizes - both)").select("a", "b")
 
 
+#: Shingles of a block.
+BLOCK = 1 << 18
+
+
+def block_links(askers: DataFrame, others: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between the roots of askers (node, n, root, hub) and of the
+    others of their hub (same columns).
+
+    Both sides of a hub are dealt into blocks of about ``BLOCK`` shingles; each
+    task compares one block of askers with one block of others on their full
+    sets and returns links that connect what isn't connected yet in the task,
+    so neither pairs nor unbounded groups are made."""
+    def blocks(rows, as_):
+        return rows.groupBy("hub").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias(as_))
+
+    counts = stored(blocks(askers, "asking").join(blocks(others, "asked"), "hub"), "near-blocks")
+    lists = sets.select("node", "shingles")
+
+    def dealt(rows, own, across, asks):
+        i, j = ("i", "j") if asks else ("j", "i")
+        return (rows.join(counts, "hub").withColumn(i, F.pmod(F.xxhash64("node"), F.col(own)).cast("int"))
+                .withColumn(j, F.explode(F.sequence(F.lit(0), F.col(across) - 1))).join(lists, "node")
+                .select("hub", "i", "j", F.lit(asks).alias("asks"), "root", "shingles"))
+
+    percent = round(100 * similarity)
+
+    def run(table: pa.Table) -> pa.Table:
+        asks, root = table.column("asks").to_numpy(), table.column("root").to_numpy()
+        lists = table.column("shingles").combine_chunks()
+        start, size = lists.offsets.to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+        start, values = start - start[0], lists.flatten().to_numpy()
+        other, found, above = np.flatnonzero(~asks), [], {}
+
+        def top(x):
+            while above.get(x, x) != x:
+                x = above[x]
+            return x
+
+        if other.size and asks.any():
+            pile = np.concatenate([values[start[k]:start[k + 1]] for k in other])
+            edge = np.cumsum(size[other]) - size[other]
+            for k in np.flatnonzero(asks):
+                own = np.sort(values[start[k]:start[k + 1]])
+                at = np.minimum(np.searchsorted(own, pile), own.size - 1)
+                both = np.add.reduceat((own[at] == pile).astype(np.int64), edge)
+                hit = 100 * both >= percent * (size[k] + size[other] - both)
+                for r in np.unique(root[other[hit]]).tolist():
+                    if (x := top(int(root[k]))) != (y := top(r)):
+                        above[max(x, y)] = min(x, y)
+                        found.append((x, y))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    both = dealt(askers, "asking", "asked", True).unionByName(dealt(others, "asked", "asking", False))
+    return both.groupBy("hub", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                 similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: id, text_key, n_shingles and component (the
@@ -170,7 +234,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     spread = classes.select("node", "n", "sketch", F.explode("bands").alias("band"))
     repeated = spread.groupBy("band").count().where("count > 1").select("band")
     spread = stored(passing(spread, slot_filter(repeated, "band"), True, "band"), "near-buckets")
-    pivot = spread.groupBy("band").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n", "sketch")).alias("p"))
+    pivot = spread.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", F.pmod("band", F.lit(PIVOTS))).alias("h"), "node", "n", "sketch")).alias("p"))
     pivot = stored(pivot.select("band", "p.node", "p.n", "p.sketch"), "near-pivots")
     tried = (spread.alias("x").join(pivot.alias("y"), "band").where("x.node != y.node and " + _possible(similarity))
              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
@@ -187,16 +251,15 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     placed = stored(spread.join(roots, "node", "left").select("band", "node", "n", "sketch", label), "near-placed")
     open_ = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
     open_ = stored(placed.join(open_, "band", "left_semi"), "near-open")
-    rest = (open_.alias("x").join(open_.alias("y"), "band").where("x.root < y.root and " + _possible(similarity))
-            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-            .join(tried, ["a", "b"], "left_anti"))
-    more = confirm(stored(rest, "near-rest"), sets, similarity)
-    # roots of the first pass are joined, not the nodes below them
-    top = roots.select(F.col("node"), "root")
-    raised = (more.join(top.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
-              .join(top.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-              .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
-    final = components(raised, "near-final").select(F.col("node").alias("root"), F.col("root").alias("head"))
+    # the bucket's largest component is its hub; the others ask its members
+    sizes = open_.groupBy("band", "root").count()
+    hub = sizes.groupBy("band").agg(F.max(F.struct("count", "root")).getField("root").alias("hub"))
+    asking = open_.join(hub, "band").where("root != hub").select("node", "n", "root", "hub").distinct()
+    asking = stored(asking, "near-asking")
+    members = placed.select("node", "n", "root", F.col("root").alias("hub")).distinct()
+    members = members.join(asking.select("hub").distinct(), "hub", "left_semi").select("node", "n", "root", "hub")
+    more = block_links(asking, members.unionByName(asking), sets, similarity)
+    final = components(more, "near-final").select(F.col("node").alias("root"), F.col("root").alias("head"))
     heads = (classes.select("node", "n", "set_a", "set_b", "low.id").join(roots, "node", "left").withColumn("root", label)
              .join(final, "root", "left").withColumn("head", F.coalesce("head", "root")))
     lowest = heads.groupBy("head").agg(F.min("id").alias("component"))
