@@ -207,15 +207,16 @@ def learned(df: DataFrame) -> Model:
     return train(rows.select(whole_id("doc_id"), "lang", whole_text("text")))
 
 
-#: Letters from which an ambiguous text is rejected; shorter ones may simply
-#: say too little.
-SURE = 200
+#: A text of at least ``SURE`` letters whose score is below ``DOUBT`` is in none
+#: of the learned languages; a shorter one may simply say too little, and a
+#: text of two languages scores 0.5 and more.
+SURE, DOUBT = 200, 0.4
 
 
 def accepted(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, that the language stage keeps: not
-    those without a letter, nor those of at least ``SURE`` letters that lie
-    between the learned languages.  Without a learned language, every row
+    those without a letter, nor those of at least ``SURE`` letters whose score
+    is below ``DOUBT``.  Without a learned language, every row
     with a letter stays.  Nothing is shuffled."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     keyed = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), whole_text(text_col))
@@ -230,7 +231,7 @@ def accepted(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 stays.append(gram_counts(body) is not None)
             else:
                 found = margins(m, body)
-                stays.append(found is not None and not (found[1] >= SURE and decode(m, *found)[2]))
+                stays.append(found is not None and not (found[1] >= SURE and decode(m, *found)[1] < DOUBT))
         return {"row": part.column("row").filter(pa.array(stays))} if any(stays) else None
 
     return map_slices(keyed, rows, f"row {row}").select("row.*")
