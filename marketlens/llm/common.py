@@ -82,6 +82,7 @@ def map_slices(df: DataFrame, fn, schema: str, limit: int = SLICE_BYTES, slots=N
                 out = fn(part)
                 if out is not None:
                     yield record(out, target)
+        pa.default_memory_pool().release_unused()  # workers live on between tasks
 
     return df.mapInArrow(run, schema)
 
@@ -175,7 +176,7 @@ _SHIPPED: set[str] = set()
 
 
 #: Rows and bytes of an Arrow batch; the slices cut it further.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
 
 def prepare(spark) -> None:

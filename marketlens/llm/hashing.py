@@ -13,7 +13,7 @@ U = np.uint64
 #: Odd multipliers of the polynomials (any odd number will do).
 BASE, WINDOW_BASE, WINDOW_BASE_2 = U(0x9E3779B97F4A7C15), U(0xD1342543DE82EF95), U(0xAF251AF3B0F025B5)
 #: Bytes whose prefix sums are held at once.
-SPAN = 1 << 20
+SPAN = 1 << 18
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 NEWLINE = np.zeros(256, bool)

@@ -45,7 +45,7 @@ GROUP = 20_000
 #: Fill below which a group's bins are dealt out again at the end.
 EXCHANGE = 0.97
 ROUNDS = 3
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 _TOKENIZERS: dict[str, tuple] = {}
 
 
