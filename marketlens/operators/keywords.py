@@ -102,12 +102,23 @@ def rank_keywords(merged: DataFrame) -> DataFrame:
     return merged.orderBy(F.desc("volume"), "first_rank", "first_seq")
 
 
+def first_competitors(roles: DataFrame, by=("client_id",), k: int | None = None) -> DataFrame:
+    """The target (seq 0) and the first ``k`` competitors of each client in
+    settings order (all for None), planned as a window group limit."""
+    if k is None:
+        return roles
+    rank = F.row_number().over(W.partitionBy(*by).orderBy("seq", "domain"))
+    rivals = roles.filter(F.col("seq") > 0).withColumn("__rank", rank).filter(F.col("__rank") <= k).drop("__rank")
+    return roles.filter(F.col("seq") == 0).unionByName(rivals)
+
+
 def domain_keyword_gap(domain_kw: DataFrame, roles: DataFrame, by=("client_id",),
                        max_competitors: int = 4) -> DataFrame:
     """Keyword gap of a target against its first competitors (J-08).
 
-    ``roles``: (by..., seq, domain) with seq 0 = target, 1.. = competitors
-    (only the first ``max_competitors`` take part, the tool's limit).
+    ``roles``: (by..., seq, domain) with seq 0 = target, else competitors (the
+    first ``max_competitors`` given take part, whatever their seq: the tool
+    filters first and then takes four).
     Universe = distinct keywords of these domains; ``missing`` = held by >= 1
     competitor and not the target, ``shared`` = target and >= 1 competitor,
     ``unique`` = target only (the three sets partition the universe).
@@ -115,7 +126,7 @@ def domain_keyword_gap(domain_kw: DataFrame, roles: DataFrame, by=("client_id",)
     One join on domain (roles are small per client; AQE broadcasts them when
     their measured size allows) and one grouped aggregation, no pairs.
     """
-    r = roles.filter(F.col("seq") <= max_competitors).select(*by, "seq", "domain")
+    r = first_competitors(roles, by, max_competitors).select(*by, "seq", "domain")
     j = domain_kw.select("domain", "keyword", "position").join(r, "domain")
     is_t = F.col("seq") == 0
     agg = j.groupBy(*by, "keyword").agg(

@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import py_strip
+from .keywords import first_competitors
 
 HOST_RE = r"^https?://([^/?#:]+)"
 ANCHOR_RE = r"(?is)<a\s[^>]*>.*?</a>"
@@ -122,7 +123,7 @@ def backlink_gap(links: DataFrame, roles: DataFrame, by=("client_id",), max_comp
     number of competitors each links to.  One join on the target host and
     one aggregation; the target's referrers are removed by the aggregate
     predicate (an anti-join folded into the group)."""
-    r = roles.filter(F.col("seq") <= max_competitors).select(*by, "seq", F.col("domain").alias("target_host"))
+    r = first_competitors(roles, by, max_competitors).select(*by, "seq", F.col("domain").alias("target_host"))
     j = _external(links, include_internal).select("src_host", "target_host").join(r, "target_host")
     agg = j.groupBy(*by, "src_host").agg(
         F.max(F.col("seq") == 0).alias("to_target"),

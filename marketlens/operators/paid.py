@@ -59,23 +59,23 @@ def industry_averages(pool: DataFrame, n_keywords: DataFrame, n_competitors: Dat
                         dround("avg_volume", 6).alias("avg_volume")).crossJoin(n_keywords).crossJoin(n_competitors)
 
 
-def paid_overview(paid: DataFrame, by=("domain",)) -> DataFrame:
+def paid_overview(paid: DataFrame, by=("domain",), order=("position",)) -> DataFrame:
     """A-15 (our definition): distinct paid keywords, traffic = sum of clicks,
-    cost = sum of clicks x CPC; top keyword = the first by position and its
-    raw CPC (K-09)."""
+    cost = sum of clicks x CPC; top keyword = the first in ``order`` (the page
+    position or the columns that it is made from) and its raw CPC (K-09)."""
     cpc = parse_cpc("cpc_raw")
     return paid.groupBy(*by).agg(
         F.count_distinct("keyword").alias("n_keywords"),
         F.sum("clicks").alias("traffic"),
         dround(F.sum(F.col("clicks") * F.coalesce(cpc, F.lit(0.0))), 2).alias("traffic_cost"),
-        F.min_by(F.struct("keyword", "cpc_raw"), F.col("position")).alias("top"))
+        F.min_by(F.struct("keyword", "cpc_raw"), F.struct(*order)).alias("top"))
 
 
 def advertising_cards(cards: DataFrame) -> DataFrame:
-    """C-03 / C-06: raw card strings; the advertising metrics only when the
-    card row has at least three values, the shopping-ad count from the
-    first value."""
-    v = F.col("values")
+    """C-03 / C-06: raw card strings, blank ones dropped first; the
+    advertising metrics only when at least three values are left, the
+    shopping-ad count from the first."""
+    v = F.filter("values", lambda x: F.coalesce(F.trim(x), F.lit("")) != "")
     ok = F.size(v) >= 3
     return cards.select(
         "domain",
@@ -85,10 +85,10 @@ def advertising_cards(cards: DataFrame) -> DataFrame:
         F.get(v, 0).alias("pla_keywords_raw"))
 
 
-def paid_summary(cards: DataFrame, paid: DataFrame) -> DataFrame:
+def paid_summary(cards: DataFrame, paid: DataFrame, order=("position",)) -> DataFrame:
     """D-03 / J-05: one row per analysed competitor: raw card metrics, the
     computed overview and the top keyword ('' when it has none)."""
-    ov = paid_overview(paid)
+    ov = paid_overview(paid, order=order)
     return advertising_cards(cards).join(ov, "domain", "left").select(
         "domain", "paid_keywords_raw", "paid_traffic_raw", "paid_cost_raw", "pla_keywords_raw",
         F.coalesce("n_keywords", F.lit(0)).alias("n_keywords"),

@@ -24,6 +24,7 @@ ORGANIC_PCT_FALLBACK = 35
 CPC_MULT_FALLBACK = 0.75
 DEFAULT_CPC = 2.50
 DEFAULT_CONVERSION_RATE = 1.5
+DEFAULT_MONTHS = 6
 # Conversion-rate steps: x1 up to month 3, x1.5 up to month 6, x2 after;
 # organic traffic converts 1.3x the paid rate.
 CR_STEPS = ((3, 1.0), (6, 1.5))
@@ -43,10 +44,17 @@ def default_curves(spark: SparkSession) -> DataFrame:
 
 def resolve_inputs(scenarios: DataFrame, benchmark: DataFrame | None = None) -> DataFrame:
     """G-02: CPC <- given, else benchmark ``avg_cpc``, else 2.50;
-    conversion rate <- given, else 1.5.  ``benchmark`` is a one-row frame."""
-    s = scenarios
+    conversion rate <- given, else 1.5; months <- given, else 6.  A
+    ``benchmark`` with a client_id meets the scenarios of that client (the
+    lowest CPC if a client has several rows); one without is a single number
+    for all, aggregated to one row, so it can neither drop nor double rows."""
+    s = scenarios.withColumn("months", F.coalesce(F.col("months"), F.lit(DEFAULT_MONTHS)))
     if benchmark is not None:
-        s = s.crossJoin(F.broadcast(benchmark.select(F.col("avg_cpc").alias("__bench_cpc"))))
+        cpc_of = F.min("avg_cpc").alias("__bench_cpc")
+        if "client_id" in benchmark.columns and "client_id" in s.columns:
+            s = s.join(benchmark.groupBy("client_id").agg(cpc_of), "client_id", "left")
+        else:
+            s = s.crossJoin(benchmark.agg(cpc_of))  # one row, whatever the input
         cpc = F.coalesce(F.col("cpc"), F.col("__bench_cpc"), F.lit(DEFAULT_CPC))
     else:
         cpc = F.coalesce(F.col("cpc"), F.lit(DEFAULT_CPC))
@@ -61,11 +69,15 @@ def monthly_projection(scenarios: DataFrame, curves: DataFrame, benchmark: DataF
 
     ``paid_clicks = spend / effective_cpc`` is unguarded in the source and
     raises on CPC 0; we emit NULL metrics there instead of failing the job.
+    An industry without curves uses the default ones; no month is projected
+    for ``months`` below 1.
     """
     s = resolve_inputs(scenarios, benchmark)
-    grid = s.select("*", F.explode(F.sequence(F.lit(1), F.col("months"))).alias("month"))
-    # curves: <= 12 rows per configured industry, a bounded broadcast side
-    g = grid.join(F.broadcast(curves), ["industry", "month"], "left")
+    known = curves.select("industry").distinct().withColumn("__known", F.lit(True))
+    s = s.join(known, "industry", "left").withColumn(
+        "industry", F.when(F.col("__known"), F.col("industry")).otherwise(F.lit(DEFAULT_INDUSTRY))).drop("__known")
+    grid = s.select("*", F.explode(F.when(F.col("months") >= 1, F.sequence(F.lit(1), F.col("months")))).alias("month"))
+    g = grid.join(curves, ["industry", "month"], "left")
     spend, aov, m = F.col("monthly_ad_spend"), F.col("aov"), F.col("month")
     cpc_mult = F.coalesce(F.col("cpc_mult"), F.lit(CPC_MULT_FALLBACK))
     eff_cpc = F.col("base_cpc") * cpc_mult

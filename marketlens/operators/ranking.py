@@ -59,24 +59,3 @@ def grouped_row_number(df: DataFrame, keys: list[str], order: list[Column], name
     return (local.join(offsets, ["__pid", *keys])
             .withColumn(name, (F.col("__off") + F.col("__local")).cast("int"))
             .drop("__pid", "__local", "__off"))
-
-
-# Largest group a single window task should sort; above it the skew-safe
-# path is used.  Overridable per session: ``marketlens.window.maxGroupRows``.
-DEFAULT_MAX_GROUP_ROWS = 20_000_000
-
-
-def row_number_by_group(df: DataFrame, keys: list[str], order: list[Column], name: str = "position",
-                        max_group_rows: int | None = None) -> DataFrame:
-    """``row_number() over (partition by keys order by order)``, choosing the
-    plan from the data: one grouped count (partial aggregation, a single
-    number back to the driver) finds the largest group; if it fits one
-    task (``max_group_rows``) the plain window is used, otherwise
-    :func:`grouped_row_number` spreads the hot group over many tasks."""
-    if max_group_rows is None:
-        conf = df.sparkSession.conf.get("marketlens.window.maxGroupRows", None)
-        max_group_rows = int(conf) if conf else DEFAULT_MAX_GROUP_ROWS
-    biggest = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()["m"]
-    if biggest is None or biggest <= max_group_rows:
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-    return grouped_row_number(df, keys, order, name)

@@ -39,12 +39,13 @@ qualify row_number() over (partition by client_id order by best_position, keywor
 @register("dashboard_keyword_gap", "K-12", DASHBOARD_KEYWORD_GAP_SQL)
 def dashboard_keyword_gap(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return D.gap_slice(K.domain_keyword_gap(paid_kw_df(t), _roles(t), max_competitors=4))
+    roles = _roles(t)
+    return D.gap_slice(K.domain_keyword_gap(paid_kw_df(t, domains=roles), roles, max_competitors=4))
 
 
-_ROLES = """roles as (select 'links' as client_id, row_number() over (order by target_host) - 1 as seq,
-                 target_host as domain
-          from (select distinct target_host from facts order by target_host limit 5))"""
+_ROLES = """roles as (select 'links' || (n // 5) as client_id, n % 5 as seq, target_host as domain
+          from (select target_host, row_number() over (order by target_host) - 1 as n
+                from (select distinct target_host from facts)))"""
 
 DASHBOARD_BACKLINKS_SQL = views_then(_FACTS + ",\n" + _ROLES + f""",
 ov as (select target_host, count(*) as total_backlinks, count(distinct {_REG.format('src_host')}) as referring_domains,

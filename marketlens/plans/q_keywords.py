@@ -129,7 +129,8 @@ def _roles(t):
 
 
 KEYWORD_GAP_SQL = views_then("""roles as (select client_id, seq, domain from clients_v
-               where (seq = 0 or priority = 'primary') and seq <= 4),
+               where seq = 0 or priority = 'primary'
+               qualify row_number() over (partition by client_id order by seq) <= 5),
 j as (select r.client_id, r.seq, p.domain, p.keyword, p.position from paid_kw_v p join roles r on p.domain = r.domain),
 a as (select client_id, keyword, bool_or(seq = 0) as in_t,
              count(distinct case when seq > 0 then domain end) as n_competitors,
@@ -144,7 +145,8 @@ select client_id, keyword,
 @register("keyword_gap", "J-08,F-01", KEYWORD_GAP_SQL)
 def keyword_gap(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return K.domain_keyword_gap(paid_kw_df(t), _roles(t), max_competitors=4)
+    roles = _roles(t)
+    return K.domain_keyword_gap(paid_kw_df(t, domains=roles), roles, max_competitors=4)
 
 
 RELATED_KEYWORDS_SQL = views_then(_merged_sql("keyword_obs_v") + """,

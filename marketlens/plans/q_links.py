@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import links as L
 from ..sources.fixtures import links_df, views_then, with_views
+from ..operators.ranking import global_row_number
 from ..sources.tables import Tables, ensure_parallelism
 from .registry import register
 
@@ -115,17 +115,18 @@ def top_pages(spark, sf_dir):
 
 
 def backlink_roles(facts):
-    """Settings derived from the link table: one client whose target is the
-    first target host by name and whose competitors are the next four."""
-    hosts = facts.select("target_host").distinct().orderBy("target_host").limit(5)
-    return hosts.select(F.lit("links").alias("client_id"),
-                        (F.row_number().over(W.orderBy("target_host")) - 1).alias("seq"),
-                        F.col("target_host").alias("domain"))
+    """Settings derived from the link table: all target hosts in order of
+    name, five to a client: its target and four competitors."""
+    hosts = global_row_number(facts.select("target_host").distinct(), [F.asc("target_host")], "n")
+    n = F.col("n") - 1
+    return hosts.select(F.concat(F.lit("links"), F.floor(n / 5).cast("string")).alias("client_id"),
+                        (n % 5).alias("seq"), F.col("target_host").alias("domain"))
 
 
 BACKLINK_GAP_SQL = views_then(_FACTS + """,
-roles as (select 'links' as client_id, row_number() over (order by target_host) - 1 as seq, target_host as domain
-          from (select distinct target_host from facts order by target_host limit 5)),
+roles as (select 'links' || (n // 5) as client_id, n % 5 as seq, target_host as domain
+          from (select target_host, row_number() over (order by target_host) - 1 as n
+                from (select distinct target_host from facts))),
 j as (select r.client_id, r.seq, f.src_host, f.target_host from facts f join roles r on f.target_host = r.domain
       where f.src_host <> f.target_host and r.seq <= 4),
 a as (select client_id, src_host, bool_or(seq = 0) as to_target,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import paid as P
-from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, raw_cards_df, views_then, with_views
+from ..sources.fixtures import PAID_ORDER, clients_df, keyword_obs_df, paid_kw_df, raw_cards_df, views_then, with_views
 from ..sources.tables import Tables
 from .oracle_sql import dround_sql
 from .registry import register
@@ -77,7 +77,7 @@ def industry_averages_df(spark, sf_dir):
     comps = (clients_df(t).filter((F.col("seq") > 0) & F.col("domain").isNotNull() & (F.col("domain") != ""))
              .select("domain").distinct())
     # only the first ten positions of each competitor are pooled (K-08)
-    paid = paid_kw_df(t, max_position=10).join(comps, "domain", "left_semi")
+    paid = paid_kw_df(t, max_position=10, domains=comps)
     top = P.top_paid_keywords(paid, n=10)
     lookups = P.keyword_lookups(market_lookups_df(t), max_keywords=20)
     pool = P.cpc_pool(top, lookups)
@@ -110,4 +110,5 @@ from cards c left join ov o on c.domain = o.domain""", "raw_cards_v", "paid_kw_v
 @register("paid_summary", "D-03,J-05,A-15,K-09,C-03,C-06", PAID_SUMMARY_SQL)
 def paid_summary(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return P.paid_summary(raw_cards_df(t), paid_kw_df(t))
+    # the first by position, without numbering any line
+    return P.paid_summary(raw_cards_df(t), paid_kw_df(t, positions=False, order_columns=True), PAID_ORDER)

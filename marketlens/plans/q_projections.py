@@ -26,10 +26,10 @@ def _monthly_sql() -> str:
 sv as ({SCENARIO_SQL}),
 s as (select sv.*, coalesce(sv.cpc, bench.avg_cpc, {G.DEFAULT_CPC}) as base_cpc,
              coalesce(sv.conversion_rate, {G.DEFAULT_CONVERSION_RATE}) as base_cr from sv, bench),
-g as (select s.*, m.month from s, (select unnest(range(1, 100)) as month) m where m.month <= s.months),
+g as (select s.*, unnest(range(1, coalesce(months, 6) + 1)) as month from s),
 c as (select g.*, coalesce(cv.cpc_mult, {G.CPC_MULT_FALLBACK}) as mult,
              cast(coalesce(cv.organic_pct, {G.ORGANIC_PCT_FALLBACK}) as double) / 100 as opct
-      from g left join curves cv on g.industry = cv.industry and g.month = cv.month),
+      from g left join curves cv on cv.industry = 'luxury_ecommerce' and g.month = cv.month),
 e as (select *, base_cpc * mult as ecpc,
              case when month <= 3 then base_cr else base_cr * (case when month <= 6 then 1.5 else 2.0 end) end as ecr
       from c),

@@ -75,7 +75,8 @@ def _prompt_inputs(t):
     targets = c.filter(F.col("seq") == 0).select("client_id", F.col("name").alias("target_name"),
                                                  F.col("domain").alias("target"))
     # market keywords of a client: its target's paid keywords in page order
-    kw = (paid_kw_df(t, max_position=5).join(targets.select("client_id", F.col("target").alias("domain")), "domain")
+    wanted = targets.select("client_id", F.col("target").alias("domain"))
+    kw = (paid_kw_df(t, max_position=5, domains=wanted).join(wanted, "domain")
           .select("client_id", F.col("position").alias("seq"), "keyword"))
     comps = c.filter(F.col("seq") > 0).select("client_id", "seq",
                                               F.coalesce("name", "domain").alias("name"))

@@ -80,7 +80,12 @@ from part"""
 # --------------------------------------------------------------------------
 # paid_kw_v: competitor paid keywords (domain = supplier, keyword = part)
 # --------------------------------------------------------------------------
-def paid_kw_df(t: Tables, positions: bool = True, max_position: int | None = None) -> DataFrame:
+#: Columns whose ascending order is that of the page positions.
+PAID_ORDER = ("minus_price", "l_orderkey", "l_linenumber", "l_partkey")
+
+
+def paid_kw_df(t: Tables, positions: bool = True, max_position: int | None = None, order_columns: bool = False,
+               domains: DataFrame | None = None) -> DataFrame:
     """Competitor paid keywords (domain = supplier, keyword = part, one row
     per line item).  ``positions=False`` skips the page-position numbering
     for consumers that never read it; ``max_position=k`` keeps only the
@@ -91,13 +96,13 @@ def paid_kw_df(t: Tables, positions: bool = True, max_position: int | None = Non
                            "l_extendedprice", "l_quantity", "l_discount")
     p = t.part.select("p_partkey", "p_name", "p_retailprice")
     s = t.supplier.select("s_suppkey", "s_name")
+    if domains is not None:  # only these domains' lines are numbered
+        s = s.join(domains.select(F.col("domain").alias("s_name")).distinct(), "s_name", "left_semi")
     j = li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
     # page position = rank of the line by price inside its supplier.  A
-    # supplier may hold a large share of all lines: row_number_by_group
-    # measures the largest supplier first and switches to the skew-safe
-    # numbering (range-partitioned pieces plus per-piece offsets) when one
-    # window task would have to sort too many rows.
-    from ..operators.ranking import row_number_by_group
+    # supplier may hold a large share of all lines, so all positions are
+    # numbered over range-partitioned pieces, never in one task per supplier.
+    from ..operators.ranking import grouped_row_number
     base = j.select(
         F.col("s_name").alias("domain"),
         F.col("p_name").alias("keyword"),
@@ -109,6 +114,8 @@ def paid_kw_df(t: Tables, positions: bool = True, max_position: int | None = Non
         F.col("l_quantity").alias("clicks"),
         "l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey")
     cols = ["domain", "keyword", "cpc_raw", "volume_raw", "traffic_pct_raw", "clicks"]
+    if order_columns:
+        return base.withColumn("minus_price", -F.col("l_extendedprice")).select(*cols, *PAID_ORDER)
     if not positions:
         return base.select(*cols)
     order = [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey")]
@@ -116,8 +123,7 @@ def paid_kw_df(t: Tables, positions: bool = True, max_position: int | None = Non
         top = base.withColumn("position", F.row_number().over(W.partitionBy("domain").orderBy(*order)))
         return top.filter(F.col("position") <= max_position).select(
             "domain", "keyword", "position", *cols[2:])
-    ranked = row_number_by_group(base, ["domain"], [F.desc("l_extendedprice"), F.asc("l_orderkey"),
-                                                    F.asc("l_linenumber"), F.asc("l_partkey")])
+    ranked = grouped_row_number(base, ["domain"], order)
     return ranked.select("domain", "keyword", "position", *cols[2:])
 
 
@@ -133,34 +139,35 @@ from lineitem l join part p on l.l_partkey=p.p_partkey join supplier s on l.l_su
 
 
 # --------------------------------------------------------------------------
-# scenario_v: one projection scenario per customer with positive balance
+# scenario_v: one projection scenario per customer
 # --------------------------------------------------------------------------
 def scenario_df(t: Tables) -> DataFrame:
-    c = t.customer.filter(F.col("c_acctbal") > 0).select("c_custkey", "c_acctbal", "c_nationkey")
+    c = t.customer.select("c_custkey", "c_acctbal", "c_nationkey")
     o = t.orders.select("o_custkey", "o_totalprice")
     aov = o.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("aov"))
-    j = c.join(aov, c.c_custkey == aov.o_custkey)
+    j = c.join(aov, c.c_custkey == aov.o_custkey, "left")  # no orders: the default AOV
     return j.select(
         F.col("c_custkey").alias("scenario_id"),
-        F.lit("luxury_ecommerce").alias("industry"),
+        F.when(F.col("c_custkey") % 11 == 0, F.lit("unknown_trade")).otherwise(F.lit("luxury_ecommerce")).alias("industry"),
         F.col("c_acctbal").alias("monthly_ad_spend"),
-        F.col("aov"),
-        F.when(F.col("c_custkey") % 3 == 0, F.lit(None).cast("double"))
+        F.coalesce("aov", F.lit(100.0)).alias("aov"),
+        F.when(F.col("c_custkey") % 19 == 0, F.lit(0.0)).when(F.col("c_custkey") % 3 == 0, F.lit(None).cast("double"))
          .otherwise(F.lit(1.0) + F.col("c_nationkey").cast("double") / 10.0).alias("cpc"),
         F.when(F.col("c_custkey") % 5 == 0, F.lit(None).cast("double"))
          .otherwise(F.lit(1.0) + (F.col("c_custkey") % 7).cast("double") * 0.5).alias("conversion_rate"),
-        (F.lit(6) + (F.col("c_custkey") % 3).cast("int") * 4).alias("months"),
+        F.when(F.col("c_custkey") % 13 == 0, F.lit(0)).when(F.col("c_custkey") % 17 != 0,
+               F.lit(6) + (F.col("c_custkey") % 3).cast("int") * 4).alias("months"),
     )
 
 
 SCENARIO_SQL = """
-select c.c_custkey as scenario_id, 'luxury_ecommerce' as industry, c.c_acctbal as monthly_ad_spend,
-       avg(o.o_totalprice) as aov,
-       case when c.c_custkey%3=0 then null else 1.0 + cast(c.c_nationkey as double)/10.0 end as cpc,
+select c.c_custkey as scenario_id, case when c.c_custkey%11=0 then 'unknown_trade' else 'luxury_ecommerce' end as industry,
+       c.c_acctbal as monthly_ad_spend, coalesce(avg(o.o_totalprice), 100.0) as aov,
+       case when c.c_custkey%19=0 then 0.0 when c.c_custkey%3=0 then null else 1.0 + cast(c.c_nationkey as double)/10.0 end as cpc,
        case when c.c_custkey%5=0 then null else 1.0 + cast(c.c_custkey%7 as double)*0.5 end as conversion_rate,
-       6 + cast(c.c_custkey%3 as integer)*4 as months
-from customer c join orders o on c.c_custkey=o.o_custkey
-where c.c_acctbal>0 group by c.c_custkey, c.c_acctbal, c.c_nationkey"""
+       case when c.c_custkey%13=0 then 0 when c.c_custkey%17<>0 then 6 + cast(c.c_custkey%3 as integer)*4 end as months
+from customer c left join orders o on c.c_custkey=o.o_custkey
+group by c.c_custkey, c.c_acctbal, c.c_nationkey"""
 
 
 # --------------------------------------------------------------------------

@@ -42,10 +42,11 @@ DEFAULT_STORE_TYPES = ["store"]
 DEFAULT_SPEND, DEFAULT_AOV, DEFAULT_MONTHS = 5000.0, 100.0, 6
 
 
-def read_settings(spark: SparkSession, path: str) -> DataFrame:
-    """S-01: all client documents under ``path`` (JSON, one per file or per
-    line), read with the explicit schema (no inference pass)."""
-    return spark.read.schema(SETTINGS_SCHEMA).option("multiLine", True).json(path)
+def read_settings(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """S-01: all client documents under ``path``, read with the explicit
+    schema (no inference pass): JSON lines, or with ``multi_line`` one
+    document (or array of documents) per file."""
+    return spark.read.schema(SETTINGS_SCHEMA).option("multiLine", multi_line).json(path)
 
 
 def targets(settings: DataFrame) -> DataFrame:
@@ -118,17 +119,19 @@ def scenarios(settings: DataFrame, industry: str = "luxury_ecommerce") -> DataFr
         F.coalesce(F.col(f"{p}.months"), F.lit(DEFAULT_MONTHS)).alias("months"))
 
 
-def read_benchmark(spark: SparkSession, path: str | None) -> DataFrame:
-    """S-05: the paid benchmark document's ``industry_averages.avg_cpc`` as
-    a one-row frame; NULL (-> default CPC later) when the file is absent."""
+def read_benchmark(spark: SparkSession, path: str | None, multi_line: bool = False) -> DataFrame:
+    """S-05: paid benchmarks as (client_id, avg_cpc), one row per document;
+    ``industry_averages.avg_cpc`` or, in the lines that ``sinks.save_paid``
+    writes, ``avg_cpc`` itself.  One row of NULLs (-> default CPC later) when
+    the file is absent."""
     from pyspark.errors import AnalysisException
 
-    schema = "industry_averages struct<avg_cpc double>"
+    schema = "client_id string, avg_cpc double, industry_averages struct<avg_cpc double>"
     if path:
         try:
-            df = spark.read.schema(schema).option("multiLine", True).json(path)
+            df = spark.read.schema(schema).option("multiLine", multi_line).json(path)
             df.schema  # resolves the path (works for any Hadoop file system)
-            return df.select(F.col("industry_averages.avg_cpc").alias("avg_cpc"))
+            return df.select("client_id", F.coalesce("industry_averages.avg_cpc", "avg_cpc").alias("avg_cpc"))
         except AnalysisException:
             pass
-    return spark.createDataFrame([(None,)], "avg_cpc double")
+    return spark.createDataFrame([(None, None)], "client_id string, avg_cpc double")

@@ -3,7 +3,7 @@
 Every sink is a distributed write (one file per partition, ``overwrite``);
 nothing is collected to the driver.  Nested values stay nested in JSON and
 are rendered with ``to_json`` for CSV.  Grouped sinks partition the output
-directory by ``client_id``.
+directory by ``client_id`` and replace only the clients that they write.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def _csv_safe(df: DataFrame) -> DataFrame:
 def write_json(df: DataFrame, path: str, partition_by=()) -> str:
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.json(path)
     return path
 
@@ -36,7 +36,7 @@ def write_json(df: DataFrame, path: str, partition_by=()) -> str:
 def write_csv(df: DataFrame, path: str, partition_by=()) -> str:
     w = _csv_safe(df).write.mode("overwrite").option("header", True)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.csv(path)
     return path
 
@@ -46,10 +46,11 @@ REVIEW_SCHEMA = ("review_seq long, brand string, location string, scraped_at tim
                  "text string, reviewer string, date string")
 
 
-def read_reviews(spark: SparkSession, json_path: str | None = None, csv_path: str | None = None):
+def read_reviews(spark: SparkSession, json_path: str | None = None, csv_path: str | None = None,
+                 multi_line: bool = False):
     """S-04: JSON preferred, CSV fallback, ``None`` when neither exists
-    ("no data").  Explicit schema; multi-line JSON documents and quoted
-    multi-line CSV fields are accepted."""
+    ("no data").  Explicit schema; JSON lines, or with ``multi_line`` one
+    document or array per file; quoted multi-line CSV fields are accepted."""
     from pyspark.errors import AnalysisException
 
     for fmt, path in (("json", json_path), ("csv", csv_path)):
@@ -58,7 +59,7 @@ def read_reviews(spark: SparkSession, json_path: str | None = None, csv_path: st
         try:
             r = spark.read.schema(REVIEW_SCHEMA)
             if fmt == "json":
-                df = r.option("multiLine", True).json(path)
+                df = r.option("multiLine", multi_line).json(path)
             else:
                 df = r.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
             df.schema
@@ -125,17 +126,17 @@ def save_sentiment(facets: dict[str, DataFrame], negatives: DataFrame, out_dir:
 
 def save_projections(monthly: DataFrame, summary: DataFrame, out_dir: str,
                      inputs: DataFrame | None = None, as_of: str | None = None) -> list[str]:
-    """S-12: resolved inputs, monthly rows and summary rows as JSON
-    partitioned by scenario, and the 16-column monthly CSV.  ``as_of``
+    """S-12: resolved inputs, monthly rows and summary rows as JSON (by
+    client where there is a client_id), and the 16-column monthly CSV.  ``as_of``
     stamps ``generated_at`` (a parameter, so reruns are reproducible)."""
     from ..operators.projections import MONTHLY_COLUMNS
     stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    by = lambda df: ("client_id",) if "client_id" in df.columns else ()
     paths = []
     if inputs is not None:
-        paths.append(write_json(inputs.withColumn("generated_at", stamp), f"{out_dir}/inputs_json",
-                                ("scenario_id",)))
-    return paths + [write_json(monthly, f"{out_dir}/monthly_json", ("scenario_id",)),
-                    write_json(summary, f"{out_dir}/summary_json", ("scenario_id",)),
+        paths.append(write_json(inputs.withColumn("generated_at", stamp), f"{out_dir}/inputs_json", by(inputs)))
+    return paths + [write_json(monthly, f"{out_dir}/monthly_json", by(monthly)),
+                    write_json(summary, f"{out_dir}/summary_json", by(summary)),
                     write_csv(monthly.select("scenario_id", *MONTHLY_COLUMNS), f"{out_dir}/monthly_csv")]
 
 

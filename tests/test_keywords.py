@@ -72,13 +72,8 @@ def test_grouped_rank_matches_window_with_hot_group(spark):
     assert got == want
 
 
-def test_row_number_by_group_picks_either_plan(spark):
-    from pyspark.sql import Window as W
-    from marketlens.operators.ranking import row_number_by_group
-    df = spark.range(0, 3000).select((F.col("id") % 3).alias("g"), (F.col("id") * 31 % 3000).alias("v"))
-    want = {(r.g, r.v): r.p for r in df.withColumn(
-        "p", F.row_number().over(W.partitionBy("g").orderBy(F.desc("v")))).collect()}
-    for limit in (10 ** 9, 10):   # plain window / skew-safe path
-        got = {(r.g, r.v): r.position for r in row_number_by_group(df, ["g"], [F.desc("v")],
-                                                                    max_group_rows=limit).collect()}
-        assert got == want, limit
+def test_first_competitors_after_the_filter(spark):
+    from marketlens.operators.keywords import first_competitors
+    roles = spark.createDataFrame([("c", 0, "t")] + [("c", s, f"d{s}") for s in (3, 4, 5, 6, 7)], "client_id string, seq int, domain string")
+    assert sorted(r.seq for r in first_competitors(roles, k=4).collect()) == [0, 3, 4, 5, 6]
+    assert first_competitors(roles).count() == 6

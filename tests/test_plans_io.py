@@ -49,7 +49,7 @@ def test_settings_dimensions(spark, tmp_path):
             {"client_id": "z", "target": {"domain": ""}}]
     for d in docs:
         (tmp_path / f"{d['client_id']}.json").write_text(json.dumps(d, indent=2))
-    st = S.read_settings(spark, str(tmp_path))
+    st = S.read_settings(spark, str(tmp_path), multi_line=True)
     dom = sorted((r.client_id, r.seq, r.domain) for r in S.all_domains(st).collect())
     assert dom == [("a", 0, "acme.com"), ("a", 1, "b.com"), ("a", 3, "c.com")]
     assert [r.domain for r in S.primary_competitors(S.competitors(st)).collect()] == ["b.com"]
@@ -152,3 +152,30 @@ def test_remaining_sinks_round_trip(spark, tmp_path):
     assert len(p) == 2
     back = K.read_reviews(spark, json_path=p[1])
     assert back.collect()[0].text == "long enough text"
+
+
+def test_json_lines_of_many_rows_and_files_come_back(spark, tmp_path):
+    from marketlens.sources import settings as S
+    from marketlens.sources import sinks as K
+    rows = [(i, "b", "x", None, 3, f"review text {i}", "r", "d") for i in range(60)]
+    p = K.save_reviews(spark.createDataFrame(rows, K.REVIEW_SCHEMA).repartition(3), str(tmp_path / "rev"))
+    assert sorted(r.review_seq for r in K.read_reviews(spark, json_path=p[1]).collect()) == list(range(60))
+    (tmp_path / "clients.json").write_text("".join(f'{{"client_id": "c{i}"}}\n' for i in range(5)))
+    assert S.read_settings(spark, str(tmp_path / "clients.json")).count() == 5
+
+
+def test_export_of_one_client_leaves_the_others(spark, tmp_path):
+    from marketlens.sources import sinks as K
+    out = str(tmp_path / "kw")
+    both = spark.createDataFrame([("a", 1), ("b", 2)], "client_id string, v int")
+    K.write_json(both, out, ("client_id",))
+    K.write_json(both.where("client_id = 'a'").selectExpr("client_id", "v + 10 as v"), out, ("client_id",))
+    assert sorted((r.client_id, r.v) for r in spark.read.json(out).collect()) == [("a", 11), ("b", 2)]
+
+
+def test_written_benchmark_is_used(spark, tmp_path):
+    from marketlens.sources import settings as S
+    from marketlens.sources import sinks as K
+    averages = spark.createDataFrame([("a", 9.49), ("b", 1.5)], "client_id string, avg_cpc double")
+    K.write_json(averages, str(tmp_path / "avg"))
+    assert sorted((r.client_id, r.avg_cpc) for r in S.read_benchmark(spark, str(tmp_path / "avg")).collect()) == [("a", 9.49), ("b", 1.5)]

@@ -75,3 +75,25 @@ def test_total_equals_paid_plus_organic(spark):
     m, _ = _run(spark, [(i, "luxury_ecommerce", 1000.0 * i, 80.0, 1.0 + i / 10, 2.0, 12) for i in range(1, 6)])
     for r in m.collect():
         assert abs(r.total_traffic - (r.paid_traffic + r.organic_traffic)) <= 1
+
+
+def _scenarios(spark, *rows):
+    return spark.createDataFrame(list(rows), "client_id string, " + SCEN)
+
+
+def test_unknown_industry_months_and_keyed_benchmark(spark):
+    sc = _scenarios(spark, ("a", 1, "luxury_ecommerce", 1000.0, 100.0, None, 1.5, 2), ("b", 2, "other", 1000.0, 100.0, None, 1.5, 2),
+                    ("c", 3, "other", 1000.0, 100.0, None, 1.5, 0), ("c", 4, "other", 1000.0, 100.0, None, 1.5, None))
+    bench = spark.createDataFrame([("a", 4.0), ("a", 4.0), ("z", 9.0)], "client_id string, avg_cpc double")
+    got = {(r.scenario_id, r.month): r for r in G.monthly_projection(sc, G.default_curves(spark), bench).collect()}
+    assert sorted(got) == [(1, 1), (1, 2), (2, 1), (2, 2)] + [(4, m) for m in range(1, 7)]
+    assert got[1, 1].effective_cpc == pytest.approx(4.0 * G.CPC_MULT[0], abs=0.01)
+    assert got[2, 1].effective_cpc == pytest.approx(G.DEFAULT_CPC * G.CPC_MULT[0], abs=0.01)
+    assert got[2, 1].organic_pct == G.ORGANIC_PCT[0]
+
+
+def test_unkeyed_benchmark_never_drops_or_doubles(spark):
+    sc = _scenarios(spark, ("a", 1, "luxury_ecommerce", 1000.0, 100.0, None, 1.5, 3))
+    for rows in ([], [(2.0,), (2.0,)]):
+        bench = spark.createDataFrame(rows, "avg_cpc double")
+        assert G.monthly_projection(sc, G.default_curves(spark), bench).count() == 3

@@ -89,3 +89,18 @@ def test_pluggable_scorer(spark):
     df = spark.createDataFrame([(1, "b", "x", "whatever text", None)], SCHEMA)
     out = R.score_reviews(df, scorer=lambda c: F.lit(-0.5)).collect()[0]
     assert out.sentiment == -0.5 and out.categories == ["other"]
+
+
+def test_scraped_text_is_stripped_before_the_length_rule(spark):
+    from marketlens.operators.reviews import normalise_reviews
+    raw = spark.createDataFrame([(1, "   hi       ", " Bob ", "\n"), (2, "\n a long enough text \t", None, None)],
+                                "review_seq long, review_text string, reviewer string, date string").selectExpr(
+        "*", "'b' as brand", "'l' as location", "'x' as element_text", "'4 stars' as rating_label")
+    assert [(r.review_seq, r.text, r.reviewer) for r in normalise_reviews(raw).collect()] == [(2, "a long enough text", "Anonymous")]
+
+
+def test_blank_cards_are_dropped_first(spark):
+    from marketlens.operators.paid import advertising_cards
+    cards = spark.createDataFrame([("d", ["", "10", " ", "20", "$30"]), ("e", ["", "1"])], "domain string, values array<string>")
+    got = {r.domain: tuple(r)[1:] for r in advertising_cards(cards).collect()}
+    assert got == {"d": ("10", "20", "$30", "10"), "e": (None, None, None, "1")}
