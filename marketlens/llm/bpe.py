@@ -24,11 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_slices, raw, real_id, whole_id, whole_text
+from .common import MEMORIES, map_slices, raw, real_id, whole_id, whole_text
 
 #: Characters above which a text is cut, and of a cut piece.
 LONG = 16_384
-_CODERS: dict[str, tuple] = {}
+_CODERS: dict[str, tuple] = MEMORIES.setdefault("ranks", {})
 
 
 def coder(path: str, pattern: str):
@@ -77,7 +77,7 @@ def encoded(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text
         encoding, _ = coder(path, pattern)
         return {"id": part.column("id"), "ids": [np.array(encode(encoding, t), np.int32) for t in _texts(part)]}
 
-    return map_slices(df.select(whole_id(id_col), whole_text(text_col)), rows, "id long, ids array<int>")
+    return map_slices(df.select(whole_id(id_col), whole_text(text_col)), rows, "id long, ids array<int>", memory="ranks")
 
 
 def decoded(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", out_col: str = "body") -> DataFrame:
@@ -116,5 +116,5 @@ def digest(df: DataFrame) -> DataFrame:
         return out
 
     coded = map_slices(df.select(whole_id("doc_id"), whole_text("text")), rows,
-                       "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                       "id long, n_tokens long, ids_sha256 string, decoded_sha256 string", memory="ranks")
     return coded.select(real_id("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")

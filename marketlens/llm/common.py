@@ -66,15 +66,20 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
         lo = min(hi, n)
 
 
-def map_slices(df: DataFrame, fn, schema: str, limit: int = SLICE_BYTES, slots=None, hit: bool = True) -> DataFrame:
+def map_slices(df: DataFrame, fn, schema: str, limit: int = SLICE_BYTES, slots=None, hit: bool = True,
+               memory: str | None = None) -> DataFrame:
     """mapInArrow over slices; ``fn(slice) -> dict of columns`` (or None).
     With a slot filter, only rows whose text_key is (or is not) in it, in the
-    same Python worker."""
+    same Python worker.  ``memory`` names the worker memory that ``fn`` uses;
+    the others are emptied."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     target = to_arrow_schema(_struct(schema))
 
     def run(batches):
+        for name, kept in MEMORIES.items():
+            if name != memory:
+                kept.clear()
         for batch in batches:
             if slots is not None:
                 batch = batch.filter(pa.array(in_slots(slots.value, batch.column("text_key").to_numpy()) == hit))
@@ -82,11 +87,25 @@ def map_slices(df: DataFrame, fn, schema: str, limit: int = SLICE_BYTES, slots=N
                 out = fn(part)
                 if out is not None:
                     yield record(out, target)
-        pa.default_memory_pool().release_unused()  # workers live on between tasks
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+#: What operators remember in a Python worker between tasks, by name.
+MEMORIES: dict[str, dict] = {}
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def record(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in schema], schema=schema)

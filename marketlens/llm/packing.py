@@ -38,15 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import _struct, map_slices, raw, real_id, record, stored, whole_id, whole_text
+from .common import MEMORIES, _struct, map_slices, raw, real_id, record, stored, whole_id, whole_text
 
 LENGTH, END = 4096, 1
 GROUP = 20_000
 #: Fill below which a group's bins are dealt out again at the end.
 EXCHANGE = 0.97
 ROUNDS = 3
-REMEMBERED = 150_000
-_TOKENIZERS: dict[str, tuple] = {}
+REMEMBERED = 500_000
+_TOKENIZERS: dict[str, tuple] = MEMORIES.setdefault("words", {})
 
 
 #: Between a letter and ASCII punctuation other than an apostrophe the
@@ -117,7 +117,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END) ->
                 out["ids_crc32"].append(zlib.crc32(some))
         return out
 
-    return map_slices(docs, rows, "id long, piece int, start long, length long, ids_crc32 long")
+    return map_slices(docs, rows, "id long, piece int, start long, length long, ids_crc32 long", memory="words")
 
 
 def best_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
