@@ -1,36 +1,47 @@
-"""Join helpers with explicit size checks."""
+"""Substring joins without a nested loop."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Patterns per broadcast pass.  Each pass ships at most this many rows to
-# every executor, whatever the size of the pattern table.
-MAX_BROADCAST_PATTERNS = 50_000
+#: Characters of an index gram.  Patterns that are shorter are their own key.
+GRAM = 4
+
+
+def _grams(text: Column, size: int) -> Column:
+    """Every run of ``size`` characters of a text, as an array.  A look-ahead
+    group makes the matches overlap and reads the text once."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
 
-def contains_join(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_col: str,
-                  max_broadcast: int = MAX_BROADCAST_PATTERNS, known_count: int | None = None) -> DataFrame:
-    """Rows of ``texts`` x ``patterns`` where ``text_col`` contains
-    ``pattern_col`` (substring semantics, as the source tool uses).
+def contains_pairs(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_col: str) -> DataFrame:
+    """Distinct (text, pattern) with the text containing the pattern, under the
+    two given names.
 
-    Substring containment has no equi-key, so the plan is a broadcast
-    nested-loop join that streams the (large) text side.  The pattern side
-    is broadcast only after its row count is checked: up to
-    ``max_broadcast`` rows in one pass; beyond that the patterns are split
-    by hash into bounded chunks, one broadcast pass each, unioned.  The
-    result is exact either way.
+    Every distinct pattern is indexed by one of its grams of ``GRAM``
+    characters: the one that the fewest patterns share, so that a word common
+    to many patterns never becomes their key.  Distinct texts meet the index by
+    equality on their own distinct grams, and each candidate is then checked on
+    the whole text, so the result is that of a plain substring test.  One plan
+    for every size: hash joins only, nothing counted beforehand.
+
+    Null and empty patterns match nothing, null texts neither.  Texts and
+    patterns that repeat come out once: callers join their own rows back.
     """
-    n = known_count if known_count is not None else patterns.count()
-    if n <= max_broadcast:
-        return texts.join(F.broadcast(patterns), F.col(text_col).contains(F.col(pattern_col)))
-    k = -(-n // max_broadcast)
-    bucket = F.pmod(F.xxhash64(pattern_col), F.lit(k))
-    tagged = patterns.withColumn("__chunk", bucket)
-    parts = [texts.join(F.broadcast(tagged.filter(F.col("__chunk") == i).drop("__chunk")),
-                        F.col(text_col).contains(F.col(pattern_col)))
-             for i in range(k)]
-    return reduce(DataFrame.unionByName, parts)
+    pats = (patterns.select(F.col(pattern_col).alias("pattern"))
+            .filter(F.length("pattern") > 0).distinct())
+    keys = F.when(F.length("pattern") < GRAM, F.array("pattern")).otherwise(F.array_distinct(_grams(F.col("pattern"), GRAM)))
+    exploded = pats.select("pattern", F.explode(keys).alias("gram"))
+    shared = exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    index = (exploded.join(shared, "gram").groupBy("pattern")
+             .agg(F.min(F.struct("n", "gram")).alias("k")).select(F.col("k.gram").alias("gram"), "pattern"))
+
+    body = F.col(text_col)
+    docs = (texts.filter(body.isNotNull()).select(F.sha2(body, 256).alias("tid"), body.alias("body"))
+            .groupBy("tid").agg(F.first("body").alias("body")))
+    sizes = F.concat(*[_grams(F.col("body"), k) for k in range(1, GRAM + 1)])
+    hits = (docs.select("tid", F.explode(F.array_distinct(sizes)).alias("gram"))
+            .join(index, "gram").select("tid", "pattern"))
+    return (docs.join(hits, "tid").filter(F.col("body").contains(F.col("pattern")))
+            .select(F.col("body").alias(text_col), F.col("pattern").alias(pattern_col)))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import dround, intent_label, score_gate, with_parsed_numbers
 from ..session import checkpointed
-from .joins import contains_join
+from .joins import contains_pairs
 
 METRICS = ("volume", "kd", "cpc", "intent")
 
@@ -140,20 +140,18 @@ def domain_keyword_gap(domain_kw: DataFrame, roles: DataFrame, by=("client_id",)
                       "target_position")
 
 
-def related_keywords(seeds: DataFrame, universe: DataFrame, per_seed: int = 20) -> DataFrame:
-    """Related-keyword discovery (J-10): for every seed, keywords that
-    contain the lower-cased seed and differ from it, top ``per_seed`` by
-    volume descending then keyword.  ``seeds`` is the tool's short seed
-    list (first five market keywords): it is counted, then broadcast (in
-    bounded chunks if it were large); the containment test runs as a
-    broadcast nested-loop filter over the keyword universe.
+def related_keywords(seeds: DataFrame, universe: DataFrame, per_seed: int = 20, by=()) -> DataFrame:
+    """Related-keyword discovery (J-10): for every seed, keywords of its own
+    client (``by``) that contain the lower-cased seed and differ from it, top
+    ``per_seed`` by volume descending then keyword.  Keywords meet seeds by
+    grams (see :func:`contains_pairs`), at any number of seeds.
     """
-    s = seeds.select("seed_seq", F.lower("seed").alias("seed"))
-    # size-checked broadcast of the seed list (see joins.contains_join)
-    j = contains_join(universe, s, "keyword", "seed").filter(F.col("keyword") != F.col("seed"))
-    w = W.partitionBy("seed_seq").orderBy(F.desc("volume"), "keyword")
+    s = seeds.select(*by, "seed_seq", F.lower("seed").alias("seed"))
+    pairs = contains_pairs(universe, s, "keyword", "seed").filter(F.col("keyword") != F.col("seed"))
+    j = universe.join(pairs, "keyword").join(s, [*by, "seed"])
+    w = W.partitionBy(*by, "seed_seq").orderBy(F.desc("volume"), "keyword")
     return (j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= per_seed)
-            .select("seed_seq", "seed", "rank", "keyword", "volume"))
+            .select(*by, "seed_seq", "seed", "rank", "keyword", "volume"))
 
 
 def organic_competitors(domain_kw: DataFrame, targets: DataFrame, by=("client_id",)) -> DataFrame:

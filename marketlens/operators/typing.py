@@ -50,28 +50,26 @@ def first_url_cell(cells: Column, n: int = 2) -> Column:
     return fl(_first(ok))
 
 
-def positive_numbers(cells: Column) -> Column:
-    """X-12: parse the first line of every cell, keep the positive values."""
-    vals = F.transform(cells, lambda c: parse_number(F.get(F.split(py_strip(c), "\n"), 0)))
-    return F.filter(vals, lambda v: v > 0)
-
-
 def _lines(cells: Column) -> Column:
     return F.flatten(F.transform(cells, lambda c: F.transform(F.split(py_strip(c), "\n"), lambda l: py_strip(l))))
 
 
-def _cap(df: DataFrame, k: int, key: str = "domain", order: str = "row_seq") -> DataFrame:
-    w = W.partitionBy(key).orderBy(order)
+def _cap(df: DataFrame, k: int | None, by=("domain",), order: str = "row_seq") -> DataFrame:
+    """The first ``k`` rows of every page; all rows for None."""
+    if k is None:
+        return df
+    w = W.partitionBy(*by).orderBy(order)
     return df.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k).drop("__r")
 
 
 def keyword_rows(raw: DataFrame, volume_text: Column | None = None, kd_text: Column | None = None,
-                 max_rows: int = 50) -> DataFrame:
-    """C-01: keyword table rows (>= 3 cells, first ``max_rows`` per page):
+                 max_rows: int | None = None, page=("domain",)) -> DataFrame:
+    """C-01: keyword table rows (>= 3 cells; the first ``max_rows`` of each
+    ``page``, where a limit is given):
     keyword (X-09); CPC = the first '$' line that parses to non-zero;
     intent = the last line that is an intent code or label; volume when
     > 0 and KD in (0, 100] from their own elements (0 when absent)."""
-    r = _cap(raw, max_rows).filter(F.size("cells") >= 3).withColumn("__lines", _lines(F.col("cells")))
+    r = _cap(raw, max_rows, page).filter(F.size("cells") >= 3).withColumn("__lines", _lines(F.col("cells")))
     lines = F.col("__lines")
     # every '$' line parsed once; the first non-zero value is the CPC
     dollars = F.filter(F.transform(lines, lambda l: F.when(l.contains("$"), parse_number(l))),
@@ -89,19 +87,21 @@ def keyword_rows(raw: DataFrame, volume_text: Column | None = None, kd_text: Col
     return out.filter(F.col("keyword").isNotNull() & (F.col("keyword") != ""))
 
 
-def paid_rows(raw: DataFrame, max_rows: int = 10) -> DataFrame:
-    """C-04: paid keyword rows with >= 5 cells by fixed position (first
-    ``max_rows`` rows of the page), kept when the keyword is non-empty."""
-    r = _cap(raw, max_rows).filter(F.size("cells") >= 5)
+def paid_rows(raw: DataFrame, max_rows: int | None = None, page=("domain",)) -> DataFrame:
+    """C-04: paid keyword rows with >= 5 cells by fixed position (the first
+    ``max_rows`` rows of each ``page``, where a limit is given), kept when the
+    keyword is non-empty."""
+    r = _cap(raw, max_rows, page).filter(F.size("cells") >= 5)
     c = F.col("cells")
     return r.select("domain", "row_seq", F.get(c, 0).alias("keyword"), F.get(c, 1).alias("position"),
                     F.get(c, 2).alias("volume"), F.get(c, 3).alias("cpc"),
                     F.get(c, 4).alias("traffic_pct")).filter(F.col("keyword") != "")
 
 
-def link_rows(raw: DataFrame, max_rows: int = 50, table: str | None = None) -> DataFrame:
-    """C-09: typed backlink-table rows (first ``max_rows`` of a page, >= 2
-    cells), one output row per (table kind, raw row) in a long format:
+def link_rows(raw: DataFrame, max_rows: dict | None = None, table: str | None = None, page=("domain",)) -> DataFrame:
+    """C-09: typed backlink-table rows (>= 2 cells), one output row per (table
+    kind, raw row) in a long format.  ``max_rows`` limits a table kind to the
+    first rows of each ``page``, kind by kind; all rows where it has no entry.
 
     * ``referring_domains``: key = first of the first three cells whose
       first line holds a dot and is longer than 3 characters (X-10);
@@ -114,12 +114,16 @@ def link_rows(raw: DataFrame, max_rows: int = 50, table: str | None = None) -> D
     Rows without a key are dropped, per table.  ``table`` restricts the
     output to one kind.
     """
-    r = _cap(raw, max_rows).filter(F.size("cells") >= 2)
+    limits = max_rows or {}
+    r = raw
+    if limits:
+        r = r.withColumn("__r", F.row_number().over(W.partitionBy(*page).orderBy("row_seq")))
+    r = r.filter(F.size("cells") >= 2)
     # every cell's first line parsed once, reused by both number lists
     r = r.withColumn("__p", F.transform(F.col("cells"), lambda x: parse_number(F.get(F.split(py_strip(x), "\n"), 0))))
     c = F.col("cells")
     anchor = _first(F.filter(F.transform(F.slice(c, 1, 2), lambda x: first_line(x)), lambda x: F.length(x) > 0))
-    nums_rest = F.filter(F.slice(F.col("__p"), 2, 1 << 20), lambda v: v > 0)
+    nums_rest = F.filter(F.slice(F.col("__p"), F.lit(2), F.size("__p")), lambda v: v > 0)
     nums_all = F.filter(F.col("__p"), lambda v: v > 0)
     zero = F.lit(0.0)
     kinds = {
@@ -130,24 +134,28 @@ def link_rows(raw: DataFrame, max_rows: int = 50, table: str | None = None) -> D
     if table is not None:
         kinds = {table: kinds[table]}
     # one generator over the (<= 3) table kinds: a single pass over the rows
-    structs = F.array(*[F.struct(F.lit(k).alias("table"), key.alias("item"), n1.alias("referring_domains"),
+    def within(k, key):
+        return F.when(F.col("__r") <= limits[k], key) if k in limits else key
+    structs = F.array(*[F.struct(F.lit(k).alias("table"), within(k, key).alias("item"), n1.alias("referring_domains"),
                                  n2.alias("backlinks")) for k, (key, n1, n2) in kinds.items()])
     out = r.select("domain", "row_seq", F.explode(structs).alias("t")).select("domain", "row_seq", "t.*")
     return out.filter(F.col("item").isNotNull() & (F.col("item") != ""))
 
 
-def ai_rows(raw: DataFrame, max_competitors: int = 20, max_prompts: int = 30) -> DataFrame:
+def ai_rows(raw: DataFrame, max_competitors: int | None = None, max_prompts: int | None = None,
+            page=("domain",)) -> DataFrame:
     """C-11: AI competitor rows (domain from the first two cells, first five
-    cells kept; first 20 rows) and prompt rows (first cell longer than 5
-    characters, first four cells kept; first 30 rows); F-04, F-05."""
+    cells kept) and prompt rows (first cell longer than 5 characters, first
+    four cells kept), each the first rows of a ``page`` where a limit is
+    given; F-04, F-05."""
     gate = F.size("cells") >= 2
     c = F.col("cells")
     strip_all = lambda a: F.transform(a, lambda x: py_strip(x))
-    comp = _cap(raw, max_competitors).filter(gate).select(
+    comp = _cap(raw, max_competitors, page).filter(gate).select(
         "domain", "row_seq", F.lit("competitor").alias("row_kind"),
         first_domain_cell(c, 2, strip_line=False).alias("value"),
         F.array_join(strip_all(F.slice(c, 1, 5)), " | ").alias("raw_data")).filter(F.col("value").isNotNull())
-    prm = _cap(raw, max_prompts).filter(gate).select(
+    prm = _cap(raw, max_prompts, page).filter(gate).select(
         "domain", "row_seq", F.lit("prompt").alias("row_kind"), py_strip(F.get(c, 0)).alias("value"),
         F.array_join(strip_all(F.slice(c, 1, 4)), " | ").alias("raw_data")).filter(F.length("value") > 5)
     return comp.unionByName(prm)

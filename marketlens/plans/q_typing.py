@@ -21,9 +21,16 @@ def FL(x: str) -> str:
     return S(f"string_split({S(x)}, chr(10))[1]")
 
 
-def _cap_sql(k: int, gate: int) -> str:
+# Rows that the tool reads of a page, by table.
+PAGE_ROWS = {"keywords": 50, "paid": 10, "referring_domains": 50, "anchors": 30, "top_pages": 30,
+             "ai_competitors": 20, "ai_prompts": 30}
+
+
+def _rows_sql(src: str, gate: int, k: int | None) -> str:
+    """Rows of ``src`` with at least ``gate`` cells; the first k of a page if k is given."""
+    page = f" and rn <= {k}" if k is not None else ""
     return (f"(select * from (select *, row_number() over (partition by domain order by row_seq) as rn "
-            f"from raw_rows_v) where rn <= {k} and len(cells) >= {gate})")
+            f"from {src}) where len(cells) >= {gate}{page})")
 
 
 def _gate100(x: str) -> str:
@@ -38,8 +45,9 @@ _labels = ", ".join(q(x) for x in INTENT_LABELS)
 _codes = ", ".join(q(x) for x in INTENT_CODES)
 _map = " ".join(f"when li = {q(k)} then {q(v)}" for k, v in INTENT_CODES.items())
 
-KEYWORD_ROWS_SQL = views_then(f"""
-r as {_cap_sql(50, 3)},
+def _keyword_rows_sql(k: int | None) -> str:
+    return views_then(f"""
+r as {_rows_sql('raw_rows_v', 3, k)},
 t as (select domain, row_seq, cells,
         flatten(list_transform(cells, lambda c: list_transform(string_split({S('c')}, chr(10)), lambda l: {S('l')}))) as lines
       from r),
@@ -54,66 +62,92 @@ select domain, row_seq, {FL('kwc')} as keyword,
 from u where {FL('kwc')} is not null and {FL('kwc')} <> ''""", "raw_rows_v")
 
 
-@register("typed_keyword_rows", "C-01,X-08,X-09,F-04", KEYWORD_ROWS_SQL)
-def typed_keyword_rows(spark, sf_dir):
+def _keyword_rows(spark, sf_dir, k=None):
     raw = raw_rows_df(Tables(spark, sf_dir))
-    return TY.keyword_rows(raw, volume_text=F.get(F.col("cells"), 3), kd_text=F.get(F.col("cells"), 0))
+    return TY.keyword_rows(raw, volume_text=F.get(F.col("cells"), 3), kd_text=F.get(F.col("cells"), 0), max_rows=k)
+
+
+@register("typed_keyword_rows", "C-01,X-08,X-09,F-04", _keyword_rows_sql(None))
+def typed_keyword_rows(spark, sf_dir):
+    return _keyword_rows(spark, sf_dir)
+
 
+@register("first_page_keyword_rows", "C-01", _keyword_rows_sql(PAGE_ROWS["keywords"]))
+def first_page_keyword_rows(spark, sf_dir):
+    return _keyword_rows(spark, sf_dir, PAGE_ROWS["keywords"])
 
-PAID_ROWS_SQL = views_then(f"""
-r as (select * from (select *, row_number() over (partition by domain order by row_seq) as rn from raw_rows_v)
-      where rn <= 10 and len(cells) >= 5)
+
+def _paid_rows_sql(k: int | None) -> str:
+    return views_then(f"""
+r as {_rows_sql('raw_rows_v', 5, k)}
 select domain, row_seq, cells[1] as keyword, cells[2] as position, cells[3] as volume, cells[4] as cpc,
        cells[5] as traffic_pct from r where cells[1] <> ''""", "raw_rows_v")
 
 
-@register("typed_paid_rows", "C-04", PAID_ROWS_SQL)
+@register("typed_paid_rows", "C-04", _paid_rows_sql(None))
 def typed_paid_rows(spark, sf_dir):
-    return TY.paid_rows(raw_rows_df(Tables(spark, sf_dir)), max_rows=10)
+    return TY.paid_rows(raw_rows_df(Tables(spark, sf_dir)))
+
+
+@register("first_page_paid_rows", "C-04", _paid_rows_sql(PAGE_ROWS["paid"]))
+def first_page_paid_rows(spark, sf_dir):
+    return TY.paid_rows(raw_rows_df(Tables(spark, sf_dir)), max_rows=PAGE_ROWS["paid"])
 
 
 def _posnums(lst: str) -> str:
     return f"list_filter(list_transform({lst}, lambda c: {P(f'string_split({S(chr(99))}, chr(10))[1]')}), lambda v: v > 0)"
 
 
-LINK_ROWS_SQL = views_then(f"""
+def _link_rows_sql(limits: dict) -> str:
+    page = " or ".join(f"(\"table\" = {q(k)} and rn <= {n})" for k, n in limits.items()) or "true"
+    return views_then(f"""
 lv as (select domain, row_seq, cells from raw_rows_v
        union all
        select domain || '/url-first', row_seq, list_reverse(cells) from raw_rows_v),
-r as (select * from (select *, row_number() over (partition by domain order by row_seq) as rn from lv)
-      where rn <= 50 and len(cells) >= 2),
-t as (select domain, row_seq, cells,
+r as {_rows_sql('lv', 2, None)},
+t as (select domain, row_seq, rn, cells,
              list_filter(cells[1:3], lambda c: contains({FL('c')}, '.') and length({FL('c')}) > 3)[1] as dc,
              list_filter(list_transform(cells[1:2], lambda c: {FL('c')}), lambda x: length(x) > 0)[1] as anchor,
              {_posnums('cells[2:]')} as nr, {_posnums('cells')} as na,
              list_filter(cells[1:2], lambda c: contains(string_split({S('c')}, chr(10))[1], '/')
                                              or contains(string_split({S('c')}, chr(10))[1], 'http'))[1] as uc
       from r),
-u as (select domain, row_seq, 'referring_domains' as "table", {FL('dc')} as item,
+u as (select domain, row_seq, rn, 'referring_domains' as "table", {FL('dc')} as item,
              0.0 as referring_domains, 0.0 as backlinks from t
       union all
-      select domain, row_seq, 'anchors', anchor, coalesce(nr[1], 0.0), coalesce(nr[2], 0.0) from t
+      select domain, row_seq, rn, 'anchors', anchor, coalesce(nr[1], 0.0), coalesce(nr[2], 0.0) from t
       union all
-      select domain, row_seq, 'top_pages', string_split({S('uc')}, chr(10))[1],
+      select domain, row_seq, rn, 'top_pages', string_split({S('uc')}, chr(10))[1],
              coalesce(na[1], 0.0), coalesce(na[2], 0.0) from t)
-select * from u where item is not null and item <> ''""", "raw_rows_v")
+select * exclude (rn) from u where item is not null and item <> '' and ({page})""", "raw_rows_v")
 
 
-@register("typed_link_rows", "C-09,X-10,X-11,X-12", LINK_ROWS_SQL)
-def typed_link_rows(spark, sf_dir):
+def _link_rows(spark, sf_dir, limits=None):
     # two table layouts: the scraped rows as they are, and URL-first pages
     raw = raw_rows_df(Tables(spark, sf_dir))
     url_first = raw.select(F.concat(F.col("domain"), F.lit("/url-first")).alias("domain"), "row_seq",
                            F.reverse("cells").alias("cells"))
-    return TY.link_rows(raw.unionByName(url_first))
+    return TY.link_rows(raw.unionByName(url_first), max_rows=limits)
+
 
+LINK_PAGE_ROWS = {k: PAGE_ROWS[k] for k in ("referring_domains", "anchors", "top_pages")}
 
-AI_ROWS_SQL = views_then(f"""
+
+@register("typed_link_rows", "C-09,X-10,X-11,X-12", _link_rows_sql({}))
+def typed_link_rows(spark, sf_dir):
+    return _link_rows(spark, sf_dir)
+
+
+@register("first_page_link_rows", "C-09", _link_rows_sql(LINK_PAGE_ROWS))
+def first_page_link_rows(spark, sf_dir):
+    return _link_rows(spark, sf_dir, LINK_PAGE_ROWS)
+
+
+def _ai_rows_sql(competitors: int | None, prompts: int | None) -> str:
+    return views_then(f"""
 rv as (select domain, row_seq, list_reverse(cells) as cells from raw_rows_v),
-c as (select * from (select *, row_number() over (partition by domain order by row_seq) as rn from rv)
-      where rn <= 20 and len(cells) >= 2),
-p as (select * from (select *, row_number() over (partition by domain order by row_seq) as rn from rv)
-      where rn <= 30 and len(cells) >= 2),
+c as {_rows_sql('rv', 2, competitors)},
+p as {_rows_sql('rv', 2, prompts)},
 cc as (select domain, row_seq, 'competitor' as row_kind,
               string_split({S("list_filter(cells[1:2], lambda c: contains(string_split(" + S('c') + ", chr(10))[1], '.') and length(string_split(" + S('c') + ", chr(10))[1]) > 3)[1]")}, chr(10))[1] as value,
               array_to_string(list_transform(cells[1:5], lambda x: {S('x')}), ' | ') as raw_data from c),
@@ -124,12 +158,24 @@ union all
 select * from pp where length(value) > 5""", "raw_rows_v")
 
 
-@register("typed_ai_rows", "C-11,F-04,F-05", AI_ROWS_SQL)
-def typed_ai_rows(spark, sf_dir):
+def _ai_rows(spark, sf_dir, competitors=None, prompts=None):
     # AI research tables lead with the domain / prompt: the scraped rows
     # reversed (URL first) stand in for them
     raw = raw_rows_df(Tables(spark, sf_dir))
-    return TY.ai_rows(raw.select("domain", "row_seq", F.reverse("cells").alias("cells")))
+    return TY.ai_rows(raw.select("domain", "row_seq", F.reverse("cells").alias("cells")), competitors, prompts)
+
+
+@register("typed_ai_rows", "C-11,F-04,F-05", _ai_rows_sql(None, None))
+def typed_ai_rows(spark, sf_dir):
+    return _ai_rows(spark, sf_dir)
+
+
+AI_PAGE_ROWS = (PAGE_ROWS["ai_competitors"], PAGE_ROWS["ai_prompts"])
+
+
+@register("first_page_ai_rows", "C-11", _ai_rows_sql(*AI_PAGE_ROWS))
+def first_page_ai_rows(spark, sf_dir):
+    return _ai_rows(spark, sf_dir, *AI_PAGE_ROWS)
 
 
 def _num(i: int) -> str:

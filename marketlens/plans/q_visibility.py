@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import TRIGGER_LIKELIHOOD
 from ..operators import visibility as V
-from ..sources.fixtures import clients_df, paid_kw_df, views_then, with_views
-from ..sources.tables import Tables, ensure_parallelism
+from ..sources.fixtures import brands_df, clients_df, paid_kw_df, views_then, with_views
+from ..sources.tables import Tables
 from .oracle_sql import dround_sql, q, trigger_sql
 from .registry import register
 
 
 def _classified(t):
-    return V.classify_triggers(ensure_parallelism(t.documents.select("doc_id", "text")), "text")
+    return V.classify_triggers(t.documents.select("doc_id", "text"), "text")
 
 
 TRIGGER_CLASSES_SQL = f"select doc_id, {trigger_sql('text')} as trigger_category from documents"
@@ -118,8 +118,7 @@ def prompt_counts(spark, sf_dir):
     return V.prompt_counts(V.build_prompts(*_prompt_inputs(Tables(spark, sf_dir))))
 
 
-BRAND_MENTIONS_SQL = views_then(f"""b as (select client_id, coalesce(name, domain) as brand from clients_v
-           where priority = 'primary' and length(coalesce(name, domain)) > 0),
+BRAND_MENTIONS_SQL = views_then(f"""b as (select client_id, brand from brands_v where length(brand) > 0),
 a as (select lower(text) as lt from conversations where role = 'assistant'),
 h as (select b.client_id, b.brand, count(*) as answers_mentioning,
              sum(cast((length(a.lt) - length(replace(a.lt, lower(b.brand), ''))) / length(lower(b.brand)) as bigint)) as mentions
@@ -129,12 +128,10 @@ f as (select b.client_id, b.brand, coalesce(h.answers_mentioning, 0) as answers_
       from b left join h on b.client_id = h.client_id and b.brand = h.brand)
 select f.*, {dround_sql('case when sum(answers_mentioning) over (partition by client_id) > 0 then cast(answers_mentioning as double) / cast(sum(answers_mentioning) over (partition by client_id) as double) else 0.0 end', 6)} as share_of_voice,
        (select count(*) from conversations where role = 'user') as prompts_tracked
-from f""", "clients_v")
+from f""", "clients_v", "brands_v")
 
 
 @register("brand_mentions", "A-16", BRAND_MENTIONS_SQL)
 def brand_mentions(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    brands = (clients_df(t).filter(F.col("priority") == "primary")
-              .select("client_id", F.coalesce("name", "domain").alias("brand")))
-    return V.brand_mentions(ensure_parallelism(t.conversations), brands)
+    return V.brand_mentions(t.conversations, brands_df(t))

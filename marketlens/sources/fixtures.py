@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .tables import Tables, ensure_parallelism
+from .tables import Tables
 
 
 # --------------------------------------------------------------------------
@@ -29,7 +29,7 @@ def reviews_df(t: Tables, prepare=None) -> DataFrame:
     docs = t.documents.select(F.col("doc_id").alias("review_seq"), F.col("source").alias("brand"),
                               F.col("lang").alias("location"), "text")
     if prepare is not None:
-        docs = prepare(ensure_parallelism(docs))
+        docs = prepare(docs)
     labels = t.labels.select(
         F.col("doc_id").alias("review_seq"),
         F.when(F.col("quality") == 0, F.lit(2)).when(F.col("quality") == 1, F.lit(5))
@@ -231,6 +231,27 @@ select n.n_name as client_id,
 from supplier s join nation n on s.s_nationkey=n.n_nationkey"""
 
 
+# --------------------------------------------------------------------------
+# brands_v: the brands that a client follows: those of its suppliers, and the
+# first word of four letters of each user turn (the names that users bring up)
+# --------------------------------------------------------------------------
+def brands_df(t: Tables) -> DataFrame:
+    named = clients_df(t).select("client_id", F.coalesce("name", "domain").alias("brand"))
+    n = t.nation.select("n_nationkey", F.col("n_name").alias("client_id"))
+    asked = (t.conversations.filter(F.col("role") == "user")
+             .select((F.col("conv_id") % 25).cast("long").alias("n_nationkey"),
+                     F.regexp_extract("text", "[A-Za-z]{4,}", 0).alias("brand"))
+             .filter(F.length("brand") > 0).join(F.broadcast(n), "n_nationkey").select("client_id", "brand"))
+    return named.unionByName(asked).distinct()
+
+
+BRANDS_SQL = """
+select client_id, coalesce(name, domain) as brand from clients_v
+union
+select n.n_name, regexp_extract(c.text, '[A-Za-z]{4,}', 0) from conversations c join nation n on n.n_nationkey = c.conv_id % 25
+where c.role = 'user' and regexp_extract(c.text, '[A-Za-z]{4,}', 0) <> ''"""
+
+
 # --------------------------------------------------------------------------
 # raw_rows_v / raw_cards_v: scraped table rows and metric cards
 # --------------------------------------------------------------------------
@@ -301,6 +322,7 @@ VIEW_SQL = {
     "scenario_v": SCENARIO_SQL,
     "links_v": LINKS_SQL,
     "clients_v": CLIENTS_SQL,
+    "brands_v": BRANDS_SQL,
     "raw_rows_v": RAW_ROWS_SQL,
     "raw_cards_v": RAW_CARDS_SQL,
 }

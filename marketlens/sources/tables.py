@@ -25,21 +25,3 @@ class Tables:
         if name in TABLES:
             return read_table(self.spark, self.sf_dir, name)
         raise AttributeError(name)
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a small input over the cluster before CPU-heavy row work
-    (text scoring, regex extraction, n-grams).
-
-    A scan yields one task per file split; a small file with a single row
-    group leaves all but one task idle.  When the scan has fewer partitions
-    than ``min_partitions`` (default: the default parallelism) the rows are
-    round-robin repartitioned; a large input already has thousands of
-    splits and passes through untouched, so no shuffle is added at scale.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session: no RDD view)
-        return df
-    return df.repartition(target) if current < target else df

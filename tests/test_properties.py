@@ -84,13 +84,16 @@ def test_brand_mentions_counts(spark):
     assert got == {"Acme": (1, 2, 0.333333, 1), "BetaCo": (2, 2, 0.666667, 1), "Zed": (0, 0, 0.0, 1)}
 
 
-def test_contains_join_chunked_equals_single_pass(spark):
-    from marketlens.operators.joins import contains_join
-    texts = spark.createDataFrame([("abc",), ("xbcx",), ("zzz",)], "t string")
-    pats = spark.createDataFrame([("bc",), ("z",), ("q",), ("a",)], "p string")
-    one = sorted(map(tuple, contains_join(texts, pats, "t", "p").collect()))
-    many = sorted(map(tuple, contains_join(texts, pats, "t", "p", max_broadcast=1).collect()))
-    assert one == many == [("abc", "a"), ("abc", "bc"), ("xbcx", "bc"), ("zzz", "z")]
+def test_contains_pairs_equals_substring_test(spark):
+    from marketlens.operators.joins import contains_pairs
+    texts = ["abc", "xbcx", "zzz", "", None, "brand 12 and\nbrand 123", "Straße \U0001f600brand\U0001f600", "abc"]
+    pats = ["bc", "z", "q", "a", "", None, "brand 1", "brand 12", "brand 123", "brand 13", "and\nb", "\U0001f600b", "ße \U0001f600br", "bc"]
+    got = contains_pairs(spark.createDataFrame([(t,) for t in texts], "t string"),
+                         spark.createDataFrame([(p,) for p in pats], "p string"), "t", "p")
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    want = {(t, p) for t in texts if t is not None for p in pats if p and p in t}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
 
 
 def test_prompt_texts_literal(spark):
