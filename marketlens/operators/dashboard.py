@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 TOP_PAGES, TOP_ANCHORS, TOP_REF_DOMAINS, KEYWORD_GAP_ROWS = 20, 20, 30, 50
 
 
-def keyword_map(related: DataFrame) -> DataFrame:
+def keyword_map(related: DataFrame, by=()) -> DataFrame:
     """D-01 (rebuild branch): one entry per lower-cased keyword of the
     related-keyword list, empty keywords skipped, the *last* occurrence
     winning (dictionary assignment), absent metrics defaulted (volume, kd,
     cpc 0; intent 'Unknown').  ``max_by`` aggregates map-side."""
     k = related.filter(F.col("keyword").isNotNull() & (F.col("keyword") != "")).select(
-        "seq", F.lower("keyword").alias("keyword"),
+        *by, "seq", F.lower("keyword").alias("keyword"),
         F.struct(F.coalesce("volume", F.lit(0.0)).alias("volume"), F.coalesce("kd", F.lit(0.0)).alias("kd"),
                  F.coalesce("cpc", F.lit(0.0)).alias("cpc"),
                  F.coalesce("intent", F.lit("Unknown")).alias("intent")).alias("m"))
-    return k.groupBy("keyword").agg(F.max_by("m", "seq").alias("m")).select("keyword", "m.*")
+    return k.groupBy(*by, "keyword").agg(F.max_by("m", "seq").alias("m")).select(*by, "keyword", "m.*")
 
 
 def keyword_map_column(entries: DataFrame, by=()) -> DataFrame:

@@ -35,19 +35,20 @@ def parse_metrics(obs: DataFrame) -> DataFrame:
     )
 
 
-def cap_sources(obs: DataFrame, caps: dict) -> DataFrame:
+def cap_sources(obs: DataFrame, caps: dict, by=()) -> DataFrame:
     """Per-source caps (K-04): ``caps = {source_rank: (max_groups, max_rows)}``.
 
     Within a capped source only the first ``max_groups`` groups (seeds or
     competitor domains, in order of first appearance) are read, and at most
     ``max_rows`` rows per group (page order = ``seq``).  Uncapped sources
-    pass through.  Both limits are the source tool's page/list sizes.
+    pass through.  Both limits are the source tool's page/list sizes, counted
+    per client (``by``).
     """
-    group_first = obs.groupBy("source_rank", "domain").agg(F.min("seq").alias("g_first"))
+    group_first = obs.groupBy(*by, "source_rank", "domain").agg(F.min("seq").alias("g_first"))
     g_rank = group_first.withColumn(
-        "g_rank", F.row_number().over(W.partitionBy("source_rank").orderBy("g_first", "domain")))
-    j = obs.join(g_rank.select("source_rank", "domain", "g_rank"), ["source_rank", "domain"])
-    j = j.withColumn("r_rank", F.row_number().over(W.partitionBy("source_rank", "domain").orderBy("seq")))
+        "g_rank", F.row_number().over(W.partitionBy(*by, "source_rank").orderBy("g_first", "domain")))
+    j = obs.join(g_rank.select(*by, "source_rank", "domain", "g_rank"), [*by, "source_rank", "domain"])
+    j = j.withColumn("r_rank", F.row_number().over(W.partitionBy(*by, "source_rank", "domain").orderBy("seq")))
     keep = F.lit(False)
     capped = []
     for src, (max_groups, max_rows) in caps.items():
@@ -62,8 +63,9 @@ def cap_sources(obs: DataFrame, caps: dict) -> DataFrame:
     return j.filter(keep).drop("g_rank", "r_rank")
 
 
-def merge_keywords(typed: DataFrame, market_rank: int = 1) -> DataFrame:
-    """First-source-wins merge keyed by lower(keyword) (K-03, J-06).
+def merge_keywords(typed: DataFrame, market_rank: int = 1, by=()) -> DataFrame:
+    """First-source-wins merge keyed by client (``by``) and lower(keyword)
+    (K-03, J-06).
 
     The lowest ``source_rank`` wins; inside the market source
     (``market_rank``) the *last* duplicate wins (unconditional assignment),
@@ -76,10 +78,10 @@ def merge_keywords(typed: DataFrame, market_rank: int = 1) -> DataFrame:
     win_key = F.struct(F.col("source_rank"),
                        F.when(F.col("source_rank") == market_rank, -F.col("seq")).otherwise(F.col("seq")))
     payload = F.struct(*[F.col(c) for c in METRICS], F.col("source_rank"), F.col("seq"))
-    agg = typed.groupBy("keyword").agg(
+    agg = typed.groupBy(*by, "keyword").agg(
         F.min_by(payload, win_key).alias("w"),
         F.min(F.struct("source_rank", "seq")).alias("first"))
-    return agg.select("keyword", *[F.col(f"w.{c}").alias(c) for c in METRICS],
+    return agg.select(*by, "keyword", *[F.col(f"w.{c}").alias(c) for c in METRICS],
                       F.col("w.source_rank").alias("source_rank"), F.col("w.seq").alias("seq"),
                       F.col("first.source_rank").alias("first_rank"), F.col("first.seq").alias("first_seq"))
 

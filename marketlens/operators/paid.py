@@ -17,46 +17,55 @@ def top_paid_keywords(paid: DataFrame, n: int = 10, by=("domain",)) -> DataFrame
     return paid.withColumn("kw_rank", F.row_number().over(w)).filter(F.col("kw_rank") <= n)
 
 
-def keyword_lookups(market: DataFrame, max_keywords: int = 20) -> DataFrame:
-    """Keyword CPC lookups for the first ``max_keywords`` market keywords
-    (K-10, the tool's rate limit), one per keyword, the last lookup of a
-    repeated keyword winning (dictionary assignment)."""
-    first = market.orderBy("seq").limit(max_keywords)
-    return (first.groupBy("keyword")
+def keyword_lookups(market: DataFrame, max_keywords: int | None = None, by=()) -> DataFrame:
+    """Keyword CPC lookups of the market keywords (K-10), one per client
+    (``by``) and keyword, the last lookup of a repeated keyword winning
+    (dictionary assignment).  ``max_keywords`` keeps the first keywords of
+    each client, as the tool does to spare its source; all for None."""
+    if max_keywords is not None:
+        n = F.row_number().over(W.partitionBy(*by).orderBy("seq"))
+        market = market.withColumn("__n", n).filter(F.col("__n") <= max_keywords)
+    return (market.groupBy(*by, "keyword")
             .agg(F.max_by(F.struct("volume_raw", "cpc_raw", "competition_raw"), F.col("seq")).alias("v"))
-            .select("keyword", "v.volume_raw", "v.cpc_raw", "v.competition_raw"))
+            .select(*by, "keyword", "v.volume_raw", "v.cpc_raw", "v.competition_raw"))
 
 
-def cpc_pool(top_paid: DataFrame, lookups: DataFrame) -> DataFrame:
-    """U-02: bag of CPC values from competitor keywords and lookups, and the
+def cpc_pool(top_paid: DataFrame, lookups: DataFrame, by=()) -> DataFrame:
+    """U-02: per client (``by``), the bag of CPC values from competitor keywords and lookups, and the
     lookup volumes (X-02, X-03).
 
     A CPC that is empty or unparseable is skipped.  A lookup volume is kept
     only when its CPC did not fail: a NULL or unparseable CPC aborts the
     lookup's volume too (both sit in one try), an empty CPC does not.
     """
-    comp = top_paid.select(parse_cpc("cpc_raw").alias("cpc"), F.lit(None).cast("double").alias("volume"))
+    comp = top_paid.select(*by, parse_cpc("cpc_raw").alias("cpc"), F.lit(None).cast("double").alias("volume"))
     cpc_str = F.translate(F.coalesce(F.col("cpc_raw"), F.lit("None")), "$,", "")
     cpc_val = parse_cpc(F.coalesce(F.col("cpc_raw"), F.lit("None")))
     cpc_failed = (cpc_str != "") & cpc_val.isNull()
-    look = lookups.select(cpc_val.alias("cpc"),
+    look = lookups.select(*by, cpc_val.alias("cpc"),
                           F.when(~cpc_failed, parse_volume_legacy(F.coalesce(F.col("volume_raw"), F.lit(""))))
                           .alias("volume"))
     return comp.unionByName(look)
 
 
-def industry_averages(pool: DataFrame, n_keywords: DataFrame, n_competitors: DataFrame) -> DataFrame:
+def industry_averages(pool: DataFrame, n_keywords: DataFrame, n_competitors: DataFrame, by=()) -> DataFrame:
     """A-06: avg/min/max CPC, upper median (``sorted(x)[n // 2]`` ==
     ``percentile_disc(0.5)`` over descending order), average volume and the
-    analysed counts; NULL statistics when the pool is empty.  One
+    analysed counts; NULL statistics when the pool is empty.  With ``by`` one
+    row per client that has a keyword or a competitor, the two counts being
+    keyed in the same way; without, each count is a table of one row.  One
     aggregation (partial + final); the median keeps a map of distinct
     values, so it scales with the number of distinct CPCs."""
-    stats = pool.agg(
+    stats = pool.groupBy(*by).agg(
         F.avg("cpc").alias("avg_cpc"), F.min("cpc").alias("min_cpc"), F.max("cpc").alias("max_cpc"),
         F.expr("percentile_disc(0.5) within group (order by cpc desc)").alias("median_cpc"),
         F.avg("volume").alias("avg_volume"))
-    return stats.select(dround("avg_cpc", 6).alias("avg_cpc"), "min_cpc", "max_cpc", "median_cpc",
-                        dround("avg_volume", 6).alias("avg_volume")).crossJoin(n_keywords).crossJoin(n_competitors)
+    rows = stats.select(*by, dround("avg_cpc", 6).alias("avg_cpc"), "min_cpc", "max_cpc", "median_cpc",
+                        dround("avg_volume", 6).alias("avg_volume"))
+    if not by:  # one row each
+        return rows.crossJoin(n_keywords).crossJoin(n_competitors)
+    counts = [c for n in (n_keywords, n_competitors) for c in n.columns if c not in by]
+    return rows.join(n_keywords, list(by), "full").join(n_competitors, list(by), "full").fillna(0, counts)
 
 
 def paid_overview(paid: DataFrame, by=("domain",), order=("position",)) -> DataFrame:

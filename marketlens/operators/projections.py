@@ -64,8 +64,8 @@ def resolve_inputs(scenarios: DataFrame, benchmark: DataFrame | None = None) ->
 
 
 def monthly_projection(scenarios: DataFrame, curves: DataFrame, benchmark: DataFrame | None = None) -> DataFrame:
-    """G-01 / J-01 / J-02 / G-03: one row per (scenario, month), 16 metric
-    columns rounded like the source (decimal-then-round, HALF_UP).
+    """G-01 / J-01 / J-02 / G-03: one row per (scenario, month), with its
+    client_id if scenarios have one, and 16 metric columns rounded like the source (decimal-then-round, HALF_UP).
 
     ``paid_clicks = spend / effective_cpc`` is unguarded in the source and
     raises on CPC 0; we emit NULL metrics there instead of failing the job.
@@ -103,8 +103,9 @@ def monthly_projection(scenarios: DataFrame, curves: DataFrame, benchmark: DataF
                        "_trev": F.col("_prev") + F.col("_orev")})
     roas = F.when(spend > 0, F.col("_trev") / F.when(spend > 0, spend)).otherwise(F.lit(0.0))
     cac = F.when(F.col("_torders") > 0, spend / F.when(F.col("_torders") > 0, F.col("_torders"))).otherwise(F.lit(0.0))
+    client = [c for c in ("client_id",) if c in scenarios.columns]
     return g.select(
-        "scenario_id", "month",
+        *client, "scenario_id", "month",
         dround(spend, 2).alias("ad_spend"),
         dround(F.col("_cpc"), 2).alias("effective_cpc"),
         dround(F.col("_cr"), 2).alias("effective_cr"),
@@ -124,14 +125,15 @@ def monthly_projection(scenarios: DataFrame, curves: DataFrame, benchmark: DataF
 
 
 def projection_summary(monthly: DataFrame) -> DataFrame:
-    """A-08: per scenario, a '3_month' row (first three months) and a
+    """A-08: per scenario (of a client, if there are clients), a '3_month' row (first three months) and a
     '6_month' row (*all* projected months, as in the source), summing the
     already rounded monthly values exactly (decimal sums).  Organic share:
     month 3 (0 when fewer), month 6 (else the last month).  avg_cac over
     the whole horizon, on both rows.  One grouped aggregation."""
     dec = lambda c: F.col(c).cast("decimal(38,2)")
     first3 = F.col("month") <= 3
-    agg = monthly.groupBy("scenario_id").agg(
+    key = [c for c in ("client_id", "scenario_id") if c in monthly.columns]
+    agg = monthly.groupBy(*key).agg(
         F.sum(F.when(first3, dec("ad_spend"))).alias("s3"),
         F.sum(F.when(first3, dec("total_revenue"))).alias("r3"),
         F.sum(F.when(first3, dec("total_orders"))).alias("o3"),
@@ -154,5 +156,5 @@ def projection_summary(monthly: DataFrame) -> DataFrame:
     avg_cac = F.when(d("o6") > 0, d("s6") / F.when(d("o6") > 0, d("o6"))).otherwise(F.lit(0.0))
     rows = F.array(horizon("3_month", "s3", "r3", "o3", F.coalesce(F.col("p3"), F.lit(0.0))),
                    horizon("6_month", "s6", "r6", "o6", F.coalesce(F.col("p6"), F.col("plast"))))
-    return agg.select("scenario_id", F.explode(rows).alias("h"), dround(avg_cac, 2).alias("avg_cac")).select(
-        "scenario_id", "h.*", "avg_cac")
+    return agg.select(*key, F.explode(rows).alias("h"), dround(avg_cac, 2).alias("avg_cac")).select(
+        *key, "h.*", "avg_cac")

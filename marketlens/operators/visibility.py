@@ -93,32 +93,34 @@ def trigger_counts(classified: DataFrame, by=()) -> DataFrame:
                     F.coalesce("n_keywords", F.lit(0)).cast("long").alias("n_keywords")))
 
 
-def recommendations(classified: DataFrame, seq_col: str, label_col: str) -> DataFrame:
-    """I-03: the six recommendations; the first three carry their bucket's
-    count (in the reason text) and its first five keywords in input order.
-
-    Per bucket, ``min_by``-style top-5 is a bounded array aggregate
-    (``slice(array_sort(collect_list))`` after a window group limit keeps
-    at most 5 rows per bucket per task)."""
-    spark = classified.sparkSession
-    w = W.partitionBy("trigger_category").orderBy(seq_col)
+def recommendations(classified: DataFrame, seq_col: str, label_col: str, by=()) -> DataFrame:
+    """I-03: the six recommendations of each client (``by``); the first three
+    carry their bucket's count (in the reason text) and its first five keywords
+    in input order.
+
+    One window numbers a bucket's keywords; its group limit keeps five rows a
+    task before the shuffle.  The counts, one row per bucket, combine in the
+    tasks.  The six texts come from a literal generator."""
+    w = W.partitionBy(*by, "trigger_category").orderBy(seq_col)
     first5 = (classified.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= MAX_REC_KEYWORDS)
-              .groupBy("trigger_category")
+              .groupBy(*by, "trigger_category")
               .agg(F.array_join(F.transform(
                   F.array_sort(F.collect_list(F.struct(F.col(seq_col).alias("s"), F.col(label_col).alias("l")))),
                   lambda x: x["l"].cast("string")), " | ").alias("keywords")))
-    counts = classified.groupBy("trigger_category").agg(F.count(F.lit(1)).alias("n"))
-    rows = [(i + 1, p, a, r, c) for i, (p, a, r, c) in enumerate(RECOMMENDATIONS)]
-    rec = spark.createDataFrame(rows, "rec_order int, priority string, action string, reason_tpl string, "
-                                      "trigger_category string")
-    j = (rec.join(F.broadcast(counts), "trigger_category", "left")
-         .join(F.broadcast(first5), "trigger_category", "left"))
+    counts = classified.groupBy(*by, "trigger_category").agg(F.count(F.lit(1)).alias("n"))
+    texts = F.array(*[F.struct(F.lit(i + 1).alias("rec_order"), F.lit(p).alias("priority"), F.lit(a).alias("action"),
+                               F.lit(r).alias("reason_tpl"), F.lit(c).cast("string").alias("trigger_category"))
+                      for i, (p, a, r, c) in enumerate(RECOMMENDATIONS)])
+    clients = classified.select(*by).distinct() if by else classified.sparkSession.range(1)
+    rec = clients.select(*by, F.inline(texts))
+    key = [*by, "trigger_category"]
+    j = rec.join(counts, key, "left").join(first5, key, "left")
     n = F.coalesce(F.col("n"), F.lit(0)).cast("string")
     reason = F.when(F.col("trigger_category").isNotNull(),
                     F.replace(F.col("reason_tpl"), F.lit("{n}"), n)).otherwise(F.col("reason_tpl"))
     tools = F.when(F.col("rec_order") == len(RECOMMENDATIONS), F.lit(" | ".join(RECOMMENDATION_TOOLS)))
     keywords = F.when(F.col("trigger_category").isNotNull(), F.coalesce(F.col("keywords"), F.lit("")))
-    return j.select("rec_order", "priority", "action", reason.alias("reason"), keywords.alias("keywords"),
+    return j.select(*by, "rec_order", "priority", "action", reason.alias("reason"), keywords.alias("keywords"),
                     tools.alias("tools"))
 
 

@@ -18,15 +18,15 @@ from .registry import register
 
 DASHBOARD_KEYWORDS_SQL = views_then(f"""
 {_TYPED.replace('SRC', 'keyword_obs_v')}
-select lower(keyword) as keyword,
+select client_id, lower(keyword) as keyword,
        arg_max(coalesce(volume, 0.0), seq) as volume, arg_max(coalesce(kd, 0.0), seq) as kd,
        arg_max(coalesce(cpc, 0.0), seq) as cpc, arg_max(coalesce(intent, 'Unknown'), seq) as intent
-from typed where keyword is not null and keyword <> '' group by lower(keyword)""", "keyword_obs_v")
+from typed where keyword is not null and keyword <> '' group by client_id, lower(keyword)""", "keyword_obs_v")
 
 
 @register("dashboard_keywords", "D-01,X-06,X-20", DASHBOARD_KEYWORDS_SQL)
 def dashboard_keywords(spark, sf_dir):
-    return D.keyword_map(K.parse_metrics(keyword_obs_df(Tables(spark, sf_dir))))
+    return D.keyword_map(K.parse_metrics(keyword_obs_df(Tables(spark, sf_dir))), by=("client_id",))
 
 
 DASHBOARD_KEYWORD_GAP_SQL = KEYWORD_GAP_SQL.replace(

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import INTENT_CODES, INTENT_LABELS
 from ..operators import keywords as K
-from ..operators.ranking import global_row_number
+from ..operators.ranking import grouped_row_number
 from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, views_then, with_views
 from ..sources.tables import Tables
 from .oracle_sql import dround_sql, parse_number_sql, q
 from .registry import register
 
+CLIENT = ("client_id",)
 # Source tool page sizes: (max groups, max rows per group) per source.
 SOURCE_CAPS = {2: (5, 20), 3: (3, 30), 4: (3, 20), 5: (None, 50)}
 
@@ -25,7 +26,7 @@ def _intent_sql(col: str) -> str:
 
 
 _TYPED = f"""typed as (
-  select seq, source_rank, domain, lower(keyword) as keyword,
+  select client_id, seq, source_rank, domain, lower(keyword) as keyword,
          case when {parse_number_sql('volume_raw')} > 0 then {parse_number_sql('volume_raw')} else 0.0 end as volume,
          case when {parse_number_sql('kd_raw')} > 0 and {parse_number_sql('kd_raw')} <= 100
               then {parse_number_sql('kd_raw')} else 0.0 end as kd,
@@ -36,13 +37,14 @@ _TYPED = f"""typed as (
 
 def _merged_sql(src: str) -> str:
     return _TYPED.replace("SRC", src) + """,
-ranked as (select *, row_number() over (partition by keyword
+ranked as (select *, row_number() over (partition by client_id, keyword
              order by source_rank, case when source_rank = 1 then -seq else seq end) as rn from typed),
-f1 as (select keyword, min(source_rank) as first_rank from typed group by keyword),
-f2 as (select t.keyword, f1.first_rank, min(t.seq) as first_seq from typed t
-       join f1 on t.keyword = f1.keyword and t.source_rank = f1.first_rank group by t.keyword, f1.first_rank),
-merged as (select r.keyword, r.volume, r.kd, r.cpc, r.intent, r.source_rank, r.seq, f2.first_rank, f2.first_seq
-           from ranked r join f2 on r.keyword = f2.keyword where r.rn = 1)"""
+f1 as (select client_id, keyword, min(source_rank) as first_rank from typed group by all),
+f2 as (select t.client_id, t.keyword, f1.first_rank, min(t.seq) as first_seq from typed t
+       join f1 on t.client_id = f1.client_id and t.keyword = f1.keyword and t.source_rank = f1.first_rank
+       group by t.client_id, t.keyword, f1.first_rank),
+merged as (select r.client_id, r.keyword, r.volume, r.kd, r.cpc, r.intent, r.source_rank, r.seq, f2.first_rank, f2.first_seq
+           from ranked r join f2 on r.client_id = f2.client_id and r.keyword = f2.keyword where r.rn = 1)"""
 
 
 def _typed(t):
@@ -50,7 +52,7 @@ def _typed(t):
 
 
 def _merged(t):
-    return K.merge_keywords(_typed(t))
+    return K.merge_keywords(_typed(t), by=CLIENT)
 
 
 PARSE_METRICS_SQL = views_then(_TYPED.replace("SRC", "keyword_obs_v") + "\nselect * from typed",
@@ -80,11 +82,11 @@ def _capped_src_sql() -> str:
             c += f" and r_rank <= {r}"
         conds.append(f"({c})")
     caps = ", ".join(str(s) for s in SOURCE_CAPS)
-    return f"""gf as (select source_rank, domain, min(seq) as g_first from keyword_obs_v group by 1, 2),
-gr as (select source_rank, domain, row_number() over (partition by source_rank order by g_first, domain) as g_rank from gf),
+    return f"""gf as (select client_id, source_rank, domain, min(seq) as g_first from keyword_obs_v group by 1, 2, 3),
+gr as (select client_id, source_rank, domain, row_number() over (partition by client_id, source_rank order by g_first, domain) as g_rank from gf),
 capped as (select o.* from (select o.*, gr.g_rank,
-             row_number() over (partition by o.source_rank, o.domain order by o.seq) as r_rank
-           from keyword_obs_v o join gr on o.source_rank = gr.source_rank and o.domain = gr.domain) o
+             row_number() over (partition by o.client_id, o.source_rank, o.domain order by o.seq) as r_rank
+           from keyword_obs_v o join gr on o.client_id = gr.client_id and o.source_rank = gr.source_rank and o.domain = gr.domain) o
            where {' or '.join(conds)} or source_rank not in ({caps}))"""
 
 
@@ -95,31 +97,31 @@ KEYWORD_CAPPED_MERGE_SQL = views_then(
 @register("keyword_capped_merge", "K-04,K-03", KEYWORD_CAPPED_MERGE_SQL)
 def keyword_capped_merge(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return K.merge_keywords(K.parse_metrics(K.cap_sources(keyword_obs_df(t), SOURCE_CAPS)))
+    return K.merge_keywords(K.parse_metrics(K.cap_sources(keyword_obs_df(t), SOURCE_CAPS, CLIENT)), by=CLIENT)
 
 
 KEYWORD_COVERAGE_SQL = views_then(_merged_sql("keyword_obs_v") + """
-select count(*) as total_keywords, count_if(volume > 0) as with_volume, count_if(kd > 0) as with_kd,
-       count_if(cpc > 0) as with_cpc, count_if(intent <> 'Unknown') as with_intent from merged""",
+select client_id, count(*) as total_keywords, count_if(volume > 0) as with_volume, count_if(kd > 0) as with_kd,
+       count_if(cpc > 0) as with_cpc, count_if(intent <> 'Unknown') as with_intent from merged group by client_id""",
                                    "keyword_obs_v")
 
 
 @register("keyword_coverage", "A-07", KEYWORD_COVERAGE_SQL)
 def keyword_coverage(spark, sf_dir):
-    return K.keyword_coverage(_merged(Tables(spark, sf_dir)))
+    return K.keyword_coverage(_merged(Tables(spark, sf_dir)), CLIENT)
 
 
 KEYWORD_RANKING_SQL = views_then(_merged_sql("keyword_obs_v") + """
-select keyword, volume, kd, cpc, intent,
-       row_number() over (order by volume desc, first_rank, first_seq) as rank from merged""",
+select client_id, keyword, volume, kd, cpc, intent,
+       cast(row_number() over (partition by client_id order by volume desc, first_rank, first_seq) as integer) as rank from merged""",
                                   "keyword_obs_v")
 
 
 @register("keyword_ranking", "K-05", KEYWORD_RANKING_SQL)
 def keyword_ranking(spark, sf_dir):
     m = _merged(Tables(spark, sf_dir))
-    ranked = global_row_number(m, [F.desc("volume"), F.asc("first_rank"), F.asc("first_seq")])
-    return ranked.select("keyword", "volume", "kd", "cpc", "intent", "rank")
+    ranked = grouped_row_number(m, list(CLIENT), [F.desc("volume"), F.asc("first_rank"), F.asc("first_seq")], "rank")
+    return ranked.select(*CLIENT, "keyword", "volume", "kd", "cpc", "intent", "rank")
 
 
 def _roles(t):
@@ -149,26 +151,46 @@ def keyword_gap(spark, sf_dir):
     return K.domain_keyword_gap(paid_kw_df(t, domains=roles), roles, max_competitors=4)
 
 
-RELATED_KEYWORDS_SQL = views_then(_merged_sql("keyword_obs_v") + """,
-seeds as (select row_number() over (order by seq) as seed_seq,
-                 lower(regexp_replace(keyword, ' [^ ]+$', '')) as seed
-          from keyword_obs_v where source_rank = 1 order by seq limit 5),
-j as (select s.seed_seq, s.seed, m.keyword, m.volume from merged m join seeds s
-      on contains(m.keyword, s.seed) and m.keyword <> s.seed)
-select cast(seed_seq as integer) as seed_seq, seed, cast(rk as integer) as rank, keyword, volume from
-  (select *, row_number() over (partition by seed_seq order by volume desc, keyword) as rk from j)
+# Fixed value: market keywords of a client that the tool looks up related ones for.
+TOOL_SEEDS = 5
+
+
+def _related_sql(n_seeds: int | None) -> str:
+    first = f"where n <= {n_seeds}" if n_seeds is not None else ""
+    return views_then(_merged_sql("keyword_obs_v") + f""",
+heads as (select *, row_number() over (partition by client_id order by seq) as n
+          from keyword_obs_v where source_rank = 1),
+seeds as (select client_id, lower(regexp_replace(keyword, ' [^ ]+$', '')) as seed, min(seq) as seed_seq
+          from heads {first} group by 1, 2),
+j as (select s.client_id, s.seed_seq, s.seed, m.keyword, m.volume from merged m join seeds s
+      on m.client_id = s.client_id and contains(m.keyword, s.seed) and m.keyword <> s.seed)
+select client_id, seed_seq, seed, cast(rk as integer) as rank, keyword, volume from
+  (select *, row_number() over (partition by client_id, seed_seq order by volume desc, keyword) as rk from j)
 where rk <= 20""", "keyword_obs_v")
 
 
-@register("related_keywords", "J-10", RELATED_KEYWORDS_SQL)
+def _related(spark, sf_dir, n_seeds=None):
+    """Seeds are the head phrases of the market keywords of every client (the
+    first ``n_seeds`` keywords where given), numbered by their first keyword."""
+    obs = keyword_obs_df(Tables(spark, sf_dir))
+    market = obs.filter(F.col("source_rank") == 1)
+    if n_seeds is not None:
+        first = F.row_number().over(W.partitionBy(*CLIENT).orderBy("seq"))
+        market = market.withColumn("n", first).filter(F.col("n") <= n_seeds)
+    seeds = (market.groupBy(*CLIENT, F.lower(F.regexp_replace("keyword", " [^ ]+$", "")).alias("seed"))
+             .agg(F.min("seq").alias("seed_seq")))
+    merged = K.merge_keywords(K.parse_metrics(obs), by=CLIENT)
+    return K.related_keywords(seeds, merged.select(*CLIENT, "keyword", "volume"), by=CLIENT)
+
+
+@register("related_keywords", "J-10", _related_sql(None))
 def related_keywords(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    obs = keyword_obs_df(t)
-    # the tool's seed list: the first five market keywords, head phrase
-    seeds = (obs.filter(F.col("source_rank") == 1).orderBy("seq").limit(5)
-             .select(F.row_number().over(W.orderBy("seq")).alias("seed_seq"),
-                     F.regexp_replace("keyword", " [^ ]+$", "").alias("seed")))
-    return K.related_keywords(seeds, K.merge_keywords(K.parse_metrics(obs)).select("keyword", "volume"))
+    return _related(spark, sf_dir)
+
+
+@register("first_seeds_related_keywords", "J-10", _related_sql(TOOL_SEEDS))
+def first_seeds_related_keywords(spark, sf_dir):
+    return _related(spark, sf_dir, TOOL_SEEDS)
 
 
 ORGANIC_COMPETITORS_SQL = views_then(f"""dk as (select distinct domain, keyword from paid_kw_v),

@@ -18,12 +18,12 @@ def market_lookups_df(t: Tables):
     cpc = (F.when(F.col("seq") % 7 == 3, F.lit(None).cast("string"))
            .when(F.col("seq") % 11 == 4, F.lit(""))
            .when(F.col("seq") % 13 == 5, F.lit("n/a")).otherwise(F.col("cpc_raw")))
-    return obs.select("seq", "keyword", "volume_raw", cpc.alias("cpc_raw"),
+    return obs.select("client_id", "seq", "keyword", "volume_raw", cpc.alias("cpc_raw"),
                       F.col("kd_raw").alias("competition_raw"))
 
 
 MARKET_SQL = """market as (
-  select seq, keyword, volume_raw,
+  select client_id, seq, keyword, volume_raw,
          case when seq % 7 = 3 then null when seq % 11 = 4 then '' when seq % 13 = 5 then 'n/a' else cpc_raw end as cpc_raw,
          kd_raw as competition_raw
   from keyword_obs_v where source_rank = 1)"""
@@ -51,38 +51,53 @@ def paid_top10(spark, sf_dir):
     return P.top_paid_keywords(paid_kw_df(Tables(spark, sf_dir), max_position=10), n=10)
 
 
-INDUSTRY_AVERAGES_SQL = views_then(MARKET_SQL + f""",
-comps as (select distinct domain from clients_v where seq > 0 and domain is not null and domain <> ''),
-top as (select * from (select p.*, row_number() over (partition by p.domain order by p.position) as rk
+CLIENT = ("client_id",)
+# Fixed value: market keywords of a client that the tool looks up.
+TOOL_LOOKUPS = 20
+
+
+def _industry_averages_sql(max_keywords: int | None) -> str:
+    first = f"where n <= {max_keywords}" if max_keywords is not None else ""
+    return views_then(MARKET_SQL + f""",
+comps as (select distinct client_id, domain from clients_v where seq > 0 and domain is not null and domain <> ''),
+top as (select * from (select p.*, c.client_id,
+                              row_number() over (partition by c.client_id, p.domain order by p.position) as rk
                        from paid_kw_v p join comps c on p.domain = c.domain) where rk <= 10),
-first20 as (select * from market order by seq limit 20),
-lookups as (select keyword, arg_max(volume_raw, seq) as volume_raw, arg_max(cpc_raw, seq) as cpc_raw
-            from first20 group by keyword),
-lk as (select keyword, volume_raw, cpc_raw, replace(replace(coalesce(cpc_raw, 'None'), '$', ''), ',', '') as cs,
-              {_cpc_sql("coalesce(cpc_raw, 'None')")} as cv from lookups),
-pool as (select {_cpc_sql('cpc_raw')} as cpc, cast(null as double) as volume from top
+numbered as (select *, row_number() over (partition by client_id order by seq) as n from market),
+lookups as (select client_id, keyword, arg_max(volume_raw, seq) as volume_raw, arg_max(cpc_raw, seq) as cpc_raw
+            from (select client_id, keyword, seq, coalesce(volume_raw, '<none>') as volume_raw, coalesce(cpc_raw, '<none>') as cpc_raw
+                  from numbered {first}) group by client_id, keyword),
+lk0 as (select client_id, keyword, nullif(volume_raw, '<none>') as volume_raw, nullif(cpc_raw, '<none>') as cpc_raw from lookups),
+lk as (select client_id, keyword, volume_raw, cpc_raw, replace(replace(coalesce(cpc_raw, 'None'), '$', ''), ',', '') as cs,
+              {_cpc_sql("coalesce(cpc_raw, 'None')")} as cv from lk0),
+pool as (select client_id, {_cpc_sql('cpc_raw')} as cpc, cast(null as double) as volume from top
          union all
-         select cv, case when not (cs <> '' and cv is null) then {_legacy_volume_sql("coalesce(volume_raw, '')")} end
-         from lk)
-select {dround_sql('avg(cpc)', 6)} as avg_cpc, min(cpc) as min_cpc, max(cpc) as max_cpc,
-       percentile_disc(0.5) within group (order by cpc desc) as median_cpc,
-       {dround_sql('avg(volume)', 6)} as avg_volume,
-       (select count(*) from lookups) as total_keywords_analyzed,
-       (select count(*) from comps) as total_competitors_analyzed
-from pool""", "keyword_obs_v", "paid_kw_v", "clients_v")
+         select client_id, cv, case when not (cs <> '' and cv is null) then {_legacy_volume_sql("coalesce(volume_raw, '')")} end
+         from lk),
+st as (select client_id, {dround_sql('avg(cpc)', 6)} as avg_cpc, min(cpc) as min_cpc, max(cpc) as max_cpc,
+              percentile_disc(0.5) within group (order by cpc desc) as median_cpc,
+              {dround_sql('avg(volume)', 6)} as avg_volume from pool group by client_id),
+nk as (select client_id, count(*) as n from lookups group by client_id),
+nc as (select client_id, count(*) as n from comps group by client_id),
+averages as (select client_id, st.avg_cpc, st.min_cpc, st.max_cpc, st.median_cpc, st.avg_volume,
+                    coalesce(nk.n, 0) as total_keywords_analyzed, coalesce(nc.n, 0) as total_competitors_analyzed
+             from st full join nk using (client_id) full join nc using (client_id))
+select * from averages""", "keyword_obs_v", "paid_kw_v", "clients_v")
+
 
+INDUSTRY_AVERAGES_SQL = _industry_averages_sql(None)
 
-def industry_averages_df(spark, sf_dir):
+
+def industry_averages_df(spark, sf_dir, max_keywords=None):
     t = Tables(spark, sf_dir)
     comps = (clients_df(t).filter((F.col("seq") > 0) & F.col("domain").isNotNull() & (F.col("domain") != ""))
-             .select("domain").distinct())
+             .select(*CLIENT, "domain").distinct())
     # only the first ten positions of each competitor are pooled (K-08)
-    paid = paid_kw_df(t, max_position=10, domains=comps)
-    top = P.top_paid_keywords(paid, n=10)
-    lookups = P.keyword_lookups(market_lookups_df(t), max_keywords=20)
-    pool = P.cpc_pool(top, lookups)
-    return P.industry_averages(pool, lookups.agg(F.count(F.lit(1)).alias("total_keywords_analyzed")),
-                               comps.agg(F.count(F.lit(1)).alias("total_competitors_analyzed")))
+    top = P.top_paid_keywords(paid_kw_df(t, max_position=10, domains=comps).join(comps, "domain"), n=10, by=(*CLIENT, "domain"))
+    lookups = P.keyword_lookups(market_lookups_df(t), max_keywords, CLIENT)
+    pool = P.cpc_pool(top, lookups, CLIENT)
+    return P.industry_averages(pool, lookups.groupBy(*CLIENT).agg(F.count(F.lit(1)).alias("total_keywords_analyzed")),
+                               comps.groupBy(*CLIENT).agg(F.count(F.lit(1)).alias("total_competitors_analyzed")), CLIENT)
 
 
 @register("industry_averages", "A-06,U-02,X-02,X-03,K-10,C-05", INDUSTRY_AVERAGES_SQL)
@@ -90,6 +105,11 @@ def industry_averages(spark, sf_dir):
     return industry_averages_df(spark, sf_dir)
 
 
+@register("first_lookups_industry_averages", "K-10,A-06", _industry_averages_sql(TOOL_LOOKUPS))
+def first_lookups_industry_averages(spark, sf_dir):
+    return industry_averages_df(spark, sf_dir, TOOL_LOOKUPS)
+
+
 PAID_SUMMARY_SQL = views_then(f"""
 cards as (select domain,
                  case when len("values") >= 3 then "values"[1] end as paid_keywords_raw,

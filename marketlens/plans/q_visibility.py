@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import TRIGGER_LIKELIHOOD
 from ..operators import visibility as V
-from ..sources.fixtures import brands_df, clients_df, paid_kw_df, views_then, with_views
+from ..sources.fixtures import ask_keywords_df, brands_df, clients_df, paid_kw_df, views_then, with_views
 from ..sources.tables import Tables
 from .oracle_sql import dround_sql, q, trigger_sql
 from .registry import register
@@ -49,25 +49,42 @@ def _rec_sql() -> str:
         f"{q(c) if c else 'cast(null as varchar)'} as trigger_category"
         for i, (p, a, r, c) in enumerate(V.RECOMMENDATIONS))
     tools = q(" | ".join(V.RECOMMENDATION_TOOLS))
-    return f"""
-with c as (select doc_id, {trigger_sql('text')} as trigger_category from documents),
-n as (select trigger_category, count(*) as n from c group by 1),
-f5 as (select trigger_category, string_agg(cast(doc_id as varchar), ' | ' order by doc_id) as keywords
-       from (select *, row_number() over (partition by trigger_category order by doc_id) as r from c)
-       where r <= {V.MAX_REC_KEYWORDS} group by 1),
-rec as ({rows})
-select rec.rec_order, rec.priority, rec.action,
+    return views_then(f"""c as (select client_id, seq, keyword, {trigger_sql('keyword')} as trigger_category from ask_kw_v),
+n as (select client_id, trigger_category, count(*) as n from c group by 1, 2),
+f5 as (select client_id, trigger_category, string_agg(keyword, ' | ' order by seq) as keywords
+       from (select *, row_number() over (partition by client_id, trigger_category order by seq) as r from c)
+       where r <= {V.MAX_REC_KEYWORDS} group by 1, 2),
+tpl as ({rows}),
+rec as (select cl.client_id, tpl.* from (select distinct client_id from c) cl cross join tpl)
+select rec.client_id, rec.rec_order, rec.priority, rec.action,
        case when rec.trigger_category is not null
             then replace(rec.reason_tpl, '{{n}}', cast(coalesce(n.n, 0) as varchar)) else rec.reason_tpl end as reason,
        case when rec.trigger_category is not null then coalesce(f5.keywords, '') end as keywords,
        case when rec.rec_order = {len(V.RECOMMENDATIONS)} then {tools} end as tools
-from rec left join n on rec.trigger_category = n.trigger_category
-left join f5 on rec.trigger_category = f5.trigger_category"""
+from rec left join n on rec.client_id = n.client_id and rec.trigger_category = n.trigger_category
+left join f5 on rec.client_id = f5.client_id and rec.trigger_category = f5.trigger_category""", "keyword_obs_v", "ask_kw_v")
+
+
+def _asked(spark, sf_dir):
+    return V.classify_triggers(ask_keywords_df(Tables(spark, sf_dir)))
 
 
 @register("recommendations", "I-03", _rec_sql())
 def recommendations(spark, sf_dir):
-    return V.recommendations(_classified(Tables(spark, sf_dir)), "doc_id", "doc_id")
+    return V.recommendations(_asked(spark, sf_dir), "seq", "keyword", by=("client_id",))
+
+
+KEYWORD_TRIGGER_COUNTS_SQL = views_then(f"""c as (select client_id, {trigger_sql('keyword')} as trigger_category from ask_kw_v),
+dim as ({_dim_sql()})
+select cl.client_id, d.cat_order, d.trigger_category, d.likelihood, count(c.trigger_category) as n_keywords
+from (select distinct client_id from c) cl cross join dim d
+left join c on c.client_id = cl.client_id and c.trigger_category = d.trigger_category
+group by all""", "keyword_obs_v", "ask_kw_v")
+
+
+@register("keyword_trigger_counts", "A-09,I-02", KEYWORD_TRIGGER_COUNTS_SQL)
+def keyword_trigger_counts(spark, sf_dir):
+    return V.trigger_counts(_asked(spark, sf_dir), by=("client_id",))
 
 
 def _prompt_inputs(t):

@@ -47,10 +47,13 @@ from documents d left join labels l on d.doc_id=l.doc_id"""
 # keyword_obs_v: five ranked keyword sources over `part`
 # --------------------------------------------------------------------------
 def keyword_obs_df(t: Tables) -> DataFrame:
-    p = t.part
+    # a client per nation; five neighbouring parts, one of each source, go to one client
+    n = t.nation.select("n_nationkey", F.col("n_name").alias("client_id"))
+    p = t.part.join(F.broadcast(n), F.floor(F.col("p_partkey") / 5) % 25 == F.col("n_nationkey"))
     size = F.col("p_size").cast("string")
     k4 = F.col("p_partkey") % 4
     return p.select(
+        "client_id",
         F.col("p_partkey").alias("seq"),
         ((F.col("p_partkey") % 5).cast("int") + 1).alias("source_rank"),
         F.concat(F.col("p_name"), F.lit(" "), F.lower("p_type")).alias("keyword"),
@@ -65,7 +68,7 @@ def keyword_obs_df(t: Tables) -> DataFrame:
 
 
 KEYWORD_OBS_SQL = """
-select p_partkey as seq, cast(p_partkey % 5 as integer)+1 as source_rank,
+select n.n_name as client_id, p_partkey as seq, cast(p_partkey % 5 as integer)+1 as source_rank,
        p_name || ' ' || lower(p_type) as keyword,
        case when p_partkey%4=0 then cast(p_size as varchar) || 'K'
             when p_partkey%4=1 then cast(p_size as varchar) || '.5K'
@@ -74,7 +77,23 @@ select p_partkey as seq, cast(p_partkey % 5 as integer)+1 as source_rank,
        '$' || cast(cast(p_retailprice as decimal(10,2)) as varchar) as cpc_raw,
        substring('TCIN', cast(p_partkey%4 as integer)+1, 1) as intent_raw,
        p_brand as domain
-from part"""
+from part join nation n on n.n_nationkey = (p_partkey // 5) % 25"""
+
+
+# --------------------------------------------------------------------------
+# ask_kw_v: the market keywords as people ask them, one phrase after the other
+# --------------------------------------------------------------------------
+ASK_PHRASES = ["how to choose ", "compare ", "cost of ", "best ", ""]
+
+
+def ask_keywords_df(t: Tables) -> DataFrame:
+    obs = keyword_obs_df(t)
+    phrase = F.get(F.array(*[F.lit(x) for x in ASK_PHRASES]), (F.col("seq") % len(ASK_PHRASES)).cast("int"))
+    return obs.select("client_id", "seq", F.concat(phrase, "keyword").alias("keyword"))
+
+
+ASK_KEYWORDS_SQL = f"""
+select client_id, seq, {ASK_PHRASES!r}[seq % {len(ASK_PHRASES)} + 1] || keyword as keyword from keyword_obs_v"""
 
 
 # --------------------------------------------------------------------------
@@ -145,8 +164,11 @@ def scenario_df(t: Tables) -> DataFrame:
     c = t.customer.select("c_custkey", "c_acctbal", "c_nationkey")
     o = t.orders.select("o_custkey", "o_totalprice")
     aov = o.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("aov"))
-    j = c.join(aov, c.c_custkey == aov.o_custkey, "left")  # no orders: the default AOV
+    n = t.nation.select("n_nationkey", F.col("n_name").alias("client_id"))
+    j = (c.join(aov, c.c_custkey == aov.o_custkey, "left")  # no orders: the default AOV
+         .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")))
     return j.select(
+        "client_id",
         F.col("c_custkey").alias("scenario_id"),
         F.when(F.col("c_custkey") % 11 == 0, F.lit("unknown_trade")).otherwise(F.lit("luxury_ecommerce")).alias("industry"),
         F.col("c_acctbal").alias("monthly_ad_spend"),
@@ -161,13 +183,13 @@ def scenario_df(t: Tables) -> DataFrame:
 
 
 SCENARIO_SQL = """
-select c.c_custkey as scenario_id, case when c.c_custkey%11=0 then 'unknown_trade' else 'luxury_ecommerce' end as industry,
+select n.n_name as client_id, c.c_custkey as scenario_id, case when c.c_custkey%11=0 then 'unknown_trade' else 'luxury_ecommerce' end as industry,
        c.c_acctbal as monthly_ad_spend, coalesce(avg(o.o_totalprice), 100.0) as aov,
        case when c.c_custkey%19=0 then 0.0 when c.c_custkey%3=0 then null else 1.0 + cast(c.c_nationkey as double)/10.0 end as cpc,
        case when c.c_custkey%5=0 then null else 1.0 + cast(c.c_custkey%7 as double)*0.5 end as conversion_rate,
        case when c.c_custkey%13=0 then 0 when c.c_custkey%17<>0 then 6 + cast(c.c_custkey%3 as integer)*4 end as months
-from customer c left join orders o on c.c_custkey=o.o_custkey
-group by c.c_custkey, c.c_acctbal, c.c_nationkey"""
+from customer c join nation n on n.n_nationkey = c.c_nationkey left join orders o on c.c_custkey=o.o_custkey
+group by n.n_name, c.c_custkey, c.c_acctbal, c.c_nationkey"""
 
 
 # --------------------------------------------------------------------------
@@ -318,6 +340,7 @@ from (select s_name as domain, cast(s_suppkey%6 as integer) as n, list_value(
 VIEW_SQL = {
     "reviews_v": REVIEWS_SQL,
     "keyword_obs_v": KEYWORD_OBS_SQL,
+    "ask_kw_v": ASK_KEYWORDS_SQL,
     "paid_kw_v": PAID_KW_SQL,
     "scenario_v": SCENARIO_SQL,
     "links_v": LINKS_SQL,

@@ -77,3 +77,37 @@ def test_first_competitors_after_the_filter(spark):
     roles = spark.createDataFrame([("c", 0, "t")] + [("c", s, f"d{s}") for s in (3, 4, 5, 6, 7)], "client_id string, seq int, domain string")
     assert sorted(r.seq for r in first_competitors(roles, k=4).collect()) == [0, 3, 4, 5, 6]
     assert first_competitors(roles).count() == 6
+
+
+def test_many_clients_equal_each_alone(spark):
+    """A job over all clients gives each the rows that it gets alone."""
+    from marketlens.operators import dashboard as D
+    from marketlens.operators import paid as P
+    from marketlens.operators import visibility as V
+    rows = [(i % 3, i, i % 5 + 1, f"kw {i % 4}", f"{i}K", "40", f"${i}.5", "T", f"d{i % 2}") for i in range(60)]
+    obs = spark.createDataFrame([(f"c{c}", *r) for c, *r in rows], "client_id string, " + OBS)
+    caps = {2: (1, 2), 3: (1, None)}
+
+    def merged(o, by):
+        return K.merge_keywords(K.parse_metrics(K.cap_sources(o, caps, by)), by=by)
+
+    def related(o, by):
+        seeds = o.groupBy(*by, F.substring("keyword", 1, 3).alias("seed")).agg(F.min("seq").alias("seed_seq"))
+        return K.related_keywords(seeds, merged(o, by).select(*by, "keyword", "volume"), by=by)
+
+    def averages(o, by):
+        look = P.keyword_lookups(o.withColumn("competition_raw", F.lit("1")), 4, by)
+        n = look.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+        return P.industry_averages(P.cpc_pool(look, look, by), n, n.withColumnRenamed("n", "m"), by)
+
+    def advice(o, by):
+        return V.recommendations(V.classify_triggers(o), "seq", "keyword", by)
+
+    for job in (merged, related, averages, advice, lambda o, by: K.keyword_coverage(merged(o, by), by),
+                lambda o, by: D.keyword_map(K.parse_metrics(o), by)):
+        together = job(obs, ("client_id",))
+        for c in ("c0", "c1", "c2"):
+            alone = job(obs.filter(F.col("client_id") == c), ())
+            cols = alone.columns
+            got = sorted(map(str, together.filter(F.col("client_id") == c).select(*cols).collect()))
+            assert got and got == sorted(map(str, alone.collect()))
