@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import py_strip
 from .keywords import first_competitors
 
-HOST_RE = r"^https?://([^/?#:]+)"
+HOST_RE = r"(?i)^https?://([^/?#:]+)"
 ANCHOR_RE = r"(?is)<a\s[^>]*>.*?</a>"
 
 
@@ -37,21 +37,31 @@ def registered_domain(host) -> F.Column:
     return F.regexp_extract(c, r"([^.]+\.[^.]+)$", 1)
 
 
+def _attribute(tag, name: str) -> F.Column:
+    """Value of an attribute, double-quoted, single-quoted or bare."""
+    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+    return F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)])
+
+
 def extract_links(pages: DataFrame) -> DataFrame:
-    """L-01: one row per anchor element, in page order.  One narrow pass
+    """L-01: one row per anchor element, in page order.  An element without
+    href, or with one of another scheme (``mailto:``), has no target host.  One narrow pass
     (regex extraction + posexplode), no UDF; pages are independent, so the
     scan parallelises by file split."""
     el = pages.select("page_id", host_of("url").alias("src_host"), "url",
                       F.posexplode_outer(F.regexp_extract_all("html", F.lit(ANCHOR_RE), 0)).alias("link_pos", "el")
                       ).filter(F.col("el").isNotNull())
-    href = F.regexp_extract("el", r'(?i)href\s*=\s*"([^"]*)"', 1)
-    rel = F.lower(F.regexp_extract("el", r'(?i)rel\s*=\s*"([^"]*)"', 1))
+    tag = F.regexp_extract("el", r"(?is)^<a\s[^>]*>", 0)
+    href = _attribute(tag, "href")
+    rel = F.lower(_attribute(tag, "rel"))
     inner = F.regexp_extract("el", r"(?is)^<a\s[^>]*>(.*)</a>$", 1)
-    absolute = href.rlike(r"(?i)^https?://")
+    absolute = href.rlike(r"(?i)^(https?:)?//")
+    full = F.when(href.startswith("//"), F.concat(F.lit("http:"), href)).otherwise(href)
+    nowhere = ~tag.rlike(r"(?i)\shref\s*=") | href.rlike(r"(?i)^[a-z][a-z0-9+.-]*:")
     return el.select(
         "page_id", "link_pos", "src_host", F.col("url").alias("src_url"), href.alias("href"),
-        F.when(absolute, host_of(href)).otherwise(F.col("src_host")).alias("target_host"),
-        F.when(absolute, F.regexp_extract(href, r"^https?://[^/?#]+(.*)$", 1)).otherwise(href).alias("target_path"),
+        F.when(absolute, host_of(full)).when(~nowhere, F.col("src_host")).alias("target_host"),
+        F.when(absolute, F.regexp_extract(full, r"(?i)^https?://[^/?#]+(.*)$", 1)).otherwise(href).alias("target_path"),
         py_strip(F.regexp_replace(inner, r"<[^>]*>", "")).alias("anchor"),
         rel.contains("nofollow").alias("nofollow"),
         F.lower(inner).contains("<img").alias("has_img"),
@@ -74,7 +84,7 @@ def backlink_overview(links: DataFrame, include_internal: bool = False) -> DataF
     referring hosts (stand-in for IPs), follow / nofollow, text / image.
     One grouped aggregation with partial aggregation; distinct counts are
     exact (``approx_count_distinct`` is the drop-in at very large scale)."""
-    l = _external(links, include_internal)
+    l = _external(links, include_internal).filter(F.col("target_host").isNotNull())
     return l.groupBy("target_host").agg(
         F.count(F.lit(1)).alias("total_backlinks"),
         F.count_distinct(registered_domain("src_host")).alias("referring_domains"),

@@ -10,20 +10,30 @@ from ..operators.ranking import global_row_number
 from ..sources.tables import Tables
 from .registry import register
 
-_HOST = "lower(regexp_extract({}, '^https?://([^/?#:]+)', 1))"
+_HOST = "lower(regexp_extract({}, '(?i)^https?://([^/?#:]+)', 1))"
 _REG = "regexp_extract({}, '([^.]+\\.[^.]+)$', 1)"
 
 
+def _attr_sql(name: str) -> str:
+    double, single, bare = f'"([^"]*)"', "''([^'']*)''", "([^\\s>\"'']+)"
+    find = "regexp_extract(tag, '(?is)\\s{0}\\s*=\\s*(?:{1}|{2}|{3})', {4})"
+    return " || ".join(find.format(name, double, single, bare, k) for k in (1, 2, 3))
+
+
 PAGE_LINKS_CTE = f"""el as (select page_id, {_HOST.format('url')} as src_host, url,
               unnest(regexp_extract_all(html, '(?is)<a\\s[^>]*>.*?</a>', 0)) as el,
               generate_subscripts(regexp_extract_all(html, '(?is)<a\\s[^>]*>.*?</a>', 0), 1) - 1 as link_pos
        from pages),
-f as (select *, regexp_extract(el, '(?i)href\\s*=\\s*"([^"]*)"', 1) as href,
-             lower(regexp_extract(el, '(?i)rel\\s*=\\s*"([^"]*)"', 1)) as rel,
-             regexp_extract(el, '(?is)^<a\\s[^>]*>(.*)</a>$', 1) as inner_html from el),
+f0 as (select *, regexp_extract(el, '(?is)^<a\\s[^>]*>', 0) as tag from el),
+f as (select *, {_attr_sql('href')} as href, lower({_attr_sql('rel')}) as rel,
+             regexp_extract(el, '(?is)^<a\\s[^>]*>(.*)</a>$', 1) as inner_html from f0),
 page_links as (select page_id, cast(link_pos as integer) as link_pos, src_host, url as src_url, href,
-       case when regexp_matches(href, '(?i)^https?://') then {_HOST.format('href')} else src_host end as target_host,
-       case when regexp_matches(href, '(?i)^https?://') then regexp_extract(href, '^https?://[^/?#]+(.*)$', 1)
+       case when regexp_matches(href, '(?i)^https?://') then {_HOST.format('href')}
+            when href[1:2] = '//' then {_HOST.format("('http:' || href)")}
+            when regexp_matches(tag, '(?i)\\shref\\s*=') and not regexp_matches(href, '(?i)^[a-z][a-z0-9+.-]*:') then src_host
+            end as target_host,
+       case when regexp_matches(href, '(?i)^https?://') then regexp_extract(href, '(?i)^https?://[^/?#]+(.*)$', 1)
+            when href[1:2] = '//' then regexp_extract('http:' || href, '^http://[^/?#]+(.*)$', 1)
             else href end as target_path,
        regexp_replace(regexp_replace(inner_html, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g') as anchor,
        contains(rel, 'nofollow') as nofollow, contains(lower(inner_html), '<img') as has_img
@@ -42,7 +52,7 @@ def page_links(spark, sf_dir):
 
 
 def _overview_sql(src: str, internal: bool) -> str:
-    where = "" if internal else "where src_host <> target_host"
+    where = "where target_host is not null" if internal else "where src_host <> target_host"
     return f"""select target_host, count(*) as total_backlinks,
        count(distinct {_REG.format('src_host')}) as referring_domains,
        count(distinct src_host) as referring_hosts,

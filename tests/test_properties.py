@@ -110,3 +110,14 @@ def test_prompt_texts_literal(spark):
     for r in rows:
         counts[r[0]] = counts.get(r[0], 0) + 1
     assert counts == {1: 4, 2: 10, 3: 6, 4: 6, 5: 5, 6: 5}
+
+
+def test_links_of_every_spelling(spark):
+    from marketlens.operators import links as L
+    html = ("<a href='/x'>one</a><A HREF=\"HTTPS://B.example/p?q\" rel='NoFollow me'><IMG src=i></A><a href=//c.example/y>two</a>"
+            "<a href='mailto:me@d.example'>mail</a><a name=top>none</a><a data-href=\"http://e.example/\" href=z>three</a>")
+    got = L.extract_links(spark.createDataFrame([(1, "http://a.example/", html), (2, "http://a.example/", None)],
+                                                "page_id long, url string, html string"))
+    rows = [(r.target_host, r.target_path, r.nofollow, r.has_img) for r in got.orderBy("link_pos").collect()]
+    assert rows == [("a.example", "/x", False, False), ("b.example", "/p?q", True, True), ("c.example", "/y", False, False),
+                    (None, "mailto:me@d.example", False, False), (None, "", False, False), ("a.example", "z", False, False)]

@@ -67,7 +67,7 @@ def test_query_grid(spark):
 def test_key_phrases_small_corpus(spark):
     docs = spark.createDataFrame([(1, "red candle burns slowly"), (2, "red candle smells nice"),
                                   (3, "blue box arrived")], "review_seq long, text string")
-    kp = {r.gram: r.score for r in TM.key_phrases(docs, n=5).collect()}
+    kp = {r.gram: r.score for r in TM.key_phrases(TM.with_tokens(docs), n=5).collect()}
     # min_df 2: only grams present in two documents survive
     assert set(kp) == {"red", "candle", "red candle"}
     assert abs(kp["red"] - kp["candle"]) < 1e-9
