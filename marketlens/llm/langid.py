@@ -125,8 +125,9 @@ def sample(labelled: DataFrame, per_language: int = SAMPLE, languages: int = LAN
     return labelled.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(UNIT)) < part * UNIT).select("lang", "body")
 
 
-def train(labelled: DataFrame, per_language: int = SAMPLE, languages: int = LANGUAGES) -> Model:
-    """Fit on (id, lang, body) rows; see the module's bounds."""
+def counted(labelled: DataFrame, per_language: int = SAMPLE, languages: int = LANGUAGES) -> DataFrame:
+    """(lang, gram, share) summed over the sampled (id, lang, body) rows: at
+    most languages x 3 x GRAMS rows."""
     def rows(part):
         lang, gram, share = [], [], []
         data, off = raw(part.column("body"))
@@ -137,17 +138,32 @@ def train(labelled: DataFrame, per_language: int = SAMPLE, languages: int = LANG
             g = np.flatnonzero(total)
             lang += [name] * g.size
             gram.append(g)
-            share.append(total[g] * UNIT // int(total.sum()))  # each document weighs the same
+            share.append(shares(total, g))
         if not lang:
             return None
         return {"lang": lang, "gram": np.concatenate(gram).astype(np.int32), "share": np.concatenate(share)}
 
     found = map_slices(sample(labelled, per_language, languages), rows, "lang string, gram int, share long")
-    table = found.groupBy("lang", "gram").agg(F.sum("share").alias("share")).toArrow()  # languages x 3 x GRAMS rows at most
+    return found.groupBy("lang", "gram").agg(F.sum("share").alias("share"))
+
+
+def shares(total: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """What a document adds to the counts of its n-grams: each weighs the same."""
+    return total[g] * UNIT // int(total.sum())
+
+
+def dense(table: pa.Table) -> tuple[list[str], np.ndarray]:
+    """(languages by name, their counts of all n-grams) of a ``counted`` table."""
     names = sorted(set(table.column("lang").to_pylist()))
     counts = np.zeros((len(names), 3 * GRAMS))
     at = {n: i for i, n in enumerate(names)}
     counts[[at[n] for n in table.column("lang").to_pylist()], table.column("gram").to_numpy()] = table.column("share").to_numpy()
+    return names, counts
+
+
+def train(labelled: DataFrame, per_language: int = SAMPLE, languages: int = LANGUAGES) -> Model:
+    """Fit on (id, lang, body) rows; see the module's bounds."""
+    names, counts = dense(counted(labelled, per_language, languages).toArrow())
     code = codewords(len(names))
     weights = np.zeros((3 * GRAMS, code.shape[1]))
     if len(names) > 1:
@@ -202,22 +218,83 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def learned(df: DataFrame) -> Model:
+def labelled(df: DataFrame) -> DataFrame:
+    """(id, lang, body) of the rows that may be learned from."""
     rows = df.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    return train(rows.select(whole_id("doc_id"), "lang", whole_text("text")))
+    return rows.select(whole_id("doc_id"), "lang", whole_text("text"))
+
+
+def learned(df: DataFrame) -> Model:
+    return train(labelled(df))
+
 
+#: A text of fewer letters may simply say too little to be rejected.
+SURE = 200
+#: Log-likelihood per n-gram that a text may fall short of its language's median.
+SLACK = 1.25
+#: Learned languages that may share a text, and labelled documents of each that
+#: its limit is taken from.
+NEAREST, MEASURED = 4, 300
 
-#: A text of at least ``SURE`` letters whose score is below ``DOUBT`` is in none
-#: of the learned languages; a shorter one may simply say too little, and a
-#: text of two languages scores 0.5 and more.
-SURE, DOUBT = 200, 0.4
 
+@dataclass(frozen=True)
+class Known:
+    languages: list[str]
+    logs: np.ndarray  # (languages, 3 * GRAMS) log-likelihoods, in millionths
+    limits: np.ndarray  # least fit of a text nearest to each language
 
-def accepted(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+
+def log_shares(share: np.ndarray) -> np.ndarray:
+    return np.round(np.log(share + 1e-6) * UNIT).astype(np.int32)
+
+
+def fit(logs: np.ndarray, n: np.ndarray) -> tuple[int, float]:
+    """(nearest language, log-likelihood per n-gram) of a text with ``n`` of
+    each n-gram; logs are the languages' for these n-grams.  Every n-gram may
+    come from any of the ``NEAREST`` nearest languages, so a text of several
+    fits like a text of one."""
+    near = np.argsort(-(logs @ n), kind="stable")[:NEAREST]
+    return int(near[0]), float(logs[near].max(0) @ n) / (UNIT * float(n.sum()))
+
+
+def known(df: DataFrame) -> Known:
+    """Absolute fit of the learned languages: unlike the score, a share among
+    them, it tells a text that is in none of them however few they are.  A
+    language's limit is ``SLACK`` below the median fit of labelled documents,
+    or their 5% quantile if that is lower; each is measured without its own
+    counts, so that few or varied documents give a low limit."""
+    docs = labelled(df)
+    names, counts = dense(counted(docs).toArrow())
+    totals = counts.sum(1)
+    logs = log_shares(counts / totals[:, None])
+    shared = df.sparkSession.sparkContext.broadcast((names, counts, totals, logs))
+
+    def rows(part):
+        names, counts, totals, logs = shared.value
+        at, out = {n: i for i, n in enumerate(names)}, {"lang": [], "fit": []}
+        data, off = raw(part.column("body"))
+        for name, a, b in zip(part.column("lang").to_pylist(), off[:-1], off[1:], strict=True):
+            total = gram_counts(data[a:b].tobytes())
+            if total is None:
+                continue
+            g, i = np.flatnonzero(total), at[name]
+            own, some = shares(total, g), logs[:, g]
+            some[i] = log_shares((counts[i, g] - own) / max(1.0, totals[i] - own.sum()))
+            out["lang"].append(name)
+            out["fit"].append(fit(some, total[g])[1])
+        return out
+
+    fits = map_slices(sample(docs, MEASURED), rows, "lang string, fit double").groupBy("lang").agg(
+        F.expr("percentile(fit, array(0.05, 0.5))").alias("q"))
+    limits = {r["lang"]: min(r["q"][0], r["q"][1] - SLACK) for r in fits.collect()}
+    return Known(names, logs, np.array([limits.get(n, -np.inf) for n in names]))
+
+
+def accepted(df: DataFrame, model: Known, text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, that the language stage keeps: not
-    those without a letter, nor those of at least ``SURE`` letters whose score
-    is below ``DOUBT``.  Without a learned language, every row
-    with a letter stays.  Nothing is shuffled."""
+    those without a letter, nor those of at least ``SURE`` letters whose fit
+    is below the limit of the nearest language.  Without a learned language,
+    every row with a letter stays.  Nothing is shuffled."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     keyed = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), whole_text(text_col))
     row = keyed.schema["row"].dataType.simpleString()
@@ -226,12 +303,13 @@ def accepted(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         m, stays = shared.value, []
         data, off = raw(part.column("body"))
         for a, b in zip(off[:-1], off[1:], strict=True):
-            body = data[a:b].tobytes()
-            if not m.languages:
-                stays.append(gram_counts(body) is not None)
-            else:
-                found = margins(m, body)
-                stays.append(found is not None and not (found[1] >= SURE and decode(m, *found)[1] < DOUBT))
+            total = gram_counts(data[a:b].tobytes())
+            stay = total is not None
+            if stay and m.languages and int(total[:GRAMS].sum()) >= SURE:
+                g = np.flatnonzero(total)
+                near, value = fit(m.logs[:, g], total[g])
+                stay = value >= m.limits[near]
+            stays.append(bool(stay))
         return {"row": part.column("row").filter(pa.array(stays))} if any(stays) else None
 
     return map_slices(keyed, rows, f"row {row}").select("row.*")
