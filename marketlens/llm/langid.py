@@ -7,9 +7,9 @@ n-gram, averaged over the text.  Decoding is loss-weighted: the language whose
 codeword has the least sum of logistic losses against all bit margins is
 nearest; a small gap to the second nearest flags the text as ambiguous.
 
-Training reads at most about ``SAMPLE`` documents of each of at most
-``LANGUAGES`` languages (the most frequent ones), picked by a hash of the id;
-the model is languages x ``GRAMS`` counts, whatever the input size.  Weights and
+Training reads at most about ``SAMPLE`` documents of each language, picked by
+a hash of the id; every labelled language is learned.  The counts, languages x
+3 x ``GRAMS`` whatever the input size, become weights in Spark.  Weights and
 frequencies are integers, so equal texts get equal results in any partitioning.
 
 Null text or a text without a letter: ``und``, score 0, ambiguous.  No learned
@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import map_slices, raw, real_id, text_key, whole_id, whole_text
+from .common import map_slices, raw, real_id, stored, text_key, whole_id, whole_text
 
-SAMPLE, LANGUAGES = 1500, 64
+SAMPLE = 1500
 #: Hashed n-grams of each length.
 GRAMS = 1 << 13
 UNIT = 1_000_000
@@ -86,6 +86,16 @@ def gram_counts(text: bytes) -> np.ndarray | None:
     return total
 
 
+def _least_distance(code: np.ndarray) -> int:
+    """Bits in which the two nearest codewords differ, in blocks of rows."""
+    x, least = code.astype(np.float32), code.shape[1]
+    for lo in range(0, x.shape[0], 1024):
+        apart = (x.shape[1] - x[lo:lo + 1024] @ x.T) / 2
+        apart[np.arange(apart.shape[0]), lo + np.arange(apart.shape[0])] = x.shape[1]
+        least = min(least, int(apart.min()))
+    return least
+
+
 def codewords(k: int) -> np.ndarray:
     """(languages, bits) of +1 and -1: all splits for up to five languages,
     else the most spread of some random codes of 10 log2(k) bits."""
@@ -96,12 +106,11 @@ def codewords(k: int) -> np.ndarray:
         return np.array([[1 if i == 0 or not b >> (i - 1) & 1 else -1 for b in bits] for i in range(k)])
     rng, best, spread = np.random.default_rng(7), None, -1
     size = int(np.ceil(10 * np.log2(k)))
-    for _ in range(200):
+    for _ in range(max(3, min(200, (1 << 26) // k**2))):  # fewer tries where one is long
         code = rng.choice([-1, 1], (k, size))
         if (np.abs(code.sum(0)) == k).any():
             continue
-        apart = (size - code @ code.T) // 2
-        if (least := int(apart[~np.eye(k, dtype=bool)].min())) > spread:
+        if (least := _least_distance(code)) > spread:
             best, spread = code, least
     return best
 
@@ -113,19 +122,15 @@ class Model:
     weights: np.ndarray  # (3 * GRAMS, bits), in millionths
 
 
-def sample(labelled: DataFrame, per_language: int = SAMPLE, languages: int = LANGUAGES) -> DataFrame:
-    """(lang, body): about ``per_language`` rows of each of the most frequent
-    languages, by a hash of the id against the language's share."""
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not counts:
-        return labelled.select("lang", "body").limit(0)
-    part = F.lit(None).cast("double")
-    for r in counts:
-        part = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / r["count"]))).otherwise(part)
-    return labelled.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(UNIT)) < part * UNIT).select("lang", "body")
+def sample(labelled: DataFrame, per_language: int = SAMPLE) -> DataFrame:
+    """(lang, body): about ``per_language`` rows of each language, by a hash of
+    the id against the language's share."""
+    part = labelled.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(per_language)) / F.count(F.lit(1))).alias("part"))
+    rows = labelled.join(F.broadcast(part), "lang")  # a row for each language
+    return rows.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(UNIT)) < F.col("part") * UNIT).select("lang", "body")
 
 
-def counted(labelled: DataFrame, per_language: int = SAMPLE, languages: int = LANGUAGES) -> DataFrame:
+def counted(labelled: DataFrame, per_language: int = SAMPLE) -> DataFrame:
     """(lang, gram, share) summed over the sampled (id, lang, body) rows: at
     most languages x 3 x GRAMS rows."""
     def rows(part):
@@ -143,7 +148,7 @@ def counted(labelled: DataFrame, per_language: int = SAMPLE, languages: int = LA
             return None
         return {"lang": lang, "gram": np.concatenate(gram).astype(np.int32), "share": np.concatenate(share)}
 
-    found = map_slices(sample(labelled, per_language, languages), rows, "lang string, gram int, share long")
+    found = map_slices(sample(labelled, per_language), rows, "lang string, gram int, share long")
     return found.groupBy("lang", "gram").agg(F.sum("share").alias("share"))
 
 
@@ -161,16 +166,36 @@ def dense(table: pa.Table) -> tuple[list[str], np.ndarray]:
     return names, counts
 
 
-def train(labelled: DataFrame, per_language: int = SAMPLE, languages: int = LANGUAGES) -> Model:
-    """Fit on (id, lang, body) rows; see the module's bounds."""
-    names, counts = dense(counted(labelled, per_language, languages).toArrow())
+#: N-grams whose weights one step works out.
+STEP = 64
+
+
+def train(labelled: DataFrame, per_language: int = SAMPLE) -> Model:
+    """Fit on (id, lang, body) rows; see the module's bounds.  The driver gets
+    one total for each language and the weights."""
+    table = stored(counted(labelled, per_language), "language-counts")
+    totals = {r["lang"]: r["n"] for r in table.groupBy("lang").agg(F.sum("share").alias("n")).collect()}
+    names = sorted(totals)
     code = codewords(len(names))
-    weights = np.zeros((3 * GRAMS, code.shape[1]))
+    weights = np.zeros((3 * GRAMS, code.shape[1]), np.int64)
     if len(names) > 1:
-        odds = counts / counts.sum(1, keepdims=True) + 1e-6  # languages weigh the same
-        for b in range(code.shape[1]):
-            weights[:, b] = np.log(odds[code[:, b] > 0].mean(0)) - np.log(odds[code[:, b] < 0].mean(0))
-    return Model(names, code, np.round(weights * UNIT).astype(np.int64))
+        shared = table.sparkSession.sparkContext.broadcast((names, np.array([float(totals[n]) for n in names]), code))
+
+        def run(part: pa.Table) -> pa.Table:
+            names, total, code = shared.value
+            at, gram = {n: i for i, n in enumerate(names)}, part.column("gram").to_numpy()
+            low = int(gram.min()) // STEP * STEP
+            odds = np.zeros((len(names), STEP))
+            odds[[at[n] for n in part.column("lang").to_pylist()], gram - low] = part.column("share").to_numpy()
+            odds = odds / total[:, None] + 1e-6  # languages weigh the same
+            w = np.stack([np.log(odds[c > 0].mean(0)) - np.log(odds[c < 0].mean(0)) for c in code.T], 1)
+            return pa.table({"low": pa.array([low], pa.int32()), "weights": pa.array([np.round(w * UNIT).astype(np.int64).ravel()], pa.list_(pa.int64()))})
+
+        steps = table.groupBy(F.expr(f"gram div {STEP}").alias("step")).applyInArrow(run, "low int, weights array<long>")
+        for r in steps.toArrow().to_batches():
+            for low, w in zip(r.column("low").to_pylist(), r.column("weights"), strict=True):
+                weights[low:low + STEP] = w.values.to_numpy().reshape(STEP, -1)
+    return Model(names, code, weights)
 
 
 def margins(model: Model, text: bytes) -> tuple[np.ndarray, int] | None:

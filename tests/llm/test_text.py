@@ -63,6 +63,15 @@ def test_language_id_odd_rows(spark):
     assert langid.digest(docs(spark, [])).collect() == []
 
 
+def test_every_labelled_language_is_learned(spark):
+    k = 70
+    words = [[f"{chr(97 + i % 26)}{chr(97 + i // 26)}{c}" for c in "qxzjk"] for i in range(k)]
+    rows = [(100 * i + j, " ".join(words[i] * 3), f"l{i:02d}", "s", 9) for i in range(k) for j in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = langid.digest(df).collect()
+    assert len(got) == k * 8 and all(r.lang_pred == f"l{r.doc_id // 100:02d}" for r in got)
+
+
 def test_codewords_and_ambiguity():
     for k in (2, 3, 4, 5, 9):
         code = langid.codewords(k)
