@@ -41,8 +41,9 @@ def _windows(part: pa.RecordBatch, breaks: np.ndarray, window: int, gram: int):
 
 
 def window_minima(docs: DataFrame, breaks: np.ndarray, window: int, gram: int, places: bool) -> DataFrame:
-    """(low, id, pos): each text's window minima, with the place of the run
-    that was picked if ``places``, else once for adjacent windows (pos 0)."""
+    """(low, id, pos), with ``places`` also text_key: each text's window minima,
+    with the place of the run that was picked if ``places``, else once for
+    adjacent windows (pos 0)."""
     def rows(part):
         found = _windows(part, breaks, window, gram)
         if found is None:
@@ -55,10 +56,11 @@ def window_minima(docs: DataFrame, breaks: np.ndarray, window: int, gram: int, p
                 pos = np.where(grams[at + k] == low, at + k - bounds[text], pos)
         new = np.ones(low.size, bool)
         new[1:] = (low[1:] != low[:-1]) | (text[1:] != text[:-1]) | (pos[1:] != pos[:-1])
-        ids = part.column("id").to_numpy()
-        return {"low": low[new].view(np.int64), "id": ids[text[new]], "pos": pos[new].astype(np.int32)}
+        named = {c: part.column(c).to_numpy()[text[new]] for c in name}
+        return {"low": low[new].view(np.int64), "pos": pos[new].astype(np.int32)} | named
 
-    return map_slices(docs.select("id", "body"), rows, "low long, id long, pos int")
+    name = ["id", "text_key"] if places else ["id"]
+    return map_slices(docs.select(*name, "body"), rows, ", ".join(["low long", *[f"{c} long" for c in name], "pos int"]))
 
 
 def candidates(docs: DataFrame, breaks: np.ndarray, window: int, gram: int, slots) -> DataFrame:
@@ -89,15 +91,14 @@ def covered(docs: DataFrame, breaks: np.ndarray, window: int, gram: int, across:
     if across:
         repeated = minima.groupBy("low").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
     else:
-        repeated = minima.groupBy("low").agg(F.min(F.struct("id", "pos")).alias("a"),
-                                             F.max(F.struct("id", "pos")).alias("b")).where("a < b")
+        place = F.struct("id", "text_key", "pos")
+        repeated = minima.groupBy("low").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b")
     slots = slot_filter(repeated, "low")
     rows = candidates(docs, breaks, window, gram, slots)
     if across:
         first = rows.groupBy("h", "check").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
         later = F.col("id") > F.col("first")
     else:
-        place = F.struct("id", "text_key", "pos")
         first = rows.groupBy("h", "check").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
         later = place > F.col("first")
     # written out, so that the join below shuffles both sides itself and

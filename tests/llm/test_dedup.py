@@ -86,6 +86,15 @@ def test_lines(spark):
     assert got[3][1] == 3 and got[1][1] == 3
 
 
+def test_lines_of_documents_that_share_an_id(spark):
+    """Null ids, or one id, with different texts: the same run at the same line."""
+    for i in (None, 7):
+        rows = linededup.remove_repeated_lines(docs(spark, ["a\nb\nc\nd", "a\nb\nc\ne"], [i, i])).collect()
+        assert sorted(r.n_removed for r in rows) == [0, 3]
+    rows = linededup.remove_repeated_lines(docs(spark, ["a\nb\nc\nd"] * 2, [None, None])).collect()
+    assert [r.n_removed for r in rows] == [0, 0]  # one document
+
+
 def test_exact_brute_force(spark):
     texts = corpus(5) + ["a b", "a\tb "]
     ids = [*range(len(texts) - 2), None, 3]  # a null and a repeated id
