@@ -167,6 +167,17 @@ def rows_without(df: DataFrame, dropped: DataFrame, id_col: str, text_col: str)
     return passing(keyed, slots, False).unionByName(left.select("row", "id", "text_key")).select("row.*")
 
 
+def one_of_each(df: DataFrame, named: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``df`` that no (id, text_key) of ``named`` names, and one
+    row of each that it names as ``kept``."""
+    twins = named.where("kept")
+    slots = slot_filter(twins, "text_key")
+    keyed = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), whole_id(id_col), text_key(text_col))
+    one = (passing(keyed, slots, True).join(twins.select("id", "text_key"), ["id", "text_key"], "left_semi")
+           .groupBy("id", "text_key").agg(F.first("row").alias("row")).select("row.*"))
+    return rows_without(df, named, id_col, text_col).unionByName(one)
+
+
 def ship(spark) -> None:
     """Send this package to the executors, once a session, for sessions that
     were started without it on the executors' Python path."""

@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import (_struct, in_slots, map_slices, passing, raw, real_id, record, rows_without, slices, slot_filter,
-                     stored, text_key, whole_id, whole_text)
+from .common import (_struct, in_slots, map_slices, one_of_each, raw, real_id, record, slices, slot_filter, stored,
+                     text_key, whole_id, whole_text)
 
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Different repeated keys that a bucket holds before it splits.
@@ -228,12 +228,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     # rows that repeat id and text share their name: one of them stays
     named = groups.groupBy("id", "text_key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     named = stored(named.where("not kept or n > 1"), "exact-named")
-    twins = named.where("kept")
-    slots = slot_filter(twins, "text_key")
-    keyed = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), whole_id(id_col), text_key(text_col))
-    one = (passing(keyed, slots, True).join(twins.select("id", "text_key"), ["id", "text_key"], "left_semi")
-           .groupBy("id", "text_key").agg(F.first("row").alias("row")).select("row.*"))
-    return rows_without(df, named, id_col, text_col).unionByName(one)
+    return one_of_each(df, named, id_col, text_col)
 
 
 def digest(df: DataFrame) -> DataFrame:

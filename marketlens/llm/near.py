@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import map_slices, passing, raw, real_id, rows_without, slot_filter, stored, text_key, whole_id, whole_text
+from .common import map_slices, one_of_each, passing, raw, real_id, slot_filter, stored, text_key, whole_id, whole_text
 from .components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -223,12 +223,14 @@ def block_links(askers: DataFrame, others: DataFrame, sets: DataFrame, similarit
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                 similarity: float = SIMILARITY) -> DataFrame:
-    """One row per input row: id, text_key, n_shingles and component (the
-    smallest id that links reach, itself included)."""
+    """One row per input row: id, text_key, n_shingles, component (the
+    smallest id that links reach, itself included), stays (it has the group's
+    smallest id and, of texts with that id, the smallest text_key) and
+    group_size (rows)."""
     docs = df.select(whole_id(id_col), whole_text(text_col), text_key(text_col))
     signed = stored(signatures(docs, words), "near-signatures")
     classes = (signed.where("n > 0").groupBy("n", "set_a", "set_b")
-               .agg(F.min(F.struct("id", "text_key")).alias("low"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+               .agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("id", "text_key")).alias("low"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
 
     spread = classes.select("node", "n", "sketch", F.explode("bands").alias("band"))
@@ -260,19 +262,23 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     members = members.join(asking.select("hub").distinct(), "hub", "left_semi").select("node", "n", "root", "hub")
     more = block_links(asking, members.unionByName(asking), sets, similarity)
     final = components(more, "near-final").select(F.col("node").alias("root"), F.col("root").alias("head"))
-    heads = (classes.select("node", "n", "set_a", "set_b", "low.id").join(roots, "node", "left").withColumn("root", label)
+    heads = (classes.select("node", "n", "set_a", "set_b", "low", "rows").join(roots, "node", "left").withColumn("root", label)
              .join(final, "root", "left").withColumn("head", F.coalesce("head", "root")))
-    lowest = heads.groupBy("head").agg(F.min("id").alias("component"))
-    named = stored(heads.join(lowest, "head").select("n", "set_a", "set_b", "component"), "near-named")
+    lowest = heads.groupBy("head").agg(F.min("low").alias("stays"), F.sum("rows").alias("size"))
+    named = stored(heads.drop("rows").join(lowest, "head").select(
+        "n", "set_a", "set_b", F.col("stays.id").alias("component"), F.col("stays.text_key").alias("stays"), "size"), "near-named")
     return (signed.select("id", "text_key", "n", "set_a", "set_b").join(named, ["n", "set_a", "set_b"], "left")
-            .select("id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component")))
+            .select("id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"),
+                    F.coalesce((F.col("id") == F.col("component")) & (F.col("text_key") == F.col("stays")), F.lit(True)).alias("stays"),
+                    F.coalesce("size", F.lit(1)).alias("group_size")))
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``df`` that stay: of each group the one of smallest id."""
-    groups = near_groups(df, id_col, text_col, words, similarity)
-    return rows_without(df, groups.where("id != component"), id_col, text_col)
+    """The rows of ``df`` that stay: of each group one of smallest id."""
+    groups = near_groups(df, id_col, text_col, words, similarity).where("group_size > 1")
+    named = groups.groupBy("id", "text_key").agg(F.max("stays").alias("kept"), F.count(F.lit(1)).alias("n"))
+    return one_of_each(df, stored(named.where("not kept or n > 1"), "near-dropped"), id_col, text_col)
 
 
 def digest(df: DataFrame) -> DataFrame:

@@ -162,6 +162,16 @@ def test_near_blocks_settle_what_pivots_miss(spark, monkeypatch):
     assert {r.id: r.component for r in near.near_groups(df, words=2).collect()} == want
 
 
+def test_near_keeps_one_where_ids_repeat(spark):
+    words = [f"w{k}" for k in range(100)]
+    near_copies = [" ".join([*words[:99], end]) for end in ("a", "b", "c")]
+    for ids in ([None, None, None], [5, 5, 9]):
+        df = docs(spark, [*near_copies, near_copies[0], "alone here", "other text", None, None], [*ids, ids[0], None, 5, None, None])
+        got = [r.text for r in near.near_dedup(df).collect()]
+        assert sum(t in near_copies for t in got) == 1 and len(got) == 5
+        assert {"alone here", "other text"} <= set(got) and got.count(None) == 2
+
+
 def test_odd_sketch_estimates(spark):
     rng = np.random.default_rng(0)
     for share in (0.8, 0.9, 0.95):
