@@ -86,7 +86,8 @@ def candidates(docs: DataFrame, breaks: np.ndarray, window: int, gram: int, slot
 def covered(docs: DataFrame, breaks: np.ndarray, window: int, gram: int, across: bool) -> DataFrame:
     """(id, text_key, starts): the windows of each text that repeat an earlier
     place.  ``across``: earlier is a smaller id only; else also an earlier
-    start in the same text.  A row's list is bounded by its text's length."""
+    start in the same text.  A list holds each start once, combined in the
+    tasks, so it is bounded by its text's length however many rows repeat it."""
     minima = window_minima(docs, breaks, window, gram, not across)
     if across:
         repeated = minima.groupBy("low").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
@@ -105,7 +106,7 @@ def covered(docs: DataFrame, breaks: np.ndarray, window: int, gram: int, across:
     # adaptive execution can split a window that very many documents hold
     first = stored(first.select("h", "check", "first"), "first-windows")
     return (rows.join(first, ["h", "check"]).where(later).groupBy("id", "text_key")
-            .agg(F.sort_array(F.collect_list("pos")).alias("starts")))
+            .agg(F.sort_array(F.collect_set("pos")).alias("starts")))
 
 
 def cover(n: int, starts: np.ndarray, window: int) -> np.ndarray:

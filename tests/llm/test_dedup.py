@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from marketlens.llm import exact, hashing as H, linededup, near, substring
+from marketlens.llm import exact, hashing as H, linededup, near, repeats, substring
 from marketlens.llm.components import components
 from tests.llm.conftest import ODD, docs
 
@@ -71,6 +71,16 @@ def test_substring_intervals_and_null_ids(spark):
     assert got[None].n_removed == 60 and got[1].n_removed == 0 and got[1].kept == texts[0]
 
 
+def test_covered_starts_are_distinct(spark):
+    """Rows that repeat id and text don't make each other's list longer."""
+    text = " ".join(f"w{k}" for k in range(60))
+    df = docs(spark, [text] * 6, [1] + [None] * 5)
+    full = df.select(repeats.whole_id("doc_id"), repeats.whole_text("text"), repeats.text_key("text"))
+    got = repeats.covered(full, H.WHITE, 50, 16, True).collect()
+    assert [r.starts for r in got] == [list(range(11))]
+    assert sorted(r.n_removed for r in substring.digest(df).collect()) == [0] + [60] * 5
+
+
 def test_lines(spark):
     texts = ["a\nb\nc\nd", "x\na\nb\nc\ny", "a\nb\nc\nd", "p\n\np\np\np", "q", None, "", "a\r\nb\nc"]
     seen, expect = {}, {}
