@@ -10,8 +10,9 @@ The trees learn from labelled URLs; query op9 takes those that the rules
 label.  Features of a URL: its length, depth, digit ratio, character entropy,
 parameter counts and the blocked share of the labelled URLs with its suffix
 (the last label, and the last two labels, of the host; smoothed towards the
-overall share).  At most about ``SAMPLE`` labelled URLs are learned from, picked
-by a hash; suffix shares count all of them.
+overall share).  Labelled rows are counted by URL and about ``SAMPLE`` of them
+are learned from: each URL with its share of the rows as weight, rounded by a
+hash, so at most about ``SAMPLE`` URLs; suffix shares count all rows.
 
 Everything is DataFrame expressions and Spark's own trees; suffix tables are
 joined, never collected.  Null or odd URLs get empty parts and are judged like
@@ -86,6 +87,14 @@ def with_shares(df: DataFrame, shares: list[DataFrame], overall: float) -> DataF
     return df
 
 
+def drawn(labelled: DataFrame, part: float) -> DataFrame:
+    """(url, label, weight): each URL's ``part`` of its rows, rounded up or
+    down by a hash; URLs of weight 0 are left out."""
+    rounding = F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
+    urls = labelled.groupBy("url").agg(F.count(F.lit(1)).alias("n"), F.first("label").alias("label"))
+    return urls.select("url", "label", F.floor(F.col("n") * part + rounding).cast("double").alias("weight")).where("weight > 0")
+
+
 def judged(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, sample: int = SAMPLE) -> DataFrame:
     """One row per input row: the id, host, path, rule, verdict and the trees'
     block probability (null where a rule decides)."""
@@ -101,11 +110,11 @@ def judged(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=R
     overall = blocked / n
     shares = [stored(t, "suffix-shares") for t in suffix_shares(labelled, overall)]
     part = min(1.0, sample / n)
-    some = labelled.where(F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1_000_000)) < part * 1_000_000)
-    some = with_shares(some, shares, overall).select("label", *FEATURES)
+    some = lexical(url_parts(drawn(labelled, part)))
+    some = with_shares(some, shares, overall).select("label", "weight", *FEATURES)
     some = stored(some.repartition(4), "url-sample")  # a bounded number of rows
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    trees = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, checkpointInterval=-1)
+    trees = GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, checkpointInterval=-1)
     two = some.agg(F.min("label"), F.max("label")).first()
     if two[0] is None or two[0] == two[1]:  # a sample of one kind only
         model, chance = None, F.lit(overall)

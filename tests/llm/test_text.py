@@ -223,3 +223,13 @@ def test_url_parts_rules_and_trees(spark):
     assert urls.digest(df.limit(0)).collect() == []
     one = df.where("page_id in (3, 6)")  # labels of one kind only
     assert {r.verdict for r in urls.digest(one).collect()} == {"block"}
+
+
+def test_url_sample_under_skew(spark):
+    rows = [(f"http://hot{h}.net/x",) for h in range(4) for _ in range(1000)] + [(f"http://s{k}.org/fr/{k}",) for k in range(2000)]
+    df = spark.createDataFrame(rows, "url string").selectExpr("url", "cast(url like '%.net%' as double) as label")
+    got = {r.url: r for r in urls.drawn(df, 0.05).collect()}
+    assert all(abs(got[f"http://hot{h}.net/x"].weight - 50) <= 1 for h in range(4))  # not 1000, not none
+    assert abs(sum(r.weight for r in got.values()) - 300) < 60 and len(got) < 160
+    assert {r.label for u, r in got.items() if "hot" in u} == {1.0}
+    assert sum(r.weight for r in urls.drawn(df, 1.0).collect()) == 6000
