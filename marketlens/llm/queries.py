@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact, imatch, langid, linededup, near, packing, substring, urls
+from . import bpe, chat, cluster, decontaminate, exact, imatch, langid, lexical, linededup, near, packing, substring, urls
 from .common import prepare
 
 _OPERATORS = {
@@ -21,13 +21,16 @@ _OPERATORS = {
     "op8_odd_sketch_near_dedup": ("documents", near.digest),
     "op9_boosted_url_filter": ("pages", urls.digest),
     "op10_rabin_karp_substring_dedup": ("documents", substring.digest),
+    "op11_prefix_decontamination": ("documents benchmark", decontaminate.digest),
+    "op12_lemp_lexical_search": ("documents benchmark", lexical.digest),
+    "op13_hilbert_centroid_clustering": ("embeddings", cluster.digest),
 }
 
 
-def _query(table: str, operator: Callable[[DataFrame], DataFrame]):
+def _query(tables: str, operator: Callable[..., DataFrame]):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
-        return operator(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+        return operator(*[spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in tables.split()])
 
     return build
 
@@ -39,7 +42,7 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name: _query(table, operator) for name, (table, operator) in _OPERATORS.items()} | {"pipeline": _pipeline}
+    name: _query(tables, operator) for name, (tables, operator) in _OPERATORS.items()} | {"pipeline": _pipeline}
 
 #: The other operators have no SQL form (models, tokenizers, hashes of our
 #: own); their tests compare them with brute force.
@@ -49,4 +52,7 @@ ORACLES: dict[str, str] = {
     "op7_extendible_hash_dedup": exact.SQL,
     "op8_odd_sketch_near_dedup": near.SQL,
     "op10_rabin_karp_substring_dedup": substring.SQL,
+    "op11_prefix_decontamination": decontaminate.SQL,
+    "op12_lemp_lexical_search": lexical.SQL,
+    "op13_hilbert_centroid_clustering": cluster.SQL,
 }
