@@ -22,7 +22,8 @@ The tokenizer splits texts at white space, and letters from punctuation, and
 never merges across a split, so each worker remembers the ids of words (about
 ``REMEMBERED``) and tokenises only new ones.  A new word of lower-case Latin
 letters, which the tokenizer's normaliser and splitter leave as it is, goes to
-its merges at once; any other goes through the whole tokenizer.
+its merges at once; any other goes through the whole tokenizer.  The strings of
+special tokens in a text get their ids, as in the library's plain call.
 """
 
 from __future__ import annotations
@@ -63,16 +64,19 @@ def words(text: bytes) -> list[bytes]:
     return _SPLIT.sub(b" ", text.lower()).split()
 
 
-def word_bytes(path: str):
-    """A function from words to their ids as little-endian 32-bit bytes."""
+def text_bytes(path: str):
+    """A function from texts to their ids as little-endian 32-bit bytes."""
     if path not in _TOKENIZERS:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _TOKENIZERS[path] = tokenizer, tokenizer.model, {}
-    tokenizer, model, known = _TOKENIZERS[path]
+        # the library finds special tokens in the raw text, before it normalises what lies between them
+        special = {t.content.encode(): np.array([i], "<u4").tobytes() for i, t in tokenizer.get_added_tokens_decoder().items()}
+        tokenizer.encode_special_tokens = True  # a word that only looks like one once in lower case is ordinary text
+        _TOKENIZERS[path] = tokenizer, tokenizer.model, special, {}
+    tokenizer, model, special, known = _TOKENIZERS[path]
+    cut = re.compile(b"(" + b"|".join(map(re.escape, sorted(special, key=len, reverse=True))) + b")")
 
     def new_word(word: bytes) -> list[int]:
         if word.isalpha():  # ASCII letters in lower case: one piece, for the merges alone
@@ -95,7 +99,12 @@ def word_bytes(path: str):
                 known[w] = np.array(new_word(w), "<u4").tobytes()
         return b"".join(map(known.__getitem__, some))
 
-    return ids
+    def coded(text: bytes) -> bytes:
+        if not special or not cut.search(text):
+            return ids(words(text))
+        return b"".join(special.get(part) or ids(words(part)) for part in cut.split(text))
+
+    return coded
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END) -> DataFrame:
@@ -103,11 +112,11 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END) ->
     tail = np.array([end], "<u4").tobytes()
 
     def rows(part):
-        ids = word_bytes(path)
+        ids = text_bytes(path)
         out = {"id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
         data, off = raw(part.column("body"))
         for doc, a, b in zip(part.column("id").to_pylist(), off[:-1], off[1:], strict=True):
-            coded = ids(words(data[a:b].tobytes())) + tail
+            coded = ids(data[a:b].tobytes()) + tail
             for k in range(0, len(coded), 4 * length):
                 some = coded[k:k + 4 * length]
                 out["id"].append(doc)
@@ -224,8 +233,9 @@ def packed_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
                   end: int = END, group: int = GROUP, rounds: int = ROUNDS) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id and
     offset.  ``path`` is the tokenizer's file, the same on every machine."""
-    cut = stored(pieces(df.select(whole_id(id_col), whole_text(text_col)), path, length, end), "pieces")
-    cut = cut.withColumn("row", F.monotonically_increasing_id())  # fixed by the stored files
+    cut = pieces(df.select(whole_id(id_col), whole_text(text_col)), path, length, end)
+    # numbered as they are written: how the files are split when read back must not matter
+    cut = stored(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
     bins = pack(cut.where(F.col("length") < length).select("row", "length"), length, group, rounds)
     # numbers of bins lie above all row numbers, which name the full pieces
     bins = bins.select("row", (F.shiftleft("pack", 20) + F.col("bin")).alias("sequence_id"), "offset")

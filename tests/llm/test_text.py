@@ -172,8 +172,8 @@ def check_packing(rows, ids):
 def test_packing_brute_force(spark):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
-    texts = ODD + ["Straße İstanbul ΣΑΣ. don't I'LL «é́» 1.5%", "<|endoftext|> x", "word " * 9000] + [f"Wörter und words {k}, " * (k * 7 % 90) for k in range(200)]
+    texts = ODD + ["Straße İstanbul ΣΑΣ. don't I'LL «é́» 1.5%", "<|endoftext|> x", "a <|endoftext|> b", "foo<|endoftext|>bar <|ENDOFTEXT|>",
+                   "<|startoftext|><|endoftext|>'s\n<|endoftext|", "word " * 9000] + [f"Wörter und words {k}, " * (k * 7 % 90) for k in range(200)]
     ids = {i: t.encode(x or "", add_special_tokens=False).ids + [1] for i, x in enumerate(texts)}
     bins = check_packing(packing.digest(docs(spark, texts)).collect(), ids)
     assert bins <= -(-sum(map(len, ids.values())) // 4096) + 1
@@ -181,6 +181,35 @@ def test_packing_brute_force(spark):
     assert len(packing.digest(docs(spark, ["a", "a", None], [1, 1, None])).collect()) == 3
 
 
+def test_packing_holds_when_the_cores_change(spark):
+    """The stored files are split by another number of cores when the result is read."""
+    t = [f"{k} words " * (k * 13 % 700) for k in range(300)]
+    keys = {"spark.sql.leafNodeDefaultParallelism": "4", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "4"}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = packing.digest(docs(spark, t).repartition(16))
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
+        spark.conf.set("spark.sql.files.minPartitionNum", "2")
+        rows = df.collect()
+        spark.conf.set("spark.sql.files.minPartitionNum", "7")
+        again = df.select("*").collect()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    for some in (rows, again):
+        assert sorted(r.doc_id for r in some if r.piece == 0) == list(range(300))
+        bins = {}
+        for r in some:
+            bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for held in bins.values():
+            at = 0
+            for offset, length in sorted(held):
+                assert offset == at
+                at += length
+            assert at <= 4096
+
+
 def test_packing_exchanges_between_groups(spark):
     rng = np.random.default_rng(1)
     rows = spark.createDataFrame([(i, int(n)) for i, n in enumerate(rng.integers(1, 3000, 1200))], "row long, length long")
