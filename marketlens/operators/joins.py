@@ -2,46 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 #: Characters of an index gram.  Patterns that are shorter are their own key.
 GRAM = 4
+#: Grams of patterns that are broadcast at once.
+BLOCK = 200_000
 
 
-def _grams(text: Column, size: int) -> Column:
-    """Every run of ``size`` characters of a text, as an array.  A look-ahead
-    group makes the matches overlap and reads the text once."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+def _places(texts: DataFrame, text_col: str, size: int) -> DataFrame:
+    """Every place of every text with the hash of the ``size`` characters there:
+    the texts' columns, __code (the text in four bytes a character, where any
+    character is found at once), __at (from 0) and __gram."""
+    coded = texts.withColumn("__code", F.encode(F.col(text_col), "UTF-32"))
+    last = (F.octet_length("__code") / 4).cast("int") - size
+    at = coded.select("*", F.explode_outer(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("__at"))
+    return at.withColumn("__gram", F.when(F.col("__at").isNotNull(), F.xxhash64(_code("__at", F.lit(size)))))
 
 
-def contains_pairs(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_col: str) -> DataFrame:
-    """Distinct (text, pattern) with the text containing the pattern, under the
-    two given names.
+def _code(at, length):
+    """``length`` characters of __code from place ``at``."""
+    return F.substring("__code", F.lit(1) + F.lit(4) * F.col(at), F.lit(4) * length)
+
+
+def pattern_hits(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_col: str, gram: int = GRAM,
+                 block: int = BLOCK) -> DataFrame:
+    """The rows of ``texts`` with each distinct pattern that the text contains,
+    one row per (text row, pattern), the pattern under its own name.
 
-    Every distinct pattern is indexed by one of its grams of ``GRAM``
-    characters: the one that the fewest patterns share, so that a word common
-    to many patterns never becomes their key.  Distinct texts meet the index by
-    equality on their own distinct grams, and each candidate is then checked on
-    the whole text, so the result is that of a plain substring test.  One plan
-    for every size: hash joins only, nothing counted beforehand.
+    Every pattern is looked for by the one of its grams of ``gram`` characters
+    that is rarest *in the texts*, counted in a first pass; a pattern with a
+    gram that no text holds is out.  In the second pass a place of that gram
+    gives the place where the pattern would start, and is a hit if the text's
+    first occurrence of the pattern is there.  Both passes filter grams where
+    the text is read, by a broadcast table of the patterns' grams, so only
+    counts and hits are ever shuffled: a pattern all of whose grams are
+    frequent costs a comparison for each place of the rarest, not a shuffled
+    candidate.  The patterns are dealt into blocks by hash, so that the grams of
+    one block, counted beforehand, are ``block`` or so.
 
-    Null and empty patterns match nothing, null texts neither.  Texts and
-    patterns that repeat come out once: callers join their own rows back.
+    Null and empty patterns match nothing, null texts neither.
     """
-    pats = (patterns.select(F.col(pattern_col).alias("pattern"))
-            .filter(F.length("pattern") > 0).distinct())
-    keys = F.when(F.length("pattern") < GRAM, F.array("pattern")).otherwise(F.array_distinct(_grams(F.col("pattern"), GRAM)))
-    exploded = pats.select("pattern", F.explode(keys).alias("gram"))
-    shared = exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    index = (exploded.join(shared, "gram").groupBy("pattern")
-             .agg(F.min(F.struct("n", "gram")).alias("k")).select(F.col("k.gram").alias("gram"), "pattern"))
-
-    body = F.col(text_col)
-    docs = (texts.filter(body.isNotNull()).select(F.sha2(body, 256).alias("tid"), body.alias("body"))
-            .groupBy("tid").agg(F.first("body").alias("body")))
-    sizes = F.concat(*[_grams(F.col("body"), k) for k in range(1, GRAM + 1)])
-    hits = (docs.select("tid", F.explode(F.array_distinct(sizes)).alias("gram"))
-            .join(index, "gram").select("tid", "pattern"))
-    return (docs.join(hits, "tid").filter(F.col("body").contains(F.col("pattern")))
-            .select(F.col("body").alias(text_col), F.col("pattern").alias(pattern_col)))
+    pats = patterns.select(F.col(pattern_col).alias("__p")).filter(F.length("__p") > 0).distinct()
+    pats = checkpointed(pats.withColumn("__size", F.least(F.length("__p"), F.lit(gram))))
+    sizes = pats.groupBy("__size").agg(F.sum(F.length("__p") - F.col("__size") + 1).alias("grams")).collect()  # ``gram`` rows at most
+    found = None
+    for size, grams in sorted((r["__size"], r["grams"]) for r in sizes):
+        blocks = -(-grams // block)
+        for i in range(blocks):
+            own = pats.filter((F.col("__size") == size) & (F.pmod(F.xxhash64("__p"), F.lit(blocks)) == i)).drop("__size")
+            keys = _places(own, "__p", size).withColumnsRenamed({"__at": "__from", "__code": "__want"})
+            counts = (_places(texts.select(text_col), text_col, size)
+                      .join(F.broadcast(keys.select("__gram").distinct()), "__gram")
+                      .groupBy("__gram").agg(F.count(F.lit(1)).alias("__n")))
+            rare = keys.join(counts, "__gram", "left").groupBy("__p").agg(
+                F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__gram", "__from", "__want")).alias("__k"))
+            index = rare.filter(F.col("__k.n") > 0).select("__p", "__k.*").drop("n")
+            here = _places(texts, text_col, size).join(F.broadcast(index), "__gram")
+            here = here.withColumn("__start", F.col("__at") - F.col("__from")).filter(F.col("__start") >= 0)
+            same = _code("__start", F.length("__p")) == F.col("__want")
+            first = F.instr(F.col(text_col), F.col("__p")) == F.col("__start") + 1
+            hits = here.filter(F.when(same, first).otherwise(False))
+            hits = hits.select(*texts.columns, F.col("__p").alias(pattern_col))
+            found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        found = texts.select("*", F.lit(None).cast("string").alias(pattern_col)).filter(F.lit(False))
+    return found
+
+
+def contains_pairs(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_col: str) -> DataFrame:
+    """Distinct (text, pattern) with the text containing the pattern, under the
+    two given names (see :func:`pattern_hits`)."""
+    return pattern_hits(texts.select(text_col), patterns, text_col, pattern_col).distinct()

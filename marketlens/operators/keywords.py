@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import dround, intent_label, score_gate, with_parsed_numbers
 from ..session import checkpointed
-from .joins import contains_pairs
+from .joins import pattern_hits
+from .similarity import top_k_similar
 
 METRICS = ("volume", "kd", "cpc", "intent")
 
@@ -146,11 +147,11 @@ def related_keywords(seeds: DataFrame, universe: DataFrame, per_seed: int = 20,
     """Related-keyword discovery (J-10): for every seed, keywords of its own
     client (``by``) that contain the lower-cased seed and differ from it, top
     ``per_seed`` by volume descending then keyword.  Keywords meet seeds by
-    grams (see :func:`contains_pairs`), at any number of seeds.
+    the seeds' rarest grams (see :func:`pattern_hits`), at any number of seeds.
     """
     s = seeds.select(*by, "seed_seq", F.lower("seed").alias("seed"))
-    pairs = contains_pairs(universe, s, "keyword", "seed").filter(F.col("keyword") != F.col("seed"))
-    j = universe.join(pairs, "keyword").join(s, [*by, "seed"])
+    hits = pattern_hits(universe.select(*by, "keyword", "volume"), s, "keyword", "seed")
+    j = hits.filter(F.col("keyword") != F.col("seed")).join(s, [*by, "seed"])
     w = W.partitionBy(*by, "seed_seq").orderBy(F.desc("volume"), "keyword")
     return (j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= per_seed)
             .select(*by, "seed_seq", "seed", "rank", "keyword", "volume"))
@@ -180,6 +181,16 @@ def organic_competitors(domain_kw: DataFrame, targets: DataFrame, by=("client_id
                       F.row_number().over(w).alias("rank"))
 
 
+def top_organic_competitors(domain_kw: DataFrame, targets: DataFrame, k: int = 10, by=("client_id",)) -> DataFrame:
+    """The ``k`` organic competitors most similar to each target (J-11): Jaccard
+    similarity of the keyword sets descending, then domain.  ``targets``: (by...,
+    target); a domain that several clients target is searched for once.  Exact,
+    without the pairs that can't be among the first (see :func:`top_k_similar`)."""
+    best = top_k_similar(domain_kw.select(F.col("domain").alias("set_id"), F.col("keyword").alias("item")), targets.select("target"), k)
+    best = best.select("target", F.col("set_id").alias("domain"), "shared", dround("score", 6).alias("score"), "rank")
+    return targets.select(*by, "target").join(best, "target").select(*by, "target", "domain", "shared", "score", "rank")
+
+
 def top_keywords_by_traffic(facts: DataFrame, k: int = 10, by=("domain",)) -> DataFrame:
     """Top-k keywords per domain by traffic = sum of quantity (K-13).
 

@@ -8,6 +8,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import dround, parse_cpc, parse_volume_legacy
+from ..session import checkpointed
+from .quantiles import upper_median
 
 
 def top_paid_keywords(paid: DataFrame, n: int = 10, by=("domain",)) -> DataFrame:
@@ -53,13 +55,24 @@ def industry_averages(pool: DataFrame, n_keywords: DataFrame, n_competitors: Dat
     ``percentile_disc(0.5)`` over descending order), average volume and the
     analysed counts; NULL statistics when the pool is empty.  With ``by`` one
     row per client that has a keyword or a competitor, the two counts being
-    keyed in the same way; without, each count is a table of one row.  One
-    aggregation (partial + final); the median keeps a map of distinct
-    values, so it scales with the number of distinct CPCs."""
-    stats = pool.groupBy(*by).agg(
-        F.avg("cpc").alias("avg_cpc"), F.min("cpc").alias("min_cpc"), F.max("cpc").alias("max_cpc"),
-        F.expr("percentile_disc(0.5) within group (order by cpc desc)").alias("median_cpc"),
-        F.avg("volume").alias("avg_volume"))
+    keyed in the same way; without, each count is a table of one row.  The pool
+    is counted by distinct CPC once (partial + final), and everything comes
+    from that table; the median by counting passes over value ranges, so that a
+    client with a third of all CPCs, all of them different, takes no more
+    memory than any other (see :func:`upper_median`)."""
+    counts = checkpointed(pool.groupBy(*by, "cpc").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"), F.count("volume").alias("volumes")))
+    priced = F.when(F.col("cpc").isNotNull(), F.col("n"))
+    stats = counts.groupBy(*by).agg(
+        F.try_divide(F.sum(F.col("cpc") * F.col("n")), F.sum(priced)).alias("avg_cpc"),
+        F.min("cpc").alias("min_cpc"), F.max("cpc").alias("max_cpc"),
+        F.try_divide(F.sum("volume"), F.sum("volumes")).alias("avg_volume"))
+    median = upper_median(counts, by, "cpc", "n", "median_cpc")
+    if by:
+        same = [stats[c].eqNullSafe(median[c]) for c in by]
+        stats = stats.join(median, same, "left").select(*[stats[c] for c in stats.columns], "median_cpc")
+    else:  # one row, or none where no CPC is known
+        stats = stats.join(median, F.lit(True), "left")
     rows = stats.select(*by, dround("avg_cpc", 6).alias("avg_cpc"), "min_cpc", "max_cpc", "median_cpc",
                         dround("avg_volume", 6).alias("avg_volume"))
     if not by:  # one row each

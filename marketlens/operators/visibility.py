@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import dround
 from ..functions.text import TRIGGER_LIKELIHOOD, trigger_category, with_lowered
-from .joins import contains_pairs
+from .joins import pattern_hits
 
 # --------------------------------------------------------------------------
 # Prompt templates of the source tool, per category in its
@@ -193,17 +193,15 @@ def brand_mentions(conversations: DataFrame, brands: DataFrame, by=("client_id",
     text contains the lower-cased brand, total occurrences, share of voice
     among the client's brands, and prompts tracked (user turns).
 
-    Equal answers are counted together and brands are tested once whatever
-    the number of clients that name them; texts meet brands by grams (see
-    :func:`contains_pairs`), never in a nested loop.
+    Brands are tested once whatever the number of clients that name them;
+    answers meet brands where the answer is read (see :func:`pattern_hits`),
+    and one partial count a brand and task is shuffled.
     """
-    answers = (conversations.filter(F.col("role") == "assistant").groupBy(F.lower("text").alias("__lt"))
-               .agg(F.count(F.lit(1)).alias("__n")))
+    answers = conversations.filter(F.col("role") == "assistant").select(F.lower("text").alias("__lt"))
     b = brands.select(*by, "brand", F.lower("brand").alias("__lb")).filter(F.length("__lb") > 0)
-    hits = contains_pairs(answers, b, "__lt", "__lb").join(answers, "__lt")
+    hits = pattern_hits(answers, b, "__lt", "__lb")
     occ = (F.length("__lt") - F.length(F.replace(F.col("__lt"), F.col("__lb"), F.lit("")))) / F.length("__lb")
-    agg = hits.groupBy("__lb").agg(F.sum("__n").alias("answers_mentioning"),
-                                   F.sum(occ.cast("long") * F.col("__n")).alias("mentions"))
+    agg = hits.groupBy("__lb").agg(F.count(F.lit(1)).alias("answers_mentioning"), F.sum(occ.cast("long")).alias("mentions"))
     full = b.join(agg, "__lb", "left").select(
         *by, "brand", F.coalesce("answers_mentioning", F.lit(0)).cast("long").alias("answers_mentioning"),
         F.coalesce("mentions", F.lit(0)).cast("long").alias("mentions"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import INTENT_CODES, INTENT_LABELS
 from ..operators import keywords as K
 from ..operators.ranking import grouped_row_number
-from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, views_then, with_views
+from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, ranked_kw_df, ranked_targets_df, views_then, with_views
 from ..sources.tables import Tables
 from .oracle_sql import dround_sql, parse_number_sql, q
 from .registry import register
@@ -212,6 +212,24 @@ def organic_competitors(spark, sf_dir):
     return K.organic_competitors(paid_kw_df(t, positions=False), clients_df(t).filter(F.col("seq") == 0))
 
 
+TOP_ORGANIC_COMPETITORS_SQL = views_then(f"""dk as (select distinct domain, keyword from ranked_kw_v),
+sizes as (select domain, count(*) as n from dk group by domain),
+pairs as (select t.target, d2.domain, count(*) as shared
+          from (select distinct target from ranked_targets_v) t join dk d1 on d1.domain = t.target join dk d2 on d1.keyword = d2.keyword
+          where d2.domain <> t.target group by 1, 2),
+scored as (select p.target, p.domain, p.shared, cast(p.shared as double) / cast(a.n + b.n - p.shared as double) as score
+           from pairs p join sizes a on a.domain = p.target join sizes b on b.domain = p.domain),
+ranked as (select *, cast(row_number() over (partition by target order by score desc, domain) as integer) as rank from scored)
+select t.client_id, r.target, r.domain, r.shared, {dround_sql('r.score', 6)} as score, r.rank
+from ranked r join ranked_targets_v t on t.target = r.target where r.rank <= 10""", "ranked_kw_v", "ranked_targets_v")
+
+
+@register("top_organic_competitors", "J-11", TOP_ORGANIC_COMPETITORS_SQL)
+def top_organic_competitors(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return K.top_organic_competitors(ranked_kw_df(t), ranked_targets_df(t), k=10)
+
+
 def organic_facts(t):
     li = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity")
     p = t.part.select("p_partkey", "p_name")

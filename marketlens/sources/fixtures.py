@@ -253,6 +253,56 @@ select n.n_name as client_id,
 from supplier s join nation n on s.s_nationkey=n.n_nationkey"""
 
 
+# --------------------------------------------------------------------------
+# ranked_kw_v: the keywords that domains rank for, with similarities from 0 to 1.
+# A shop per nation and market segment ranks for what its customers ordered; its
+# mirrors hold all of that, nine tenths, half and a tenth; every site ranks for
+# one common keyword, and each nation has a site that shares no other one.
+# --------------------------------------------------------------------------
+def ranked_kw_df(t: Tables) -> DataFrame:
+    o = t.orders.select("o_orderkey", "o_custkey")
+    c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    li = t.lineitem.select("l_orderkey", "l_partkey")
+    sold = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+            .select(F.col("c_nationkey").alias("nation"), F.lower("c_mktsegment").alias("segment"), F.col("l_partkey").alias("part")).distinct())
+    kinds = F.array(F.lit("shop"), F.lit("copy"), F.when(F.col("part") % 10 != 0, F.lit("mirror")),
+                    F.when(F.col("part") % 2 == 0, F.lit("outlet")), F.when(F.col("part") % 10 == 3, F.lit("blog")))
+    rows = sold.select("nation", "segment", "part", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("kind"))
+    rows = rows.select(F.concat_ws("-", "kind", "segment", "nation").alias("domain"),
+                       F.concat(F.lit("keyword "), F.col("part").cast("string")).alias("keyword"))
+    alone = t.nation.select(F.concat(F.lit("alone-"), F.col("n_nationkey").cast("string")).alias("domain"),
+                            F.concat(F.lit("only "), "n_name").alias("keyword"))
+    every = rows.unionByName(alone)
+    return every.unionByName(every.select("domain").distinct().filter(~F.col("domain").startswith("alone-7"))
+                             .withColumn("keyword", F.lit("buy online")))
+
+
+def ranked_targets_df(t: Tables) -> DataFrame:
+    """(client_id, target): the building shop of each nation, and its lone site."""
+    kinds = F.explode(F.array(F.lit("shop-building-"), F.lit("alone-"))).alias("kind")
+    return t.nation.select(F.col("n_name").alias("client_id"), "n_nationkey", kinds).select(
+        "client_id", F.concat("kind", F.col("n_nationkey").cast("string")).alias("target"))
+
+
+RANKED_KW_SQL = """
+with sold as (
+  select distinct c_nationkey as nation, lower(c_mktsegment) as segment, l_partkey as part
+  from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey),
+every as (
+  select 'shop-' || segment || '-' || nation as domain, 'keyword ' || part as keyword from sold
+  union all select 'copy-' || segment || '-' || nation, 'keyword ' || part from sold
+  union all select 'mirror-' || segment || '-' || nation, 'keyword ' || part from sold where part % 10 <> 0
+  union all select 'outlet-' || segment || '-' || nation, 'keyword ' || part from sold where part % 2 = 0
+  union all select 'blog-' || segment || '-' || nation, 'keyword ' || part from sold where part % 10 = 3
+  union all select 'alone-' || n_nationkey, 'only ' || n_name from nation)
+select domain, keyword from every
+union all select distinct domain, 'buy online' from every where not starts_with(domain, 'alone-7')"""
+
+RANKED_TARGETS_SQL = """
+select n_name as client_id, kind || n_nationkey as target
+from nation cross join (select unnest(['shop-building-', 'alone-']) as kind)"""
+
+
 # --------------------------------------------------------------------------
 # brands_v: the brands that a client follows: those of its suppliers, and the
 # first word of four letters of each user turn (the names that users bring up)
@@ -346,6 +396,8 @@ VIEW_SQL = {
     "links_v": LINKS_SQL,
     "clients_v": CLIENTS_SQL,
     "brands_v": BRANDS_SQL,
+    "ranked_kw_v": RANKED_KW_SQL,
+    "ranked_targets_v": RANKED_TARGETS_SQL,
     "raw_rows_v": RAW_ROWS_SQL,
     "raw_cards_v": RAW_CARDS_SQL,
 }
