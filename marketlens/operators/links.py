@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import urls as U
 from ..functions.numbers import py_strip
 from .keywords import first_competitors
 
@@ -68,6 +69,42 @@ def extract_links(pages: DataFrame) -> DataFrame:
     )
 
 
+def resolve_links(pages: DataFrame) -> DataFrame:
+    """L-01 with full resolution: one row per anchor element in page order.
+
+    An element starts at ``<a`` with attributes (without, it is no link) and ends at ``</a>``, at the next ``<a`` or at
+    the end of the page, so an unclosed anchor doesn't swallow the next one;
+    ``>`` in a quoted attribute doesn't end the tag.  Character references in
+    ``href`` are decoded, and it is resolved (RFC 3986: dot segments, queries,
+    ``//host``) against the first ``<base href>``, itself resolved against
+    the page's URL.  ``scheme`` is that of the target, or of the reference
+    where it is no web address (``mailto``), or '' without ``href``; such links
+    have no target.  Null pages give no rows.  One narrow pass, no UDF.
+    """
+    tag_re = r"""(?s)^((?:[^>"']|"[^"]*"|'[^']*')*)>"""
+    base_tag = F.regexp_extract("html", r"(?is)<base(\s[^>]*)>", 1)
+    p = pages.select("page_id", F.col("url").alias("src_url"), F.slice(F.split("html", r"(?i)<a(?=\s)"), 2, 1 << 30).alias("parts"),
+                     U.decode_entities(_attribute(base_tag, "href")).alias("base_href"))
+    p = p.withColumn("base", F.when(F.col("base_href") != "", U.resolve(F.col("src_url"), F.col("base_href"))))
+    el = p.select("page_id", "src_url", F.coalesce("base", "src_url").alias("base"),
+                  F.posexplode_outer("parts").alias("link_pos", "part")).filter(F.col("part").isNotNull())
+    el = el.withColumn("tag", F.regexp_extract("part", tag_re, 1))
+    rest = F.substring(F.col("part"), F.length("tag") + 2, F.length("part"))
+    el = el.select("page_id", "src_url", "base", "link_pos", "tag", F.regexp_extract(rest, r"(?is)^(.*?)(?:</a\s*>|\z)", 1).alias("inner"),
+                   F.when(F.col("tag").rlike(r"(?i)\shref\s*="), U.decode_entities(_attribute(F.col("tag"), "href"))).alias("href"))
+    el = el.withColumn("target_url", U.resolve(F.col("base"), F.col("href")))
+    target = F.col("target_url")
+    src = U.host(F.col("src_url"))
+    return el.select(
+        "page_id", "link_pos", src.alias("src_host"), "src_url", "href", "target_url",
+        F.coalesce(F.when(target.isNotNull(), U.scheme_of(target)), U.scheme_of(F.col("href")), F.lit("")).alias("scheme"),
+        U.host(target).alias("target_host"), U.path_of(target).alias("target_path"),
+        py_strip(F.regexp_replace("inner", r"<[^>]*>", "")).alias("anchor"),
+        F.lower(_attribute(F.col("tag"), "rel")).contains("nofollow").alias("nofollow"),
+        F.lower("inner").contains("<img").alias("has_img"),
+        F.coalesce(U.host(target) != src, F.lit(False)).alias("external"))
+
+
 def normalise_link_facts(links: DataFrame) -> DataFrame:
     """Uniform link facts from the synthetic ``links_v`` shape."""
     return links.select("src_host", "target_host", "target_path", "anchor",
@@ -75,19 +112,24 @@ def normalise_link_facts(links: DataFrame) -> DataFrame:
                         "has_img")
 
 
-def _external(links: DataFrame, include_internal: bool) -> DataFrame:
-    return links if include_internal else links.filter(F.col("src_host") != F.col("target_host"))
+def _external(links: DataFrame, include_internal: bool, suffixes: DataFrame | None = None) -> DataFrame:
+    """The links that count, with __domain: the registered domain of the source
+    by the public-suffix rules given, else its last two labels."""
+    l = links if include_internal else links.filter(F.col("src_host") != F.col("target_host"))
+    if suffixes is None:
+        return l.withColumn("__domain", registered_domain("src_host"))
+    return U.with_registered_domain(l, "src_host", suffixes, "__domain")
 
 
-def backlink_overview(links: DataFrame, include_internal: bool = False) -> DataFrame:
+def backlink_overview(links: DataFrame, include_internal: bool = False, suffixes: DataFrame | None = None) -> DataFrame:
     """A-11 / C-08: per target host: total links, referring domains,
     referring hosts (stand-in for IPs), follow / nofollow, text / image.
     One grouped aggregation with partial aggregation; distinct counts are
     exact (``approx_count_distinct`` is the drop-in at very large scale)."""
-    l = _external(links, include_internal).filter(F.col("target_host").isNotNull())
+    l = _external(links.filter(F.col("target_host").isNotNull()), include_internal, suffixes)
     return l.groupBy("target_host").agg(
         F.count(F.lit(1)).alias("total_backlinks"),
-        F.count_distinct(registered_domain("src_host")).alias("referring_domains"),
+        F.count_distinct("__domain").alias("referring_domains"),
         F.count_distinct("src_host").alias("referring_hosts"),
         F.count_if(~F.col("nofollow")).alias("follow_links"),
         F.count_if(F.col("nofollow")).alias("nofollow_links"),
@@ -100,28 +142,30 @@ def _top(df: DataFrame, order, k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def referring_domains(links: DataFrame, k: int = 50, include_internal: bool = False) -> DataFrame:
-    """A-12: links per referring domain, top k per target (links desc)."""
-    l = _external(links, include_internal).withColumn("ref_domain", registered_domain("src_host"))
+def referring_domains(links: DataFrame, k: int = 50, include_internal: bool = False, suffixes: DataFrame | None = None) -> DataFrame:
+    """A-12: links per referring domain, top k per target (links desc).  With
+    public-suffix rules (``suffixes``: (rule), see ``with_registered_domain``) a
+    host that is itself a suffix is counted under a null domain."""
+    l = _external(links, include_internal, suffixes).withColumn("ref_domain", F.col("__domain"))
     agg = l.groupBy("target_host", "ref_domain").agg(F.count(F.lit(1)).alias("backlinks"))
     return _top(agg, [F.desc("backlinks"), "ref_domain"], k)
 
 
-def anchors(links: DataFrame, k: int = 30, include_internal: bool = False) -> DataFrame:
+def anchors(links: DataFrame, k: int = 30, include_internal: bool = False, suffixes: DataFrame | None = None) -> DataFrame:
     """A-13: referring domains and links per anchor text, top k per target
     (referring domains desc, links desc, anchor)."""
-    l = _external(links, include_internal)
+    l = _external(links, include_internal, suffixes)
     agg = l.groupBy("target_host", "anchor").agg(
-        F.count_distinct(registered_domain("src_host")).alias("referring_domains"),
+        F.count_distinct("__domain").alias("referring_domains"),
         F.count(F.lit(1)).alias("backlinks"))
     return _top(agg, [F.desc("referring_domains"), F.desc("backlinks"), "anchor"], k)
 
 
-def top_pages(links: DataFrame, k: int = 30, include_internal: bool = False) -> DataFrame:
+def top_pages(links: DataFrame, k: int = 30, include_internal: bool = False, suffixes: DataFrame | None = None) -> DataFrame:
     """A-14: target pages by backlinks, top k per target host."""
-    l = _external(links, include_internal)
+    l = _external(links, include_internal, suffixes)
     agg = l.groupBy("target_host", "target_path").agg(
-        F.count_distinct(registered_domain("src_host")).alias("referring_domains"),
+        F.count_distinct("__domain").alias("referring_domains"),
         F.count(F.lit(1)).alias("backlinks"))
     return _top(agg, [F.desc("backlinks"), F.desc("referring_domains"), "target_path"], k)
 

@@ -222,6 +222,88 @@ select page_id*3+k as link_id, regexp_extract(url,'https?://([^/]+)',1) as src_h
 from pages cross join (select 1 as k union all select 2 union all select 3) x"""
 
 
+# --------------------------------------------------------------------------
+# linked_pages_v: stored pages with every kind of link: external, nofollow, image,
+# mailto, without target, unclosed, encoded, relative to the page or to a base
+# --------------------------------------------------------------------------
+# What a page says, in order; {n} is the page's number.
+LINKED_HTML = (
+    '<p><A HREF="https://Partner{n}.co.uk:8080/deals/../offers/./x?id={n}#top" rel="sponsored NoFollow">Offer {n}</A>',
+    "<a class=\"x>y\" href='/shop/../about'>About <b>us</b></a>",
+    '<a href="mailto:a{n}@example.com">Mail</a><a name="here">no target</a>',
+    '<a href=//cdn{n}.example.ck/i.png><IMG src="i.png"> </a>',
+    '<a href="sub/page{n}.html?a=1&amp;b=&#50;&#x33;">unclosed <a href="?q={n}">Query</a>',
+    '<a href="../../up">Up</a> <a href="">Self</a> <a href="#frag">Frag</a> <a href="javascript:void(0)">Run</a>',
+    '<a href="https://user@www.ck/a//b/">Odd</a> <a href="https://blog{n}.shop.co.uk">Plain</a></p>',
+)
+LINKED_BASES = ("", '<base href="/docs/guide/">', '<BASE target=_top href="https://mirror.example.org/m/{n}/">', "", "")
+
+
+def _numbered(texts) -> list[tuple[str, bool]]:
+    """The parts of the texts, and whether the page's number follows."""
+    split = [text.split("{n}") for text in texts]
+    return [(part, k + 1 < len(parts)) for parts in split for k, part in enumerate(parts)]
+
+
+def linked_pages_df(t: Tables) -> DataFrame:
+    n = F.col("page_id").cast("string")
+
+    def said(*texts):
+        out = []
+        for part, numbered in _numbered(texts):
+            out += [F.lit(part)] + ([n] if numbered else [])
+        return F.concat(*out)
+
+    base = F.lit("")
+    for k, text in enumerate(LINKED_BASES):
+        base = F.when(F.col("page_id") % len(LINKED_BASES) == k, said(text)).otherwise(base)
+    return t.pages.select("page_id", F.concat(F.lit("https://www.site"), (F.col("page_id") % 7).cast("string"), F.lit(".example.com/a/b/p"), n,
+                                              F.lit("?old=1")).alias("url"),
+                          F.concat(F.lit("<html><head>"), base, F.lit("</head><body>"), said(*LINKED_HTML), F.col("html")).alias("html"))
+
+
+def _linked_sql() -> str:
+    def said(*texts):
+        out = []
+        for part, numbered in _numbered(texts):
+            out += ["'" + part.replace("'", "''") + "'"] + (["page_id"] if numbered else [])
+        return " || ".join(out)
+
+    bases = " ".join(f"when page_id % {len(LINKED_BASES)} = {k} then {said(text)}" for k, text in enumerate(LINKED_BASES))
+    return f"""
+select page_id, 'https://www.site' || (page_id % 7) || '.example.com/a/b/p' || page_id || '?old=1' as url,
+       '<html><head>' || case {bases} end || '</head><body>' || {said(*LINKED_HTML)} || html as html
+from pages"""
+
+
+LINKED_PAGES_SQL = _linked_sql()
+
+
+# --------------------------------------------------------------------------
+# suffix_links_v: links_v from hosts under all kinds of public suffixes, and the
+# rules for them
+# --------------------------------------------------------------------------
+# Hosts by turns, {n} being a number; and rules of a suffix list.
+SUFFIX_HOSTS = ("a{n}.shop.co.uk", "www.shop.co.uk", "co.uk", "b{n}.c.ck", "c.ck", "x{n}.www.ck", "www.ck", "{n}.kobe.jp", "z.y{n}.kobe.jp",
+                "www.city.kobe.jp", "user{n}.github.io", "github.io", "10.0.0.{n}", "localhost", "Deep.A.B.Example.COM", "unlisted.tld{n}", "example.com.")
+SUFFIX_RULES = ("com", "uk", "co.uk", "*.ck", "!www.ck", "jp", "*.kobe.jp", "!city.kobe.jp", "io", "github.io")
+
+
+def suffix_links_df(t: Tables) -> DataFrame:
+    n = (F.col("link_id") % 23).cast("string")
+    hosts = F.array(*[F.concat(*[x for k, part in enumerate(h.split("{n}")) for x in ([n] if k else []) + [F.lit(part)]]) for h in SUFFIX_HOSTS])
+    return links_df(t).withColumn("src_host", F.get(hosts, (F.col("link_id") % len(SUFFIX_HOSTS)).cast("int")))
+
+
+def suffix_rules_df(t: Tables) -> DataFrame:
+    return t.spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string")
+
+
+SUFFIX_LINKS_SQL = f"""
+select * replace (replace({list(SUFFIX_HOSTS)!r}[link_id % {len(SUFFIX_HOSTS)} + 1], '{{n}}', cast(link_id % 23 as varchar)) as src_host) from links_v"""
+SUFFIX_RULES_SQL = f"select unnest({list(SUFFIX_RULES)!r}) as rule"
+
+
 # --------------------------------------------------------------------------
 # clients_v: one client per nation; its suppliers in key order are the
 # target (seq 0) and competitors (seq 1..); first five are 'primary'.
@@ -394,6 +476,9 @@ VIEW_SQL = {
     "paid_kw_v": PAID_KW_SQL,
     "scenario_v": SCENARIO_SQL,
     "links_v": LINKS_SQL,
+    "linked_pages_v": LINKED_PAGES_SQL,
+    "suffix_links_v": SUFFIX_LINKS_SQL,
+    "suffix_rules_v": SUFFIX_RULES_SQL,
     "clients_v": CLIENTS_SQL,
     "brands_v": BRANDS_SQL,
     "ranked_kw_v": RANKED_KW_SQL,
