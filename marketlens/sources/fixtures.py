@@ -469,6 +469,102 @@ from (select s_name as domain, cast(s_suppkey%6 as integer) as n, list_value(
       from supplier)"""
 
 
+# --------------------------------------------------------------------------
+# raw_pages_v: pages of every type with their elements; ref_rows_v: rows of
+# referring domains.  An element's text is a SQL expression of both engines over a
+# supplier's key, name and card values v1 ... v5; null means no such element.
+# --------------------------------------------------------------------------
+# Fixed values: (kind, name, text) in page order.
+_CARD_TEXTS = ("v1", "'  '", "v2", "v3 || '  '", "v4", "v5")
+PAGE_ELEMENTS = {
+    "keyword_overview": [
+        ("field", "volume", "case when s_suppkey % 3 = 0 then v2 when s_suppkey % 7 = 1 then '' end"),
+        ("field", "volume", "'999'"),
+        ("field", "keyword-overview-volume", "case when s_suppkey % 6 = 0 then '0' end"),
+        ("field", "keyword-difficulty", "case when s_suppkey % 8 = 4 then '130' end"),
+        ("field", "kd", "case when s_suppkey % 4 = 0 then '45%' end"),
+        ("field", "cpc", "case when s_suppkey % 5 = 0 then '$1.25' end"),
+        ("field", "keyword-overview-cpc", "case when s_suppkey % 10 = 0 then ' ' when s_suppkey % 9 = 0 then '$0.75' end"),
+        ("gauge", "", "case when s_suppkey % 2 = 0 then '130' end"),
+        ("gauge", "", "cast(s_suppkey % 100 as string) || '%'"),
+        ("intent", "", "case s_suppkey % 7 when 0 then 'xyz' when 1 then ' T ' when 2 then 'Commercial' when 3 then 'Informational' when 4 then 'one' end"),
+        ("intent", "", "case s_suppkey % 7 when 0 then 'navigational' when 2 then 'zzz' when 4 then 'C' when 5 then 'N' end"),
+    ] + [("card", "", x) for x in _CARD_TEXTS],
+    "keyword_lookup": [
+        ("card", "keyword-overview", "case when s_suppkey % 3 = 0 then v2 when s_suppkey % 3 = 1 then '' end"),
+        ("card", "report-card", "v1"), ("card", "report-card", "case when s_suppkey % 3 = 1 then ' ' || v3 end"),
+        ("card", "metric", "v4"), ("card", "metric", "''"), ("card", "metric", "v5"), ("card", "report-card", "v5")],
+    "backlink_overview": [
+        ("field", "authority-score", "case when s_suppkey % 2 = 0 then cast(s_suppkey % 101 as string) end"),
+        ("field", "backlinks", "case when s_suppkey % 3 = 0 then '0' when s_suppkey % 3 = 1 then '12,345' end"),
+        ("field", "referring-domains", "case when s_suppkey % 5 = 0 then '1.2K' end"),
+    ] + [("card", "", x) for x in reversed(_CARD_TEXTS)],
+    "ai_overview": [
+        ("platform", "", "case when s_suppkey % 2 = 0 then 'ChatGPT' end"), ("platform", "", "' X '"),
+        ("platform", "", "case when s_suppkey % 3 = 0 then ' Gemini ' end"), ("platform", "", "case when s_suppkey % 5 = 0 then '' end"),
+    ] + [("card", "", x) for x in _CARD_TEXTS],
+    "brand_performance": [("card", "", x) for x in _CARD_TEXTS * 3],
+    "growth_actions": [
+        ("action", "", "'Add FAQ pages for ' || s_name"), ("action", "", "'Fix'"), ("action", "", "case when s_suppkey % 2 = 0 then ' 12345 ' end"),
+        ("action", "", "case when s_suppkey % 3 = 0 then '123456' end"), ("card", "", "v1")],
+}
+REF_ROW_ELEMENTS = [
+    ("authority", "", "case when s_suppkey % 2 = 0 then '0' end"), ("authority", "", "cast(s_suppkey % 150 as string)"), ("authority", "", "'7'"),
+    ("backlinks", "", "case when s_suppkey % 3 = 0 then 'n/a' end"), ("backlinks", "", "v5")]
+
+
+def _values_of(t: Tables) -> DataFrame:
+    s = t.supplier.join(raw_cards_df(t), F.col("s_name") == F.col("domain")).join(
+        F.broadcast(t.nation.select("n_nationkey", F.col("n_name").alias("client_id"))), F.col("s_nationkey") == F.col("n_nationkey"))
+    return s.select("client_id", "s_suppkey", "s_name", *[F.get("values", k).alias(f"v{k + 1}") for k in range(5)])
+
+
+def _variant(elements) -> F.Column:
+    each = ", ".join(f"named_struct('kind', '{kind}', 'name', '{name}', 'text', {text}, 'parent', '')" for kind, name, text in elements)
+    return F.parse_json(F.to_json(F.expr(f"filter(array({each}), x -> x.text is not null)")))
+
+
+def raw_pages_df(t: Tables) -> DataFrame:
+    base = _values_of(t)
+    parts = [base.select("client_id", F.lit(kind).alias("page_type"), F.col("s_name").alias("subject"), _variant(elements).alias("elements"))
+             for kind, elements in PAGE_ELEMENTS.items()]
+    # a page that was not read as it should be
+    parts.append(base.filter("s_suppkey % 50 = 1").select("client_id", F.lit("ai_overview").alias("page_type"),
+                                                         F.concat("s_name", F.lit(" (error)")).alias("subject"),
+                                                         F.parse_json(F.lit('{"error": 403}')).alias("elements")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out
+
+
+def ref_rows_df(t: Tables) -> DataFrame:
+    cells = F.expr("""array(case when s_suppkey % 4 = 0 then '12' else '1\nline' end, case when s_suppkey % 5 > 0 then
+        'ref' || cast(s_suppkey as string) || '.example\nnew' else 'a.b' end, 'x.y.z')""")
+    cells = F.when(F.col("s_suppkey") % 11 == 0, F.slice(cells, 1, 1)).when(F.col("s_suppkey") % 13 == 0, F.slice(cells, 1, 2)).otherwise(cells)
+    return _values_of(t).select("client_id", F.col("s_name").alias("subject"), F.col("s_suppkey").alias("row_seq"), cells.alias("cells"),
+                                _variant(REF_ROW_ELEMENTS).alias("elements"))
+
+
+def _elements_sql(elements) -> str:
+    each = ", ".join(f"{{'kind': '{kind}', 'name': '{name}', 'text': {text}}}" for kind, name, text in elements)
+    return f"list_filter([{each}], lambda x: x.text is not null)"
+
+
+_VALUES_SQL = """(select n.n_name as client_id, s_suppkey, s_name, "values"[1] as v1, "values"[2] as v2, "values"[3] as v3, "values"[4] as v4,
+       "values"[5] as v5 from supplier join raw_cards_v on s_name = domain join nation n on s_nationkey = n.n_nationkey)"""
+RAW_PAGES_SQL = "\nunion all\n".join(
+    [f"select client_id, '{kind}' as page_type, s_name as subject, {_elements_sql(elements)} as elements from {_VALUES_SQL}"
+     for kind, elements in PAGE_ELEMENTS.items()]
+    + [f"select client_id, 'ai_overview', s_name || ' (error)', [] from {_VALUES_SQL} where s_suppkey % 50 = 1"])
+REF_ROWS_SQL = f"""
+select client_id, s_name as subject, s_suppkey as row_seq,
+       case when s_suppkey % 11 = 0 then c[1:1] when s_suppkey % 13 = 0 then c[1:2] else c end as cells, {_elements_sql(REF_ROW_ELEMENTS)} as elements
+from (select *, [case when s_suppkey % 4 = 0 then '12' else '1' || chr(10) || 'line' end,
+                 case when s_suppkey % 5 > 0 then 'ref' || cast(s_suppkey as varchar) || '.example' || chr(10) || 'new' else 'a.b' end, 'x.y.z'] as c
+      from {_VALUES_SQL})"""
+
+
 VIEW_SQL = {
     "reviews_v": REVIEWS_SQL,
     "keyword_obs_v": KEYWORD_OBS_SQL,
@@ -485,6 +581,8 @@ VIEW_SQL = {
     "ranked_targets_v": RANKED_TARGETS_SQL,
     "raw_rows_v": RAW_ROWS_SQL,
     "raw_cards_v": RAW_CARDS_SQL,
+    "raw_pages_v": RAW_PAGES_SQL,
+    "ref_rows_v": REF_ROWS_SQL,
 }
 
 
