@@ -71,6 +71,92 @@ def target_slices(roles: DataFrame, pages: DataFrame, anchors: DataFrame, ref_do
     return t.join(p.unionByName(a).unionByName(r), "target_host").withColumnRenamed("target_host", "domain")
 
 
+#: Keywords of one payload document; a client with more has several.
+PART_KEYWORDS = 20_000
+
+
+def keyword_payload(entries: DataFrame, competitors: DataFrame, by=("client_id",), part_keywords: int = PART_KEYWORDS,
+                    source: str = "marketlens", as_of: str | None = None, gap: DataFrame | None = None) -> DataFrame:
+    """S-06 / D-01: the keyword documents of every client: source, generated_at,
+    ``keywords`` (keyword -> {volume, kd, cpc, intent}), ``competitors`` (domain
+    -> {name, priority}, name defaulting to the domain, priority to
+    'secondary'; the last entry of a repeated domain) and, with ``gap``
+    (:func:`gap_slice`), ``keyword_gap``.
+
+    The maps are in order of key.  A document holds about ``part_keywords``
+    keywords: a client with more has several, numbered by ``part`` from 1 of
+    ``parts``, dealt by hash so that no task orders all of a client's keywords;
+    competitors and gap come with the first.  A client without keywords has one
+    document with an empty map.  ``entries``: (by..., keyword, volume, kd, cpc,
+    intent), one row per keyword; ``competitors``: (by..., seq, domain, name, priority).
+    """
+    stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    total = entries.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / part_keywords).cast("int").alias("parts"))
+    metrics = F.struct("volume", "kd", "cpc", "intent")
+    dealt = entries.join(total, list(by)).select(*by, (F.pmod(F.xxhash64("keyword"), F.col("parts")) + 1).cast("int").alias("part"),
+                                                 F.struct("keyword", metrics.alias("m")).alias("k"))
+    docs = dealt.groupBy(*by, "part").agg(F.map_from_entries(F.array_sort(F.collect_list("k"))).alias("keywords"))
+    last = competitors.filter(F.length("domain") > 0).groupBy(*by, "domain").agg(F.max_by(F.struct("name", "priority"), "seq").alias("c"))
+    rivals = last.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("domain", F.struct(
+        F.coalesce("c.name", "domain").alias("name"), F.coalesce("c.priority", F.lit("secondary")).alias("priority")))))).alias("competitors"))
+    none = F.from_json(F.lit("{}"), "map<string, struct<volume: double, kd: double, cpc: double, intent: string>>")
+    docs = docs.withColumn("__first", F.col("part") == 1)
+    out = docs.join(rivals.withColumn("__first", F.lit(True)), [*by, "__first"], "full")
+    columns = [F.coalesce("competitors", F.from_json(F.lit("{}"), "map<string, struct<name: string, priority: string>>")).alias("competitors")]
+    if gap is not None:
+        row = F.struct("rank", "keyword", "best_position", "n_competitors")
+        slices = gap.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("keyword_gap")).withColumn("__first", F.lit(True))
+        out = out.join(slices, [*by, "__first"], "full")
+        columns.append(F.coalesce("keyword_gap", F.array()).alias("keyword_gap"))
+    one = F.lit(1)
+    out = out.join(total, list(by), "left")
+    return out.select(*by, F.coalesce("part", one).alias("part"), F.coalesce("parts", one).alias("parts"), F.lit(source).alias("source"),
+                      stamp.alias("generated_at"), F.coalesce("keywords", none).alias("keywords"), *columns)
+
+
+def backlink_profiles(roles: DataFrame, overview: DataFrame, pages: DataFrame, anchors: DataFrame, ref_domains: DataFrame,
+                      by=("client_id",)) -> DataFrame:
+    """S-07: the full profile of every domain of a client, one row per (client,
+    domain): seq, overview, top_pages (the rows given, 30 of the source tool),
+    top_anchors and top_referring_domains, each in order of rank.  A domain
+    without backlinks has a null overview and empty lists."""
+    def ranked(df: DataFrame, name: str, *cols: str) -> DataFrame:
+        return df.groupBy("target_host").agg(F.array_sort(F.collect_list(F.struct("rank", *cols))).alias(name))
+
+    counters = [c for c in overview.columns if c != "target_host"]
+    out = roles.select(*by, "seq", "domain").join(
+        overview.select(F.col("target_host").alias("domain"), F.struct(*counters).alias("overview")), "domain", "left")
+    for part in (ranked(pages, "top_pages", "target_path", "referring_domains", "backlinks"),
+                 ranked(anchors, "top_anchors", "anchor", "referring_domains", "backlinks"),
+                 ranked(ref_domains, "top_referring_domains", "ref_domain", "backlinks")):
+        out = out.join(part.withColumnRenamed("target_host", "domain"), "domain", "left")
+    lists = ("top_pages", "top_anchors", "top_referring_domains")
+    return out.select(*by, "seq", "domain", "overview", *[F.coalesce(c, F.array()).alias(c) for c in lists])
+
+
+def backlink_payload(profiles: DataFrame, authority: str = "authority_score", by=("client_id",), as_of: str | None = None) -> DataFrame:
+    """D-02: one document per client from its profiles: target_domain ('' where
+    there is none), comparison (all profiles by authority descending, ties in
+    order of seq, counters defaulting to 0) and the target's first pages (20),
+    anchors (20) and referring domains (30).  As long as the client's list of
+    competitors and no longer."""
+    stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    o = F.col("overview")
+    whole = lambda c: F.coalesce(o.getField(c), F.lit(0)).cast("long").alias(c)
+    points = F.coalesce(o.getField(authority), F.lit(0)).cast("double")
+    entry = F.struct("domain", (F.col("seq") == 0).alias("is_target"), points.alias("authority_score"),
+                     *[whole(c) for c in ("total_backlinks", "referring_domains", "follow_links", "nofollow_links")])
+    target = F.col("seq") == 0
+    docs = profiles.groupBy(*by).agg(
+        F.coalesce(F.max(F.when(target, F.col("domain"))), F.lit("")).alias("target_domain"),
+        F.array_sort(F.collect_list(F.struct((-points).alias("order"), "seq", entry.alias("entry")))).alias("c"),
+        *[F.max_by(c, F.when(target, F.lit(1))).alias(c) for c in ("top_pages", "top_anchors", "top_referring_domains")])
+    cut = {"top_pages": TOP_PAGES, "top_anchors": TOP_ANCHORS, "top_referring_domains": TOP_REF_DOMAINS}
+    names = {"top_referring_domains": "target_referring_domains", "top_pages": "target_top_pages", "top_anchors": "target_top_anchors"}
+    return docs.select(*by, stamp.alias("generated_at"), "target_domain", F.col("c.entry").alias("comparison"),
+                       *[F.slice(F.coalesce(c, F.array()), 1, k).alias(names[c]) for c, k in cut.items()])
+
+
 DASHBOARD_KEYWORD_COLUMNS = ("keyword", "volume", "kd", "cpc", "intent")
 
 

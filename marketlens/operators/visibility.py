@@ -182,10 +182,19 @@ def build_prompts(targets: DataFrame, keywords: DataFrame, competitors: DataFram
     return allp.select(*by, "p.category", "p.cat_order", "item_seq", "p.tpl_order", "p.prompt")
 
 
-def prompt_counts(prompts: DataFrame, by=("client_id",)) -> DataFrame:
+def prompt_counts(prompts: DataFrame, by=("client_id",), clients: DataFrame | None = None) -> DataFrame:
     """A-10: prompts per category and the total (ROLLUP; category NULL on
-    the total rows, everything NULL on the grand total)."""
-    return prompts.rollup(*by, "category").agg(F.count(F.lit(1)).alias("n_prompts"))
+    the total rows, everything NULL on the grand total).  With ``clients`` (by...)
+    every client has a row for every category, 0 where it has no prompt, and
+    clients without any prompt are counted too."""
+    if clients is None:
+        return prompts.rollup(*by, "category").agg(F.count(F.lit(1)).alias("n_prompts"))
+    # the categories are few and fixed: each client row unfolds into them
+    names = list(dict.fromkeys(t[0] for t in PROMPT_TEMPLATES))
+    every = clients.select(*by).distinct().select(*by, F.explode(F.array(*[F.lit(c) for c in names])).alias("category"))
+    counts = prompts.groupBy(*by, "category").agg(F.count(F.lit(1)).alias("n"))
+    return (every.join(counts, [*by, "category"], "left").rollup(*by, "category")
+            .agg(F.sum(F.coalesce("n", F.lit(0))).alias("n_prompts")))
 
 
 def brand_mentions(conversations: DataFrame, brands: DataFrame, by=("client_id",)) -> DataFrame:

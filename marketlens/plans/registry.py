@@ -34,5 +34,5 @@ def register(name: str, ids: str, sql: str | None = None):
 def load_all() -> dict[str, Query]:
     # importing the modules fills REGISTRY
     from . import q_reviews, q_keywords, q_paid, q_projections, q_visibility, q_links, q_traffic  # noqa: F401
-    from . import q_cards, q_typing, q_dashboard  # noqa: F401
+    from . import q_cards, q_typing, q_dashboard, q_io  # noqa: F401
     return REGISTRY

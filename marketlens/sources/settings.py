@@ -42,11 +42,41 @@ DEFAULT_STORE_TYPES = ["store"]
 DEFAULT_SPEND, DEFAULT_AOV, DEFAULT_MONTHS = 5000.0, 100.0, 6
 
 
+def read_documents(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """JSON documents under ``path`` and the ones that can't be read: (documents
+    with the columns of ``schema``, rejected (file, document)).
+
+    One document a line (blank lines are none), or with ``multi_line`` one, or an
+    array of them, a file.  A document is rejected whole if it isn't a JSON object
+    or if any value doesn't fit its column's type; absent columns are null and
+    unknown ones are left out.  Rejected lines are kept as they stand.  Every
+    file is read as text and split as any text; an absent path raises.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    raw = spark.read.text(path, wholetext=multi_line).select("value", F.col("_metadata.file_path").alias("file"))
+    raw = raw.filter(F.length(F.trim("value")) > 0)
+    if multi_line:  # an object or an array; its documents one by one, as text again
+        many = F.from_json("value", "array<string>")
+        alone = F.ltrim("value").startswith("[")
+        raw = raw.select("file", F.explode_outer(F.when(alone, F.coalesce(many, F.array("value"))).otherwise(F.array("value"))).alias("value"))
+    checked = T.StructType([*schema.fields, T.StructField("__corrupt", T.StringType())])
+    read = raw.withColumn("d", F.from_json("value", checked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"}))
+    bad = F.col("d").isNull() | F.col("d.__corrupt").isNotNull() | ~F.coalesce(F.ltrim("value").startswith("{"), F.lit(False))
+    return (read.filter(~bad).select("d.*").drop("__corrupt"), read.filter(bad).select("file", F.col("value").alias("document")))
+
+
 def read_settings(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S-01: all client documents under ``path``, read with the explicit
     schema (no inference pass): JSON lines, or with ``multi_line`` one
-    document (or array of documents) per file."""
-    return spark.read.schema(SETTINGS_SCHEMA).option("multiLine", multi_line).json(path)
+    document (or array of documents) per file.  Documents that can't be read are
+    left out; :func:`rejected_settings` has them."""
+    return read_documents(spark, path, SETTINGS_SCHEMA, multi_line)[0]
+
+
+def rejected_settings(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """S-01: (file, document) of the client documents that can't be read."""
+    return read_documents(spark, path, SETTINGS_SCHEMA, multi_line)[1]
 
 
 def targets(settings: DataFrame) -> DataFrame:
