@@ -73,18 +73,28 @@ def read_reviews_checked(spark: SparkSession, json_path: str | None = None, csv_
         try:
             if fmt == "json":
                 return read_documents(spark, path, REVIEW_SCHEMA, multi_line)
-            read = (spark.read.schema(REVIEW_SCHEMA + ", __corrupt string").option("header", True).option("multiLine", quoted_lines)
-                    .option("escape", '"').option("columnNameOfCorruptRecord", "__corrupt").csv(path))
-            read = read.select("*", F.col("_metadata.file_path").alias("file"))
-            good = read.filter(F.col("__corrupt").isNull()).drop("__corrupt", "file")
-            # the reader refuses to give the record's text alone, so a column of the file is read with it
-            document = F.coalesce("__corrupt", F.col("review_seq").cast("string")).alias("document")
-            return good, read.filter(F.col("__corrupt").isNotNull()).select("file", document)
+            return _csv_records(spark, path, quoted_lines)
         except AnalysisException:
             continue
     return None
 
 
+def _csv_records(spark: SparkSession, path: str, quoted_lines: bool) -> tuple[DataFrame, DataFrame]:
+    """Read as text and cast here: the reader itself checks only the columns
+    that a query asks for, and a record must not come and go with them."""
+    typed = T.StructType.fromDDL(REVIEW_SCHEMA)
+    plain = T.StructType([T.StructField(f.name, T.StringType()) for f in typed] + [T.StructField("__corrupt", T.StringType())])
+    read = (spark.read.schema(plain).option("header", True).option("multiLine", quoted_lines).option("escape", '"')
+            .option("columnPruning", False).option("columnNameOfCorruptRecord", "__corrupt").csv(path))
+    bad = F.col("__corrupt").isNotNull()
+    for f in typed:
+        bad = bad | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+    read = read.select("*", F.col("_metadata.file_path").alias("file"), bad.alias("__bad"))
+    good = read.filter(~F.col("__bad")).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in typed])
+    document = F.coalesce("__corrupt", F.to_csv(F.struct(*typed.names))).alias("document")
+    return good, read.filter("__bad").select("file", document)
+
+
 # ---- domain sinks ----------------------------------------------------------
 def save_keywords(ranked: DataFrame, out_dir: str, competitors: DataFrame | None = None) -> list[str]:
     """S-06: keyword records as JSON lines, the ranked CSV (Keyword, Volume,
