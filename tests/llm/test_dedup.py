@@ -81,28 +81,85 @@ def test_covered_starts_are_distinct(spark):
     assert sorted(r.n_removed for r in substring.digest(df).collect()) == [0] + [60] * 5
 
 
-def test_lines(spark):
-    texts = ["a\nb\nc\nd", "x\na\nb\nc\ny", "a\nb\nc\nd", "p\n\np\np\np", "q", None, "", "a\r\nb\nc"]
-    seen, expect = {}, {}
-    for i, t in enumerate(texts):
+def repeated_lines(rows, chars):
+    """(id, text) -> per row (lines, removed, kept), from the definition: minimal
+    windows, their first places, and the loose lines beside them."""
+    docs_, seen = [], {}
+    for k, (i, t) in enumerate(rows):
         w = [x for x in (t or "").split("\n") if x]
+        windows = []
+        for a in range(len(w)):
+            b = next((b for b in range(a, len(w)) if sum(map(len, w[a:b + 1])) >= chars), None)
+            if b is not None:
+                windows.append((a, b))
+        windows = [x for n, x in enumerate(windows) if n + 1 == len(windows) or windows[n + 1][1] > x[1]]
+        prints = []
+        for n, (a, b) in enumerate(windows):
+            left = w[windows[n - 1][1] + 1 if n else 0:a][::-1]
+            right = w[b + 1:windows[n + 1][0] if n + 1 < len(windows) else len(w)]
+            prints.append((a, b, left, right))
+        docs_.append((i, t, w, prints))
+    for i, t, w, prints in sorted(docs_, key=lambda d: (d[0] is None, d[0] or 0)):
+        for a, b, left, right in prints:
+            seen.setdefault(tuple(w[a:b + 1]), ((i, t, a), left, right))
+    same = lambda x, y: next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+    out = []
+    for i, t, w, prints in docs_:
         gone = set()
-        for k in range(len(w) - 2):
-            if seen.setdefault(tuple(w[k:k + 3]), (i, k)) < (i, k):
-                gone |= set(range(k, k + 3))
-        expect[i] = (len(w), len(gone), "\n".join(x for p, x in enumerate(w) if p not in gone) if gone else t or "")
-    got = {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in linededup.remove_repeated_lines(docs(spark, texts)).collect()}
-    assert got == expect
-    assert got[3][1] == 3 and got[1][1] == 3
+        for a, b, left, right in prints:
+            place, left0, right0 = seen[tuple(w[a:b + 1])]
+            if place != (i, t, a):
+                gone |= set(range(a - same(left, left0), b + 1 + same(right, right0)))
+        out.append((i, len(w), len(gone), "\n".join(x for p, x in enumerate(w) if p not in gone) if gone else t or ""))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("chars", [1, 6, 20])
+def test_lines_brute_force(spark, chars):
+    rng = random.Random(chars)
+    pool = [rng.choice(["", "a", "bc", "Of.", "é", "line %d" % k, "a longer line number %d" % k, "ünïcödé %d" % k]) for k in range(60)]
+    texts = [None, "", "\n\n", "a\r\nb", "x" * 50, "a\n" * 3000]
+    for _ in range(150):
+        t = [rng.choice(pool) for _ in range(rng.randint(0, 25))]
+        if texts and rng.random() < 0.6:
+            other = (rng.choice(texts) or "").split("\n")
+            lo = rng.randrange(len(other))
+            t[len(t) // 2:len(t) // 2] = other[lo:lo + rng.randint(1, 8)][:40]
+        texts.append("\n".join(t))
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    rows = list(zip(ids, texts))
+    got = linededup.remove_repeated_lines(docs(spark, texts, ids).repartition(3), chars=chars)
+    assert sorted(((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in got.collect()), key=str) == repeated_lines(rows, chars)
+
+
+def test_single_lines_and_their_neighbours_go(spark):
+    line = "All rights are reserved by the author."
+    texts = [f"one\n{line}\nOf.\nmore", f"two\n{line}\nOf.\nless", f"one\n{line}", line, "one\nOf."]
+    got = {r.doc_id: (r.kept, [tuple(x) for x in r.removed]) for r in linededup.remove_repeated_lines(docs(spark, texts)).collect()}
+    assert got[1] == ("two\nless", [(1, 3)])  # the short line beside it stood there at the first place too
+    assert got[2] == ("", [(0, 2)]) and got[3] == ("", [(0, 1)])
+    assert got[4] == ("one\nOf.", [])  # short lines alone stay
+
+
+def test_runs_of_short_lines_go(spark):
+    short = [f"item {k}" for k in range(8)]
+    texts = ["\n".join(short), "head\n" + "\n\n".join(short[2:]) + "\ntail"]
+    got = {r.doc_id: r.kept for r in linededup.remove_repeated_lines(docs(spark, texts)).collect()}
+    assert got[0] == texts[0] and got[1] == "head\ntail"
 
 
 def test_lines_of_documents_that_share_an_id(spark):
     """Null ids, or one id, with different texts: the same run at the same line."""
+    line = "a line of more than twenty characters"
     for i in (None, 7):
-        rows = linededup.remove_repeated_lines(docs(spark, ["a\nb\nc\nd", "a\nb\nc\ne"], [i, i])).collect()
-        assert sorted(r.n_removed for r in rows) == [0, 3]
-    rows = linededup.remove_repeated_lines(docs(spark, ["a\nb\nc\nd"] * 2, [None, None])).collect()
+        rows = linededup.remove_repeated_lines(docs(spark, [f"{line}\nd", f"{line}\ne"], [i, i])).collect()
+        assert sorted(r.n_removed for r in rows) == [0, 1]
+    rows = linededup.remove_repeated_lines(docs(spark, [f"{line}\nd"] * 2, [None, None])).collect()
     assert [r.n_removed for r in rows] == [0, 0]  # one document
+    rows = linededup.remove_repeated_lines(docs(spark, [f"{line}\n{line}\nd"] * 2, [5, 5])).collect()
+    assert [r.n_removed for r in rows] == [1, 1]  # a repeat inside it
+    assert linededup.remove_repeated_lines(docs(spark, [])).collect() == []
 
 
 def test_exact_brute_force(spark):
