@@ -201,8 +201,11 @@ def train(labelled: DataFrame, per_language: int = SAMPLE) -> Model:
 def margins(model: Model, text: bytes) -> tuple[np.ndarray, int] | None:
     """(average bit margins, letters) of a text with a letter."""
     total = gram_counts(text)
-    if total is None:
-        return None
+    return None if total is None else margins_of(model, total)
+
+
+def margins_of(model: Model, total: np.ndarray) -> tuple[np.ndarray, int]:
+    """The same from the counts of a text's n-grams."""
     g = np.flatnonzero(total)
     return total[g] @ model.weights[g] / (UNIT * float(total.sum())), int(total[:GRAMS].sum())
 
@@ -253,7 +256,8 @@ def learned(df: DataFrame) -> Model:
     return train(labelled(df))
 
 
-#: A text of fewer letters may simply say too little to be rejected.
+#: Letters at which a text's own fit varies as much as the fits of texts do; from
+#: there a language's limit holds as it is.
 SURE = 200
 #: Log-likelihood per n-gram that a text may fall short of its language's median.
 SLACK = 1.25
@@ -266,7 +270,15 @@ NEAREST, MEASURED = 4, 300
 class Known:
     languages: list[str]
     logs: np.ndarray  # (languages, 3 * GRAMS) log-likelihoods, in millionths
-    limits: np.ndarray  # least fit of a text nearest to each language
+    medians: np.ndarray  # median fit of each language's documents
+    limits: np.ndarray  # least fit of a long text of each language
+
+    def accepts(self, lang: int, value: float, letters: int) -> bool:
+        """Whether a text of a language may fit so badly: a mean over few letters
+        varies more, so the shortfall allowed grows as the standard deviation."""
+        wider = np.sqrt((1 + SURE / min(letters, SURE)) / 2)
+        allowed = (self.medians[lang] - self.limits[lang]) * wider
+        return not value < self.medians[lang] - allowed
 
 
 def log_shares(share: np.ndarray) -> np.ndarray:
@@ -311,29 +323,34 @@ def known(df: DataFrame) -> Known:
 
     fits = map_slices(sample(docs, MEASURED), rows, "lang string, fit double").groupBy("lang").agg(
         F.expr("percentile(fit, array(0.05, 0.5))").alias("q"))
-    limits = {r["lang"]: min(r["q"][0], r["q"][1] - SLACK) for r in fits.collect()}
-    return Known(names, logs, np.array([limits.get(n, -np.inf) for n in names]))
+    found = {r["lang"]: r["q"] for r in fits.collect()}  # a row a language
+    return Known(names, logs, np.array([found[n][1] if n in found else 0.0 for n in names]),
+                 np.array([min(found[n][0], found[n][1] - SLACK) if n in found else -np.inf for n in names]))
 
 
-def accepted(df: DataFrame, model: Known, text_col: str = "text") -> DataFrame:
+def accepted(df: DataFrame, model: Known, codes: Model | None = None, text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, that the language stage keeps: not
-    those without a letter, nor those of at least ``SURE`` letters whose fit
-    is below the limit of the nearest language.  Without a learned language,
-    every row with a letter stays.  Nothing is shuffled."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    those without a letter, nor those that fit the language that the codewords
+    (``codes``; without them, the likelihood) tell worse than texts of their
+    length may.  Without a learned language, every row with a letter stays.
+    Nothing is shuffled."""
+    shared = df.sparkSession.sparkContext.broadcast((model, codes))
     keyed = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), whole_text(text_col))
     row = keyed.schema["row"].dataType.simpleString()
 
     def rows(part):
-        m, stays = shared.value, []
+        (m, code), stays = shared.value, []
+        at = {n: i for i, n in enumerate(m.languages)}
         data, off = raw(part.column("body"))
         for a, b in zip(off[:-1], off[1:], strict=True):
             total = gram_counts(data[a:b].tobytes())
             stay = total is not None
-            if stay and m.languages and int(total[:GRAMS].sum()) >= SURE:
+            if stay and m.languages:
                 g = np.flatnonzero(total)
                 near, value = fit(m.logs[:, g], total[g])
-                stay = value >= m.limits[near]
+                if code is not None and code.languages:
+                    near = at.get(decode(code, *margins_of(code, total))[0], near)
+                stay = m.accepts(near, value, int(total[:GRAMS].sum()))
             stays.append(bool(stay))
         return {"row": part.column("row").filter(pa.array(stays))} if any(stays) else None
 

@@ -14,7 +14,7 @@ from tests.llm.conftest import docs
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -74,6 +74,15 @@ def test_language_stage_rejects_what_fits_no_learned_language(spark, languages):
     assert len(clean - kept) <= 0.01 * len(clean)
 
 
+def test_language_limits_loosen_with_fewer_letters():
+    from marketlens.llm.langid import SURE, Known
+
+    model = Known(["a"], np.zeros((1, 1), np.int32), np.array([-7.0]), np.array([-8.25]))
+    least = [min(v for v in np.arange(-30, 0, 0.01) if model.accepts(0, v, n)) for n in (1, 10, 100, SURE, 10_000)]
+    assert least == sorted(least) and least[-1] == pytest.approx(-8.26, abs=0.02) and least[1] > -14  # ten strange letters are rejected
+    assert Known(["a"], np.zeros((1, 1), np.int32), np.zeros(1), np.array([-np.inf])).accepts(0, -99.0, 500)
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert rows and all(r.offset + r.length <= 4096 for r in rows)
