@@ -173,7 +173,11 @@ STEP = 64
 def train(labelled: DataFrame, per_language: int = SAMPLE) -> Model:
     """Fit on (id, lang, body) rows; see the module's bounds.  The driver gets
     one total for each language and the weights."""
-    table = stored(counted(labelled, per_language), "language-counts")
+    return train_counts(stored(counted(labelled, per_language), "language-counts"))
+
+
+def train_counts(table: DataFrame) -> Model:
+    """Fit on a stored table of ``counted``."""
     totals = {r["lang"]: r["n"] for r in table.groupBy("lang").agg(F.sum("share").alias("n")).collect()}
     names = sorted(totals)
     code = codewords(len(names))
@@ -294,14 +298,20 @@ def fit(logs: np.ndarray, n: np.ndarray) -> tuple[int, float]:
     return int(near[0]), float(logs[near].max(0) @ n) / (UNIT * float(n.sum()))
 
 
-def known(df: DataFrame) -> Known:
+def learned_and_known(df: DataFrame) -> tuple[Model, Known]:
+    """Both models of a table from one count of its sampled documents."""
+    table = stored(counted(labelled(df)), "language-counts")
+    return train_counts(table), known(df, table)
+
+
+def known(df: DataFrame, table: DataFrame | None = None) -> Known:
     """Absolute fit of the learned languages: unlike the score, a share among
     them, it tells a text that is in none of them however few they are.  A
     language's limit is ``SLACK`` below the median fit of labelled documents,
     or their 5% quantile if that is lower; each is measured without its own
     counts, so that few or varied documents give a low limit."""
     docs = labelled(df)
-    names, counts = dense(counted(docs).toArrow())
+    names, counts = dense((counted(docs) if table is None else table).toArrow())
     totals = counts.sum(1)
     logs = log_shares(counts / totals[:, None])
     shared = df.sparkSession.sparkContext.broadcast((names, counts, totals, logs))
