@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import INTENT_CODES, INTENT_LABELS
 from ..operators import keywords as K
-from ..operators.ranking import grouped_row_number
+from ..operators.ranking import value_row_number
 from ..sources.fixtures import clients_df, keyword_obs_df, paid_kw_df, ranked_kw_df, ranked_targets_df, views_then, with_views
 from ..sources.tables import Tables
 from .oracle_sql import dround_sql, parse_number_sql, q
@@ -120,8 +120,8 @@ select client_id, keyword, volume, kd, cpc, intent,
 @register("keyword_ranking", "K-05", KEYWORD_RANKING_SQL)
 def keyword_ranking(spark, sf_dir):
     m = _merged(Tables(spark, sf_dir))
-    ranked = grouped_row_number(m, list(CLIENT), [F.desc("volume"), F.asc("first_rank"), F.asc("first_seq")], "rank")
-    return ranked.select(*CLIENT, "keyword", "volume", "kd", "cpc", "intent", "rank")
+    ranked = value_row_number(m, list(CLIENT), "volume", ["first_rank"], "first_seq")
+    return ranked.select(*CLIENT, "keyword", "volume", "kd", "cpc", "intent", F.col("rank").cast("int").alias("rank"))
 
 
 def _roles(t):

@@ -1,5 +1,8 @@
 """Keyword merge / gap properties."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from marketlens.operators import keywords as K
@@ -111,3 +114,29 @@ def test_many_clients_equal_each_alone(spark):
             cols = alone.columns
             got = sorted(map(str, together.filter(F.col("client_id") == c).select(*cols).collect()))
             assert got and got == sorted(map(str, alone.collect()))
+
+
+@pytest.mark.parametrize("ranges,block", [(1, 4), (4, 16), (32, 1 << 20)])
+def test_value_row_number_is_the_plain_window(spark, ranges, block):
+    """Two values hold most of a group, values and group names are null, and
+    some groups are small; nothing is checkpointed."""
+    from pyspark.sql import Window as W
+    from pyspark.sql import functions as F
+
+    from marketlens.operators.ranking import value_row_number
+    rng = random.Random(7)
+    rows = []
+    for i in range(1500):
+        client = rng.choice(["a", "a", "a", "b", None]) if i != 3 else "single"
+        volume = rng.choice([0.0, 0.0, 0.0, 90.5, None, float(rng.randint(1, 400))])
+        rows.append((client, volume, rng.randint(1, 5), i))
+    rows += [("none", None, 1, 10_000), ("none", None, 1, 10_001)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "client_id string, volume double, first_rank int, first_seq long")
+    plain = F.row_number().over(W.partitionBy("client_id").orderBy(F.desc_nulls_last("volume"), "first_rank", "first_seq"))
+    want = {r.first_seq: r.n for r in df.withColumn("n", plain).collect()}
+    ranked = value_row_number(df, ["client_id"], "volume", ["first_rank"], "first_seq", ranges=ranges, block=block)
+    got = [(r.first_seq, r["rank"]) for r in ranked.collect()]
+    assert len(got) == len(rows) and dict(got) == want
+    assert ranked.columns == [*df.columns, "rank"]
+    assert value_row_number(df.limit(0), ["client_id"], "volume", ["first_rank"], "first_seq").count() == 0
