@@ -110,13 +110,20 @@ def paid_kw_df(t: Tables, positions: bool = True, max_position: int | None = Non
     for consumers that never read it; ``max_position=k`` keeps only the
     first k positions of every supplier, planned as a window group limit
     (partial top-k before the shuffle, so a hot supplier is never sorted
-    whole in one task)."""
+    whole in one task) over the line's own columns; names and page strings are
+    made for the lines that are left."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                            "l_extendedprice", "l_quantity", "l_discount")
     p = t.part.select("p_partkey", "p_name", "p_retailprice")
     s = t.supplier.select("s_suppkey", "s_name")
     if domains is not None:  # only these domains' lines are numbered
         s = s.join(domains.select(F.col("domain").alias("s_name")).distinct(), "s_name", "left_semi")
+    order = [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey")]
+    if max_position is not None and positions and not order_columns:
+        # the first k lines of a supplier's key hold the first k of its name
+        known = (li.join(s, li.l_suppkey == s.s_suppkey, "left_semi").join(p, li.l_partkey == p.p_partkey, "left_semi"))
+        of_key = F.row_number().over(W.partitionBy("l_suppkey").orderBy(*order))
+        li = known.withColumn("__n", of_key).filter(F.col("__n") <= max_position).drop("__n")
     j = li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
     # page position = rank of the line by price inside its supplier.  A
     # supplier may hold a large share of all lines, so all positions are
@@ -137,7 +144,6 @@ def paid_kw_df(t: Tables, positions: bool = True, max_position: int | None = Non
         return base.withColumn("minus_price", -F.col("l_extendedprice")).select(*cols, *PAID_ORDER)
     if not positions:
         return base.select(*cols)
-    order = [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey")]
     if max_position is not None:
         top = base.withColumn("position", F.row_number().over(W.partitionBy("domain").orderBy(*order)))
         return top.filter(F.col("position") <= max_position).select(
