@@ -37,22 +37,34 @@ def parse_metrics(obs: DataFrame) -> DataFrame:
 
 
 def cap_sources(obs: DataFrame, caps: dict, by=()) -> DataFrame:
-    """Per-source caps (K-04): ``caps = {source_rank: (max_groups, max_rows)}``.
+    """Per-source caps (K-04): ``caps = {source_rank: (max_groups, max_rows[, max_total])}``.
 
     Within a capped source only the first ``max_groups`` groups (seeds or
     competitor domains, in order of first appearance) are read, and at most
-    ``max_rows`` rows per group (page order = ``seq``).  Uncapped sources
-    pass through.  Both limits are the source tool's page/list sizes, counted
-    per client (``by``).
+    ``max_rows`` rows per group (page order = ``seq``); ``max_total`` limits
+    the rows of the whole source, for a source that is one page, like the gap
+    page.  None is no limit; uncapped sources pass through.  All limits are the
+    source tool's page/list sizes, counted per client (``by``).
     """
     group_first = obs.groupBy(*by, "source_rank", "domain").agg(F.min("seq").alias("g_first"))
     g_rank = group_first.withColumn(
         "g_rank", F.row_number().over(W.partitionBy(*by, "source_rank").orderBy("g_first", "domain")))
     j = obs.join(g_rank.select(*by, "source_rank", "domain", "g_rank"), [*by, "source_rank", "domain"])
     j = j.withColumn("r_rank", F.row_number().over(W.partitionBy(*by, "source_rank", "domain").orderBy("seq")))
+    paged = {src: cap[2] for src, cap in caps.items() if len(cap) > 2 and cap[2] is not None}
+    if paged:
+        # numbered over the sources that have such a limit; a hot one ships its first rows alone
+        one_page = F.col("source_rank").isin(*paged)
+        first = F.row_number().over(W.partitionBy(*by, "source_rank").orderBy("seq"))
+        most = max(paged.values())
+        page = j.filter(one_page).withColumn("t_rank", first).filter(F.col("t_rank") <= most)
+        within = F.lit(False)
+        for src, total in paged.items():
+            within = within | ((F.col("source_rank") == src) & (F.col("t_rank") <= total))
+        j = j.filter(~one_page | F.col("source_rank").isNull()).unionByName(page.filter(within).drop("t_rank"))
     keep = F.lit(False)
     capped = []
-    for src, (max_groups, max_rows) in caps.items():
+    for src, (max_groups, max_rows, *_) in caps.items():
         cond = F.col("source_rank") == src
         if max_groups is not None:
             cond = cond & (F.col("g_rank") <= max_groups)
@@ -97,14 +109,6 @@ def keyword_coverage(merged: DataFrame, by=()) -> DataFrame:
         F.count_if(F.col("intent") != "Unknown").alias("with_intent"))
 
 
-def rank_keywords(merged: DataFrame) -> DataFrame:
-    """K-05: volume descending, ties in dictionary order (stable sort).
-
-    A distributed range-partitioned sort, not a single-task global window;
-    the sink writes partitions in order."""
-    return merged.orderBy(F.desc("volume"), "first_rank", "first_seq")
-
-
 def first_competitors(roles: DataFrame, by=("client_id",), k: int | None = None) -> DataFrame:
     """The target (seq 0) and the first ``k`` competitors of each client in
     settings order (all for None), planned as a window group limit."""
@@ -116,12 +120,12 @@ def first_competitors(roles: DataFrame, by=("client_id",), k: int | None = None)
 
 
 def domain_keyword_gap(domain_kw: DataFrame, roles: DataFrame, by=("client_id",),
-                       max_competitors: int = 4) -> DataFrame:
+                       max_competitors: int | None = None) -> DataFrame:
     """Keyword gap of a target against its first competitors (J-08).
 
     ``roles``: (by..., seq, domain) with seq 0 = target, else competitors (the
-    first ``max_competitors`` given take part, whatever their seq: the tool
-    filters first and then takes four).
+    first ``max_competitors`` given take part, whatever their seq, all for
+    None: the tool filters first and then takes four).
     Universe = distinct keywords of these domains; ``missing`` = held by >= 1
     competitor and not the target, ``shared`` = target and >= 1 competitor,
     ``unique`` = target only (the three sets partition the universe).

@@ -50,6 +50,13 @@ def cpc_pool(top_paid: DataFrame, lookups: DataFrame, by=()) -> DataFrame:
     return comp.unionByName(look)
 
 
+def average_cpc(pool: DataFrame, by=()) -> DataFrame:
+    """(by..., avg_cpc): the mean CPC of A-06 alone, for a projection's
+    benchmark; one aggregation, without the counts and the median.  A client
+    without a known CPC has a null mean."""
+    return pool.groupBy(*by).agg(dround(F.avg("cpc"), 6).alias("avg_cpc"))
+
+
 def industry_averages(pool: DataFrame, n_keywords: DataFrame, n_competitors: DataFrame, by=()) -> DataFrame:
     """A-06: avg/min/max CPC, upper median (``sorted(x)[n // 2]`` ==
     ``percentile_disc(0.5)`` over descending order), average volume and the

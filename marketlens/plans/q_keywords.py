@@ -15,8 +15,8 @@ from .oracle_sql import dround_sql, parse_number_sql, q
 from .registry import register
 
 CLIENT = ("client_id",)
-# Source tool page sizes: (max groups, max rows per group) per source.
-SOURCE_CAPS = {2: (5, 20), 3: (3, 30), 4: (3, 20), 5: (None, 50)}
+# Source tool page sizes: (max groups, max rows per group, max rows) per source; the gap is one page.
+SOURCE_CAPS = {2: (5, 20, None), 3: (3, 30, None), 4: (3, 20, None), 5: (None, None, 50)}
 
 
 def _intent_sql(col: str) -> str:
@@ -74,18 +74,21 @@ def keyword_merge(spark, sf_dir):
 
 def _capped_src_sql() -> str:
     conds = []
-    for src, (g, r) in SOURCE_CAPS.items():
+    for src, (g, r, total) in SOURCE_CAPS.items():
         c = f"source_rank = {src}"
         if g is not None:
             c += f" and g_rank <= {g}"
         if r is not None:
             c += f" and r_rank <= {r}"
+        if total is not None:
+            c += f" and t_rank <= {total}"
         conds.append(f"({c})")
     caps = ", ".join(str(s) for s in SOURCE_CAPS)
     return f"""gf as (select client_id, source_rank, domain, min(seq) as g_first from keyword_obs_v group by 1, 2, 3),
 gr as (select client_id, source_rank, domain, row_number() over (partition by client_id, source_rank order by g_first, domain) as g_rank from gf),
 capped as (select o.* from (select o.*, gr.g_rank,
-             row_number() over (partition by o.client_id, o.source_rank, o.domain order by o.seq) as r_rank
+             row_number() over (partition by o.client_id, o.source_rank, o.domain order by o.seq) as r_rank,
+             row_number() over (partition by o.client_id, o.source_rank order by o.seq) as t_rank
            from keyword_obs_v o join gr on o.client_id = gr.client_id and o.source_rank = gr.source_rank and o.domain = gr.domain) o
            where {' or '.join(conds)} or source_rank not in ({caps}))"""
 

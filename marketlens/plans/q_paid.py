@@ -88,18 +88,27 @@ select * from averages""", "keyword_obs_v", "paid_kw_v", "clients_v")
 INDUSTRY_AVERAGES_SQL = _industry_averages_sql(None)
 
 
-def industry_averages_df(spark, sf_dir, max_keywords=None):
-    t = Tables(spark, sf_dir)
+def _pooled(t: Tables, max_keywords=None):
+    """The CPC pool, the lookups and the competitors of every client."""
     comps = (clients_df(t).filter((F.col("seq") > 0) & F.col("domain").isNotNull() & (F.col("domain") != ""))
              .select(*CLIENT, "domain").distinct())
     # only the first ten positions of each competitor are pooled (K-08)
     top = P.top_paid_keywords(paid_kw_df(t, max_position=10, domains=comps).join(comps, "domain"), n=10, by=(*CLIENT, "domain"))
     lookups = P.keyword_lookups(market_lookups_df(t), max_keywords, CLIENT)
-    pool = P.cpc_pool(top, lookups, CLIENT)
+    return P.cpc_pool(top, lookups, CLIENT), lookups, comps
+
+
+def industry_averages_df(spark, sf_dir, max_keywords=None):
+    pool, lookups, comps = _pooled(Tables(spark, sf_dir), max_keywords)
     return P.industry_averages(pool, lookups.groupBy(*CLIENT).agg(F.count(F.lit(1)).alias("total_keywords_analyzed")),
                                comps.groupBy(*CLIENT).agg(F.count(F.lit(1)).alias("total_competitors_analyzed")), CLIENT)
 
 
+def average_cpc_df(t: Tables):
+    """The one number of the industry averages that projections read."""
+    return P.average_cpc(_pooled(t)[0], CLIENT)
+
+
 @register("industry_averages", "A-06,U-02,X-02,X-03,K-10,C-05", INDUSTRY_AVERAGES_SQL)
 def industry_averages(spark, sf_dir):
     return industry_averages_df(spark, sf_dir)

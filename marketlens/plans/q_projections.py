@@ -6,7 +6,7 @@ from ..operators import projections as G
 from ..sources.fixtures import SCENARIO_SQL, scenario_df
 from ..sources.tables import Tables
 from .oracle_sql import dround_sql
-from .q_paid import INDUSTRY_AVERAGES_SQL, industry_averages_df
+from .q_paid import INDUSTRY_AVERAGES_SQL, average_cpc_df
 from .registry import register
 
 
@@ -58,8 +58,7 @@ PROJECTION_MONTHLY_SQL = _monthly_sql() + "\nselect * from monthly"
 
 def _monthly_df(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    bench = industry_averages_df(spark, sf_dir).select("client_id", "avg_cpc")
-    return G.monthly_projection(scenario_df(t), G.default_curves(spark), bench)
+    return G.monthly_projection(scenario_df(t), G.default_curves(spark), average_cpc_df(t))
 
 
 @register("projection_monthly", "G-01,G-02,G-03,J-01,J-02,X-21,S-05", PROJECTION_MONTHLY_SQL)

@@ -115,7 +115,7 @@ def paid_kw_df(t: Tables, positions: bool = True, max_position: int | None = Non
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                            "l_extendedprice", "l_quantity", "l_discount")
     p = t.part.select("p_partkey", "p_name", "p_retailprice")
-    s = t.supplier.select("s_suppkey", "s_name")
+    s = names = t.supplier.select("s_suppkey", "s_name")
     if domains is not None:  # only these domains' lines are numbered
         s = s.join(domains.select(F.col("domain").alias("s_name")).distinct(), "s_name", "left_semi")
     order = [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey")]
@@ -124,6 +124,7 @@ def paid_kw_df(t: Tables, positions: bool = True, max_position: int | None = Non
         known = (li.join(s, li.l_suppkey == s.s_suppkey, "left_semi").join(p, li.l_partkey == p.p_partkey, "left_semi"))
         of_key = F.row_number().over(W.partitionBy("l_suppkey").orderBy(*order))
         li = known.withColumn("__n", of_key).filter(F.col("__n") <= max_position).drop("__n")
+        s = names  # only wanted lines are left
     j = li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
     # page position = rank of the line by price inside its supplier.  A
     # supplier may hold a large share of all lines, so all positions are

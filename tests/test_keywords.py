@@ -140,3 +140,15 @@ def test_value_row_number_is_the_plain_window(spark, ranges, block):
     assert len(got) == len(rows) and dict(got) == want
     assert ranked.columns == [*df.columns, "rank"]
     assert value_row_number(df.limit(0), ["client_id"], "volume", ["first_rank"], "first_seq").count() == 0
+
+
+def test_gap_page_is_capped_per_client(spark):
+    """The gap is one page: its limit counts the rows of a client, not those of a domain."""
+    rows = [(c, s, 5, f"k{s}", f"d{s % 4}") for c in ("a", "b") for s in range(1, 13)] + [("a", 99, 1, "m", "d1")]
+    obs = spark.createDataFrame(rows, "client_id string, seq long, source_rank int, keyword string, domain string")
+    left = K.cap_sources(obs, {5: (None, None, 5)}, ("client_id",))
+    assert sorted((r.client_id, r.seq) for r in left.collect()) == sorted(
+        [(c, s) for c in ("a", "b") for s in range(1, 6)] + [("a", 99)])
+    assert left.columns == ["client_id", "source_rank", "domain", "seq", "keyword"]
+    per_domain = K.cap_sources(obs, {5: (None, 2, None)}, ("client_id",))
+    assert per_domain.filter("source_rank = 5").count() == 2 * 4 * 2
