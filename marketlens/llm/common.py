@@ -92,6 +92,29 @@ def map_slices(df: DataFrame, fn, schema: str, limit: int = SLICE_BYTES, slots=N
     return df.mapInArrow(run, schema)
 
 
+def sum_slices(df: DataFrame, start, schema: str, limit: int = SLICE_BYTES) -> DataFrame:
+    """mapInArrow over slices for sums of a task: ``start() -> (rows, rest)`` is
+    called once a task; ``rows(slice)`` yields dicts of columns where it must,
+    ``rest()`` returns what is left after the last slice (or None)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    target = to_arrow_schema(_struct(schema))
+
+    def run(batches):
+        for kept in MEMORIES.values():
+            kept.clear()
+        rows, rest = start()
+        for batch in batches:
+            for part in slices(batch, limit):
+                for out in rows(part):
+                    yield record(out, target)
+        if (out := rest()) is not None:
+            yield record(out, target)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
 #: What operators remember in a Python worker between tasks, by name.
 MEMORIES: dict[str, dict] = {}
 

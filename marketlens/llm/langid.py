@@ -7,10 +7,11 @@ n-gram, averaged over the text.  Decoding is loss-weighted: the language whose
 codeword has the least sum of logistic losses against all bit margins is
 nearest; a small gap to the second nearest flags the text as ambiguous.
 
-Training reads at most about ``SAMPLE`` documents of each language, picked by
-a hash of the id; every labelled language is learned.  The counts, languages x
-3 x ``GRAMS`` whatever the input size, become weights in Spark.  Weights and
-frequencies are integers, so equal texts get equal results in any partitioning.
+Training reads every labelled document, and every labelled language is learned.
+Each task adds up its documents, so the counts, languages x 3 x ``GRAMS``
+whatever the input size, are all that is shuffled; they become weights in Spark.
+Weights and frequencies are integers, so equal texts get equal results in any
+partitioning.
 
 Null text or a text without a letter: ``und``, score 0, ambiguous.  No learned
 language (empty or unlabelled training rows): ``und`` for all.  One learned
@@ -30,9 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import map_slices, raw, real_id, stored, text_key, whole_id, whole_text
+from .common import map_slices, raw, real_id, stored, sum_slices, text_key, whole_id, whole_text
 
-SAMPLE = 1500
 #: Hashed n-grams of each length.
 GRAMS = 1 << 13
 UNIT = 1_000_000
@@ -122,33 +122,44 @@ class Model:
     weights: np.ndarray  # (3 * GRAMS, bits), in millionths
 
 
-def sample(labelled: DataFrame, per_language: int = SAMPLE) -> DataFrame:
-    """(lang, body): about ``per_language`` rows of each language, by a hash of
-    the id against the language's share."""
-    part = labelled.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(per_language)) / F.count(F.lit(1))).alias("part"))
-    rows = labelled.join(F.broadcast(part), "lang")  # a row for each language
-    return rows.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(UNIT)) < F.col("part") * UNIT).select("lang", "body")
+#: Languages that a task adds up at once.
+HELD = 64
+
+
+def counted(labelled: DataFrame) -> DataFrame:
+    """(lang, gram, share) summed over all (id, lang, body) rows: at most
+    languages x 3 x GRAMS rows, and as many from a task that holds no more than
+    ``HELD`` languages."""
+    def start():
+        held = {}
+
+        def emptied():
+            grams = [np.flatnonzero(total) for total in held.values()]
+            out = {"lang": [n for n, g in zip(held, grams, strict=True) for _ in range(g.size)],
+                   "gram": np.concatenate(grams).astype(np.int32),
+                   "share": np.concatenate([total[g] for total, g in zip(held.values(), grams, strict=True)])}
+            held.clear()
+            return out
+
+        def rows(part):
+            data, off = raw(part.column("body"))
+            for name, a, b in zip(part.column("lang").to_pylist(), off[:-1], off[1:], strict=True):
+                total = gram_counts(data[a:b].tobytes())
+                if total is None:
+                    continue
+                if name not in held:
+                    if len(held) == HELD:
+                        yield emptied()
+                    held[name] = np.zeros(3 * GRAMS, np.int64)
+                g = np.flatnonzero(total)
+                held[name][g] += shares(total, g)
 
+        def rest():
+            return emptied() if held else None
 
-def counted(labelled: DataFrame, per_language: int = SAMPLE) -> DataFrame:
-    """(lang, gram, share) summed over the sampled (id, lang, body) rows: at
-    most languages x 3 x GRAMS rows."""
-    def rows(part):
-        lang, gram, share = [], [], []
-        data, off = raw(part.column("body"))
-        for name, a, b in zip(part.column("lang").to_pylist(), off[:-1], off[1:], strict=True):
-            total = gram_counts(data[a:b].tobytes())
-            if total is None:
-                continue
-            g = np.flatnonzero(total)
-            lang += [name] * g.size
-            gram.append(g)
-            share.append(shares(total, g))
-        if not lang:
-            return None
-        return {"lang": lang, "gram": np.concatenate(gram).astype(np.int32), "share": np.concatenate(share)}
-
-    found = map_slices(sample(labelled, per_language), rows, "lang string, gram int, share long")
+        return rows, rest
+
+    found = sum_slices(labelled.select("lang", "body"), start, "lang string, gram int, share long")
     return found.groupBy("lang", "gram").agg(F.sum("share").alias("share"))
 
 
@@ -170,10 +181,10 @@ def dense(table: pa.Table) -> tuple[list[str], np.ndarray]:
 STEP = 64
 
 
-def train(labelled: DataFrame, per_language: int = SAMPLE) -> Model:
+def train(labelled: DataFrame) -> Model:
     """Fit on (id, lang, body) rows; see the module's bounds.  The driver gets
     one total for each language and the weights."""
-    return train_counts(stored(counted(labelled, per_language), "language-counts"))
+    return train_counts(stored(counted(labelled), "language-counts"))
 
 
 def train_counts(table: DataFrame) -> Model:
@@ -265,9 +276,11 @@ def learned(df: DataFrame) -> Model:
 SURE = 200
 #: Log-likelihood per n-gram that a text may fall short of its language's median.
 SLACK = 1.25
-#: Learned languages that may share a text, and labelled documents of each that
-#: its limit is taken from.
-NEAREST, MEASURED = 4, 300
+#: Learned languages that may share a text.
+NEAREST = 4
+#: Steps a unit of fit that documents are counted by: quantiles come from a table
+#: whose size is that of the range of fits, however many documents there are.
+STEPS = 10_000
 
 
 @dataclass(frozen=True)
@@ -299,7 +312,7 @@ def fit(logs: np.ndarray, n: np.ndarray) -> tuple[int, float]:
 
 
 def learned_and_known(df: DataFrame) -> tuple[Model, Known]:
-    """Both models of a table from one count of its sampled documents."""
+    """Both models of a table from one count of its labelled documents."""
     table = stored(counted(labelled(df)), "language-counts")
     return train_counts(table), known(df, table)
 
@@ -307,9 +320,10 @@ def learned_and_known(df: DataFrame) -> tuple[Model, Known]:
 def known(df: DataFrame, table: DataFrame | None = None) -> Known:
     """Absolute fit of the learned languages: unlike the score, a share among
     them, it tells a text that is in none of them however few they are.  A
-    language's limit is ``SLACK`` below the median fit of labelled documents,
-    or their 5% quantile if that is lower; each is measured without its own
-    counts, so that few or varied documents give a low limit."""
+    language's limit is ``SLACK`` below the median fit of all its labelled
+    documents, or their 5% quantile if that is lower; each is measured without
+    its own counts, so that few or varied documents give a low limit.  Fits are
+    rounded to 1 / ``STEPS`` and counted, and the quantiles are those of the counts."""
     docs = labelled(df)
     names, counts = dense((counted(docs) if table is None else table).toArrow())
     totals = counts.sum(1)
@@ -328,12 +342,12 @@ def known(df: DataFrame, table: DataFrame | None = None) -> Known:
             own, some = shares(total, g), logs[:, g]
             some[i] = log_shares((counts[i, g] - own) / max(1.0, totals[i] - own.sum()))
             out["lang"].append(name)
-            out["fit"].append(fit(some, total[g])[1])
+            out["fit"].append(round(fit(some, total[g])[1] * STEPS))
         return out
 
-    fits = map_slices(sample(docs, MEASURED), rows, "lang string, fit double").groupBy("lang").agg(
-        F.expr("percentile(fit, array(0.05, 0.5))").alias("q"))
-    found = {r["lang"]: r["q"] for r in fits.collect()}  # a row a language
+    fits = map_slices(docs.select("lang", "body"), rows, "lang string, fit int").groupBy("lang", "fit").agg(F.count(F.lit(1)).alias("n"))
+    fits = fits.groupBy("lang").agg(F.expr("percentile(fit, array(0.05, 0.5), n)").alias("q"))
+    found = {r["lang"]: [v / STEPS for v in r["q"]] for r in fits.collect()}  # a row a language
     return Known(names, logs, np.array([found[n][1] if n in found else 0.0 for n in names]),
                  np.array([min(found[n][0], found[n][1] - SLACK) if n in found else -np.inf for n in names]))
 
