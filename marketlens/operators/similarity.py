@@ -15,6 +15,9 @@ THRESHOLDS = (0.6, 0.3, 0.0)
 #: An item is hot when more sets hold it than this, and than a thousandth of
 #: all memberships; so there are a thousand hot items at most.
 HOT_SETS, HOT_SHARE = 10_000, 1_000
+#: Up to so many sets and targets, all sets of an item stand in one row and are
+#: counted there; no item is hot then, and no filter saves more than it costs.
+FEW_SETS, FEW_TARGETS = 10_000, 64
 
 
 def hot_items(sizes: DataFrame, memberships: int, hot_sets: int = HOT_SETS) -> DataFrame:
@@ -36,8 +39,29 @@ def join_items(sets: DataFrame, asked: DataFrame, hot: DataFrame) -> DataFrame:
     return left.drop("salts").join(right.drop("salts"), ["item", "salt"]).drop("salt")
 
 
+def _ranked(sized: DataFrame) -> DataFrame:
+    """(target, set_id, shared, score, rank) of (target, set_id, n_target, n, shared)."""
+    score = F.col("shared").cast("double") / (F.col("n_target") + F.col("n") - F.col("shared")).cast("double")
+    order = W.partitionBy("target").orderBy(F.desc("score"), "set_id")
+    best = sized.select("target", "set_id", "shared", score.alias("score"))
+    return best.withColumn("rank", F.row_number().over(order))
+
+
+def _among_few(members: DataFrame, targets: DataFrame, k: int) -> DataFrame:
+    """``top_k_similar`` of few targets among few sets: the sets of each item are
+    brought together once, and the targets among them meet the others there;
+    what is shuffled after that is counts."""
+    by_item = checkpointed(members.groupBy("item").agg(F.collect_set("set_id").alias("sets")))
+    n_sets = by_item.select(F.explode("sets").alias("set_id")).groupBy("set_id").agg(F.count(F.lit(1)).alias("n"))
+    own = by_item.select("sets", F.explode("sets").alias("target")).join(F.broadcast(targets), "target")
+    met = (own.select("target", F.explode("sets").alias("set_id")).filter(F.col("set_id") != F.col("target"))
+           .groupBy("target", "set_id").agg(F.count(F.lit(1)).alias("shared")))
+    size_of = n_sets.select(F.col("set_id").alias("target"), F.col("n").alias("n_target"))
+    return _ranked(met.join(size_of, "target").join(n_sets, "set_id")).filter(F.col("rank") <= k)
+
+
 def top_k_similar(members: DataFrame, targets: DataFrame, k: int = 10, thresholds=THRESHOLDS,
-                  hot_sets: int = HOT_SETS) -> DataFrame:
+                  hot_sets: int = HOT_SETS, few_sets: int = FEW_SETS, few_targets: int = FEW_TARGETS) -> DataFrame:
     """(target, set_id, shared, score, rank): the ``k`` sets most similar to each
     target (score descending, then set_id), the target itself and sets that
     share nothing excluded; fewer rows where fewer sets share an item.
@@ -54,11 +78,17 @@ def top_k_similar(members: DataFrame, targets: DataFrame, k: int = 10, threshold
     meeting only the items after the last one's; a target that has k sets of
     similarity t is done, so the frequent items, last in the order, are met
     only for targets without k similar sets.  The result is exact.  Hot items
-    are salted; the driver sees a number a round.
+    are salted; the driver sees a number a round.  With ``few_sets`` sets and
+    ``few_targets`` targets at most, they are counted item by item instead.
     """
-    m = checkpointed(members.select("set_id", "item").filter(F.col("set_id").isNotNull() & F.col("item").isNotNull()).distinct())
-    n_sets = m.groupBy("set_id").agg(F.count(F.lit(1)).alias("n"))
+    m = members.select("set_id", "item").filter(F.col("set_id").isNotNull() & F.col("item").isNotNull())
     t = targets.select(F.col("target")).filter(F.col("target").isNotNull()).distinct()
+    if t.count() <= few_targets:
+        m = checkpointed(m)
+        if m.select("set_id").distinct().count() <= few_sets:
+            return _among_few(m, t, k)
+    m = checkpointed(m.distinct())
+    n_sets = m.groupBy("set_id").agg(F.count(F.lit(1)).alias("n"))
     df = m.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
     hot = checkpointed(hot_items(df, m.count(), hot_sets))
     own = m.join(t, m.set_id == t.target, "left_semi")
@@ -88,10 +118,7 @@ def top_k_similar(members: DataFrame, targets: DataFrame, k: int = 10, threshold
             sized = sized.join(rest, ["target", "set_id"], "left")
             shared = F.col("c") + F.coalesce("more", F.lit(0))
         sized = sized.withColumn("shared", shared)
-        score = F.col("shared").cast("double") / (F.col("n_target") + F.col("n") - F.col("shared")).cast("double")
-        order = W.partitionBy("target").orderBy(F.desc("score"), "set_id")
-        best = sized.select("target", "set_id", "shared", score.alias("score")).withColumn("rank", F.row_number().over(order))
-        best = best.filter(F.col("rank") <= k)
+        best = _ranked(sized).filter(F.col("rank") <= k)
         if threshold > 0:
             best = checkpointed(best)
             full = best.filter((F.col("rank") == k) & (F.col("score") >= threshold)).select("target")

@@ -93,3 +93,28 @@ def test_upper_median_equals_sorting(spark, ranges, few):
     every = sorted(v for vs in groups.values() for v in vs)
     assert [r.m for r in quantiles.upper_median(total, [], "v", "n", "m", ranges, few).collect()] == [every[len(every) // 2]]
     assert quantiles.upper_median(counts.limit(0), ["g"], "v", "n").collect() == []
+
+
+@pytest.mark.parametrize("k", [1, 5, 40])
+@pytest.mark.parametrize("few", [similarity.FEW_SETS, 0])
+def test_few_sets_are_counted_item_by_item(spark, monkeypatch, k, few):
+    """The same rows as by the prefix filter, of which no round is run."""
+    sets, calls = families(2), []
+    monkeypatch.setattr(similarity, "join_items", lambda *a, real=similarity.join_items: calls.append(1) or real(*a))
+    rows = [(s, x) for s, items in sets.items() for x in items]
+    members = spark.createDataFrame(rows + rows[:30] + [(None, "x"), ("s0-0", None)], "set_id string, item string")
+    targets = spark.createDataFrame([(t,) for t in ["s0-0", "s3-2", "alone", "pair-a", "unknown", "s0-0", None]], "target string")
+    got = similarity.top_k_similar(members, targets, k, few_sets=few).collect()
+    assert sorted((r.target, r.set_id, r.shared, round(r.score, 9), r["rank"]) for r in got) == closest(sets, ["s0-0", "s3-2", "alone", "pair-a"], k)
+    assert bool(calls) == (few == 0)
+
+
+def test_patterns_that_no_text_can_hold_cost_no_pass(spark):
+    """The texts are read once to count, not once for each block of patterns."""
+    texts = spark.createDataFrame([("brand of the year",), ("a brand 7 item",)], "t string")
+    patterns = spark.range(200).select(F.concat(F.lit("Brand "), "id").alias("p"))
+    got = joins.pattern_hits(texts, patterns, "t", "p", block=5)
+    assert got.collect() == [] and "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    low = joins.pattern_hits(texts, patterns.select(F.lower("p").alias("p")), "t", "p", block=5)
+    assert [tuple(r) for r in low.collect()] == [("a brand 7 item", "brand 7")]
+    assert low._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
