@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.numbers import INTENT_CODES, INTENT_LABELS, parse_number, py_strip, score_gate
+from ..functions.numbers import INTENT_CODES, INTENT_LABELS, clean_number_text, parse_clean, parse_number, py_strip, score_gate
+from ..session import dealt
 
 
 def _first(arr: Column) -> Column:
@@ -55,9 +56,9 @@ def _lines(cells: Column) -> Column:
 
 
 def _cap(df: DataFrame, k: int | None, by=("domain",), order: str = "row_seq") -> DataFrame:
-    """The first ``k`` rows of every page; all rows for None."""
+    """The first ``k`` rows of every page; all rows, over all tasks, for None."""
     if k is None:
-        return df
+        return dealt(df)
     w = W.partitionBy(*by).orderBy(order)
     return df.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k).drop("__r")
 
@@ -91,7 +92,7 @@ def paid_rows(raw: DataFrame, max_rows: int | None = None, page=("domain",)) ->
     """C-04: paid keyword rows with >= 5 cells by fixed position (the first
     ``max_rows`` rows of each ``page``, where a limit is given), kept when the
     keyword is non-empty."""
-    r = _cap(raw, max_rows, page).filter(F.size("cells") >= 5)
+    r = (raw if max_rows is None else _cap(raw, max_rows, page)).filter(F.size("cells") >= 5)
     c = F.col("cells")
     return r.select("domain", "row_seq", F.get(c, 0).alias("keyword"), F.get(c, 1).alias("position"),
                     F.get(c, 2).alias("volume"), F.get(c, 3).alias("cpc"),
@@ -115,21 +116,26 @@ def link_rows(raw: DataFrame, max_rows: dict | None = None, table: str | None =
     output to one kind.
     """
     limits = max_rows or {}
-    r = raw
     if limits:
-        r = r.withColumn("__r", F.row_number().over(W.partitionBy(*page).orderBy("row_seq")))
+        r = raw.withColumn("__r", F.row_number().over(W.partitionBy(*page).orderBy("row_seq")))
+    else:
+        r = dealt(raw)
     r = r.filter(F.size("cells") >= 2)
-    # every cell's first line parsed once, reused by both number lists
-    r = r.withColumn("__p", F.transform(F.col("cells"), lambda x: parse_number(F.get(F.split(py_strip(x), "\n"), 0))))
-    c = F.col("cells")
-    anchor = _first(F.filter(F.transform(F.slice(c, 1, 2), lambda x: first_line(x)), lambda x: F.length(x) > 0))
+    # every cell's first line cut, stripped and cleaned once, in projections of their own
+    r = r.withColumn("__f", F.transform("cells", lambda x: F.substring_index(py_strip(x), "\n", 1)))
+    r = r.withColumns({"__l": F.transform("__f", lambda x: py_strip(x)),
+                       "__p": F.transform(F.transform("__f", lambda x: clean_number_text(x)), lambda x: parse_clean(x))})
+    lines = F.col("__l")
+    domain = _first(F.filter(F.slice(lines, 1, 3), lambda x: x.contains(".") & (F.length(x) > 3)))
+    url = _first(F.filter(F.slice("__f", 1, 2), lambda x: x.contains("/") | x.contains("http")))
+    anchor = _first(F.filter(F.slice(lines, 1, 2), lambda x: F.length(x) > 0))
     nums_rest = F.filter(F.slice(F.col("__p"), F.lit(2), F.size("__p")), lambda v: v > 0)
     nums_all = F.filter(F.col("__p"), lambda v: v > 0)
     zero = F.lit(0.0)
     kinds = {
-        "referring_domains": (first_domain_cell(c), zero, zero),
+        "referring_domains": (domain, zero, zero),
         "anchors": (anchor, F.coalesce(F.get(nums_rest, 0), zero), F.coalesce(F.get(nums_rest, 1), zero)),
-        "top_pages": (first_url_cell(c), F.coalesce(F.get(nums_all, 0), zero), F.coalesce(F.get(nums_all, 1), zero)),
+        "top_pages": (url, F.coalesce(F.get(nums_all, 0), zero), F.coalesce(F.get(nums_all, 1), zero)),
     }
     if table is not None:
         kinds = {table: kinds[table]}
@@ -151,11 +157,15 @@ def ai_rows(raw: DataFrame, max_competitors: int | None = None, max_prompts: int
     gate = F.size("cells") >= 2
     c = F.col("cells")
     strip_all = lambda a: F.transform(a, lambda x: py_strip(x))
-    comp = _cap(raw, max_competitors, page).filter(gate).select(
+    if max_competitors is None and max_prompts is None:
+        pages = prompts = dealt(raw)  # one exchange, read by both
+    else:
+        pages, prompts = _cap(raw, max_competitors, page), _cap(raw, max_prompts, page)
+    comp = pages.filter(gate).select(
         "domain", "row_seq", F.lit("competitor").alias("row_kind"),
         first_domain_cell(c, 2, strip_line=False).alias("value"),
         F.array_join(strip_all(F.slice(c, 1, 5)), " | ").alias("raw_data")).filter(F.col("value").isNotNull())
-    prm = _cap(raw, max_prompts, page).filter(gate).select(
+    prm = prompts.filter(gate).select(
         "domain", "row_seq", F.lit("prompt").alias("row_kind"), py_strip(F.get(c, 0)).alias("value"),
         F.array_join(strip_all(F.slice(c, 1, 4)), " | ").alias("raw_data")).filter(F.length("value") > 5)
     return comp.unionByName(prm)
