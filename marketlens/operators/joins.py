@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, dealt
 
 #: Characters of an index gram.  Patterns that are shorter are their own key.
 GRAM = 4
-#: Grams of patterns that are broadcast at once.
+#: Grams or patterns that are broadcast at once.
 BLOCK = 200_000
 
 
@@ -41,27 +41,34 @@ def pattern_hits(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_c
     the text is read, by a broadcast table of the patterns' grams, so only
     counts and hits are ever shuffled: a pattern all of whose grams are
     frequent costs a comparison for each place of the rarest, not a shuffled
-    candidate.  The patterns are dealt into blocks by hash, so that the grams of
-    one block, counted beforehand, are ``block`` or so.
+    candidate.
+
+    The texts are dealt over all tasks and written to the checkpoint folder once.
+    The first pass is one however many patterns there are: if their distinct
+    grams are more than ``block``, the counts of all grams of the texts, added up
+    where they are read, are joined to them instead.  The second pass takes the
+    patterns that are left, dealt by hash into blocks of ``block`` or so.
 
     Null and empty patterns match nothing, null texts neither.
     """
     pats = patterns.select(F.col(pattern_col).alias("__p")).filter(F.length("__p") > 0).distinct()
     pats = checkpointed(pats.withColumn("__size", F.least(F.length("__p"), F.lit(gram))))
-    sizes = pats.groupBy("__size").agg(F.sum(F.length("__p") - F.col("__size") + 1).alias("grams")).collect()  # ``gram`` rows at most
+    sizes = [r["__size"] for r in pats.select("__size").distinct().collect()]  # ``gram`` rows at most
+    texts = checkpointed(dealt(texts)) if sizes else texts
     found = None
-    for size, grams in sorted((r["__size"], r["grams"]) for r in sizes):
-        blocks = -(-grams // block)
+    for size in sorted(sizes):
+        keys = _places(pats.filter(F.col("__size") == size).drop("__size"), "__p", size).withColumnsRenamed({"__at": "__from", "__code": "__want"})
+        grams = checkpointed(keys.select("__gram").distinct())
+        places = _places(texts.select(text_col), text_col, size).select("__gram")
+        few = grams.count() <= block
+        counts = (places.join(F.broadcast(grams), "__gram") if few else places).groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
+        rare = keys.join(counts, "__gram", "left").groupBy("__p").agg(
+            F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__gram", "__from", "__want")).alias("__k"))
+        index = checkpointed(rare.filter(F.col("__k.n") > 0).select("__p", "__k.*").drop("n"))
+        blocks = -(-index.count() // block)
         for i in range(blocks):
-            own = pats.filter((F.col("__size") == size) & (F.pmod(F.xxhash64("__p"), F.lit(blocks)) == i)).drop("__size")
-            keys = _places(own, "__p", size).withColumnsRenamed({"__at": "__from", "__code": "__want"})
-            counts = (_places(texts.select(text_col), text_col, size)
-                      .join(F.broadcast(keys.select("__gram").distinct()), "__gram")
-                      .groupBy("__gram").agg(F.count(F.lit(1)).alias("__n")))
-            rare = keys.join(counts, "__gram", "left").groupBy("__p").agg(
-                F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__gram", "__from", "__want")).alias("__k"))
-            index = rare.filter(F.col("__k.n") > 0).select("__p", "__k.*").drop("n")
-            here = _places(texts, text_col, size).join(F.broadcast(index), "__gram")
+            own = index.filter(F.pmod(F.xxhash64("__p"), F.lit(blocks)) == i)
+            here = _places(texts, text_col, size).join(F.broadcast(own), "__gram")
             here = here.withColumn("__start", F.col("__at") - F.col("__from")).filter(F.col("__start") >= 0)
             same = _code("__start", F.length("__p")) == F.col("__want")
             first = F.instr(F.col(text_col), F.col("__p")) == F.col("__start") + 1
